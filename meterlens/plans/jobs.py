@@ -25,19 +25,18 @@ def merge_run_slices(slices: DataFrame) -> DataFrame:
     )
 
 
-def job_runs_summary(runs: DataFrame, jobs_current: DataFrame, *, merge_slices: bool = False) -> DataFrame:
-    """Daily run counts by outcome and run durations, with the job's current name.
+def job_runs_daily(runs: DataFrame, *, merge_slices: bool = False) -> DataFrame:
+    """Daily run counts by outcome and run durations per job.
 
     A run over an hour arrives as several slices; each counts as a run of its own
-    unless ``merge_slices``. The join comes after the aggregation, so it sees one row
-    per job and day.
+    unless ``merge_slices``.
     """
     scheduled = runs.where("run_type = 'JOB_RUN'")
     if merge_slices:
         scheduled = merge_run_slices(scheduled)
     seconds = seconds_between("period_start_time", "period_end_time")
     outcome = lambda state: count_if(F.col("result_state") == state)
-    daily = (
+    return (
         scheduled.withColumn("duration", seconds)
         .groupBy(*SCOPE, "job_id", F.to_date("period_start_time").alias("run_date"))
         .agg(
@@ -51,5 +50,14 @@ def job_runs_summary(runs: DataFrame, jobs_current: DataFrame, *, merge_slices:
             F.percentile_approx("duration", 0.95).alias("p95_duration_seconds"),
         )
     )
+
+
+def with_job_names(daily: DataFrame, jobs_current: DataFrame) -> DataFrame:
+    """Add the current name; the left side has one row per job and day, so no key is hot."""
     names = jobs_current.select("workspace_id", "job_id", F.col("name").alias("job_name"))
     return daily.join(names, ["workspace_id", "job_id"], "left")
+
+
+def job_runs_summary(runs: DataFrame, jobs_current: DataFrame, *, merge_slices: bool = False) -> DataFrame:
+    """Daily run statistics with the job's current name."""
+    return with_job_names(job_runs_daily(runs, merge_slices=merge_slices), jobs_current)

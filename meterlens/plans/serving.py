@@ -25,13 +25,13 @@ def served_entities_current(served_entities: DataFrame) -> DataFrame:
     )
 
 
-def endpoint_usage_summary(endpoint_usage: DataFrame, served_current: DataFrame) -> DataFrame:
-    """Daily tokens and requests per served entity, with the entity's attributes.
+def endpoint_usage_daily(endpoint_usage: DataFrame) -> DataFrame:
+    """Daily tokens and requests per served entity.
 
     ``total_tokens`` skips requests that report only one side, so it can be less than
     input plus output.
     """
-    daily = endpoint_usage.groupBy(*SCOPE, "served_entity_id", F.to_date("request_time").alias("usage_date")).agg(
+    return endpoint_usage.groupBy(*SCOPE, "served_entity_id", F.to_date("request_time").alias("usage_date")).agg(
         F.sum("input_token_count").alias("total_input_tokens"),
         F.sum("output_token_count").alias("total_output_tokens"),
         F.sum(F.col("input_token_count") + F.col("output_token_count")).alias("total_tokens"),
@@ -39,31 +39,47 @@ def endpoint_usage_summary(endpoint_usage: DataFrame, served_current: DataFrame)
         F.min("request_time").alias("first_request"),
         F.max("request_time").alias("last_request"),
     )
+
+
+def with_entities(daily: DataFrame, served_current: DataFrame) -> DataFrame:
+    """Add the current attributes of the served entity; NULL for one that is gone."""
     key = ["workspace_id", "served_entity_id"]
     attributes = ["endpoint_id", "endpoint_name", "served_entity_name", "entity_type", "entity_name"]
     joined = daily.join(served_current.select(*key, *attributes), key, "left")
     return joined.select(*daily.columns, *attributes)
 
 
+def endpoint_usage_summary(endpoint_usage: DataFrame, served_current: DataFrame) -> DataFrame:
+    return with_entities(endpoint_usage_daily(endpoint_usage), served_current)
+
+
 def _billing_by_endpoint(lines: DataFrame, *dims: str) -> DataFrame:
     return lines.groupBy(*SCOPE, "usage_date", "endpoint_name", "sku_name", *dims).agg(
         *spend(), F.count("*").alias("billing_records")
     )
 
 
-def model_serving_costs(lines: DataFrame, served_current: DataFrame) -> DataFrame:
-    """Daily serving cost per endpoint and SKU, with one entity served there.
+def serving_costs_daily(lines: DataFrame) -> DataFrame:
+    return _billing_by_endpoint(lines.where("billing_origin_product = 'MODEL_SERVING'"))
+
+
+def with_endpoint_entity(costs: DataFrame, served_current: DataFrame) -> DataFrame:
+    """Add one entity served at the endpoint.
 
-    An endpoint can serve several entities; the most recently changed one is taken
-    (then the greatest id), so reruns agree.
+    An endpoint can serve several; the most recently changed one is taken (then the
+    greatest id), so reruns agree.
     """
-    costs = _billing_by_endpoint(lines.where("billing_origin_product = 'MODEL_SERVING'"))
     endpoint = ["workspace_id", "endpoint_name"]
     entity = latest_by(served_current, endpoint, "change_time", ["served_entity_id"])
     joined = costs.join(entity.select(*endpoint, "entity_type", "entity_name"), endpoint, "left")
     return joined.select(*costs.columns, "entity_type", "entity_name")
 
 
+def model_serving_costs(lines: DataFrame, served_current: DataFrame) -> DataFrame:
+    """Daily serving cost per endpoint and SKU, with an entity served there."""
+    return with_endpoint_entity(serving_costs_daily(lines), served_current)
+
+
 def foundation_model_usage(endpoint_usage_summary: DataFrame, *, endpoint_pattern: str = FOUNDATION_ENDPOINTS) -> DataFrame:
     """Token usage of foundation models, told by entity type or by endpoint name."""
     by_type = F.col("entity_type").contains("FOUNDATION") | F.col("entity_type").isin(FOUNDATION_TYPES)
