@@ -4,28 +4,26 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DataType, DateType, DecimalType, IntegerType, MapType, TimestampType
+from pyspark.sql import DataFrame
+from pyspark.sql.types import ArrayType, DateType, DecimalType, IntegerType, MapType, StructField, TimestampType
 
 
-def _plain(name: str, dtype: DataType, stats: Sequence[str]) -> Column:
-    col = F.col(name)
-    if name in stats:
-        return F.round(col.cast("double"), 6) + F.lit(0.0)
+def _plain(field: StructField, stats: Sequence[str]) -> str:
+    name, dtype = f"`{field.name}`", field.dataType
+    if field.name in stats:
+        return f"round(CAST({name} AS DOUBLE), 6) + 0.0D AS {name}"
     if isinstance(dtype, DecimalType):
-        return col.cast("double")
+        return f"CAST({name} AS DOUBLE) AS {name}"
     if isinstance(dtype, (DateType, TimestampType)):
-        return col.cast("string")
+        return f"CAST({name} AS STRING) AS {name}"
     if isinstance(dtype, IntegerType):
-        return col.cast("bigint")
+        return f"CAST({name} AS BIGINT) AS {name}"
     if isinstance(dtype, ArrayType):
-        return F.array_join(F.array_sort(col), ",")
+        return f"array_join(array_sort({name}), ',') AS {name}"
     if isinstance(dtype, MapType):
-        pairs = F.transform(F.array_sort(F.map_entries(col)), lambda e: F.concat_ws("=", e["key"], e["value"]))
-        return F.array_join(pairs, ",")
-    return col
+        return f"array_join(transform(array_sort(map_entries({name})), e -> concat_ws('=', e.key, e.value)), ',') AS {name}"
+    return name
 
 
 def plain(df: DataFrame, stats: Sequence[str] = ()) -> DataFrame:
-    return df.select(*[_plain(f.name, f.dataType, stats).alias(f.name) for f in df.schema.fields])
+    return df.selectExpr(*[_plain(f, stats) for f in df.schema.fields])
