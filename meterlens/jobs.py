@@ -14,16 +14,17 @@ from functools import partial
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from meterlens.functions import Day, day_of, stamp_identifiers
-from meterlens.operators import change_feed
+from meterlens.operators import change_feed, fits_broadcast
 from meterlens.plans import audit, billing, compute, jobs, metadata, ml_spend, rollups, serving, tracking
 from meterlens.schemas import feed_schema
 from meterlens.sources.layout import CLUSTER_COLUMNS, compact_all
 from meterlens.sources.publish import Share, publish, shared_names
 from meterlens.sources.tables import Table, only_dates
 from meterlens.streaming.ingest import BRONZE, ingest_feed, read_bronze
-from meterlens.streaming.refresh import Dates, dates_of_price_changes, rebuild_on_new_rows
+from meterlens.streaming.refresh import Dates, dates_of_price_changes, rebuild_on_new_bronze, rebuild_on_new_rows
 
 # Date column of each dataset that is rebuilt date by date.
 _DATED = {
@@ -45,6 +46,7 @@ _DATED = {
         "usage_date",
     ),
     "job_runs_daily": "run_date",
+    "cluster_utilization": "_day",
     "mlflow_runs_summary": "run_date",
     "user_activity_summary": "event_date",
     "data_access_summary": "event_date",
@@ -113,9 +115,7 @@ def run_refresh(lake: Lake, sources: Mapping[str, str]) -> None:
     if "clusters" in sources:
         lake.gold("clusters_current").replace(compute.clusters_current(lake.bronze("clusters_bronze")))
     if "node_timeline" in sources:
-        nodes = lake.spark.read.schema(feed_schema("node_timeline")).parquet(sources["node_timeline"])
-        stamped = stamp_identifiers(nodes, lake.account, lake.workspace)
-        lake.gold("cluster_utilization").replace(compute.cluster_utilization(stamped))
+        _refresh_utilization(lake, sources["node_timeline"])
     if "audit" in sources:
         _refresh_audit(lake)
     if {"served_entities", "endpoint_usage"} <= sources.keys():
@@ -149,7 +149,7 @@ def _snapshot(lake: Lake, feed: str, path: str) -> DataFrame:
 
 
 def _on_new(lake: Lake, table: str, purpose: str, rebuild: Callable[[Dates], None]) -> None:
-    rebuild_on_new_rows(
+    rebuild_on_new_bronze(
         lake.spark, table, lake.bronze_path(table), lake.checkpoint(f"{purpose}_from_{table}"), rebuild
     )
 
@@ -162,10 +162,14 @@ def _refresh_billing(lake: Lake, new_prices: DataFrame) -> None:
     """
     incoming, current = lake.gold("list_prices_incoming"), lake.gold("list_prices")
     incoming.replace(new_prices)
+    # With a broadcast price list the lines keep the date order of the bronze files and
+    # are written as they are; otherwise the join has scattered them.
+    in_order = fits_broadcast(incoming.read())
 
     def rebuild(dates: Dates) -> None:
         usage = only_dates(lake.bronze("billing_usage_bronze"), "usage_date", dates)
-        lake.gold("billing_summary").overwrite_dates(billing.billing_summary(usage, incoming.read()))
+        lines = billing.billing_summary(usage, incoming.read())
+        lake.gold("billing_summary").overwrite_dates(lines, laid_out=in_order)
         stored = only_dates(lake.gold("billing_summary").read(), "usage_date", dates)
         _together(partial(lake.gold(name).overwrite_dates, build(stored)) for name, build in _FROM_LINES.items())
         for name, (source, build) in _FROM_SUMS.items():
@@ -192,6 +196,23 @@ def _refresh_jobs(lake: Lake) -> None:
     lake.gold("job_runs_summary").replace(jobs.with_job_names(daily, current))
 
 
+def _refresh_utilization(lake: Lake, source: str) -> None:
+    """Straight from the feed, which keeps its own history; only days with new samples are read again."""
+    schema, day = feed_schema("node_timeline"), F.to_date("start_time").alias("_day")
+
+    def rebuild(dates: Dates) -> None:
+        samples = lake.spark.read.schema(schema).parquet(source)
+        if dates is not None:  # a range on the stored column first: file statistics can skip by it
+            until = dates[-1] + dt.timedelta(days=1)
+            samples = samples.where((F.col("start_time") >= F.lit(dates[0])) & (F.col("start_time") < F.lit(until)))
+            samples = samples.where(F.to_date("start_time").isin(dates))
+        hourly = compute.cluster_utilization(stamp_identifiers(samples, lake.account, lake.workspace))
+        lake.gold("cluster_utilization").overwrite_dates(hourly.withColumn("_day", F.to_date("hour")))
+
+    stream = lake.spark.readStream.schema(schema).parquet(source).select(day)
+    rebuild_on_new_rows(stream, "_day", lake.checkpoint("daily_from_node_timeline"), rebuild)
+
+
 def _refresh_audit(lake: Lake) -> None:
     def rebuild(dates: Dates) -> None:
         events = only_dates(lake.bronze("audit_logs_bronze"), "event_date", dates)

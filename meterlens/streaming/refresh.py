@@ -24,31 +24,33 @@ def distinct_dates(rows: DataFrame, date_col: str) -> Dates:
     return None if len(found) > MAX_DATES or None in found else sorted(found)
 
 
-def rebuild_on_new_rows(
-    spark: SparkSession, table: str, bronze_path: str, checkpoint: str, rebuild: Callable[[Dates], None]
-) -> None:
-    """Call ``rebuild`` with the dates of the bronze rows that came since the last call.
+def rebuild_on_new_rows(rows: DataFrame, date_col: str, checkpoint: str, rebuild: Callable[[Dates], None]) -> None:
+    """Call ``rebuild`` with the dates of the rows that came since the last call.
 
-    A second stream over the bronze table finds them; only its partition column is
-    read. ``rebuild`` overwrites whole dates, so a batch that is retried after a
-    failure gives the same result.
+    ``rows`` is a stream; only its date column is read. ``rebuild`` overwrites whole
+    dates, so a batch that is retried after a failure gives the same result.
     """
-    date_col = BRONZE[table].date_col
+
+    def on_batch(batch: DataFrame, _batch_id: int) -> None:
+        dates = distinct_dates(batch, date_col)
+        if dates is None or dates:
+            rebuild(dates)
+
+    query = rows.select(date_col).writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
+    query.trigger(availableNow=True).start().awaitTermination()
+
+
+def rebuild_on_new_bronze(
+    spark: SparkSession, table: str, bronze_path: str, checkpoint: str, rebuild: Callable[[Dates], None]
+) -> None:
+    """``rebuild_on_new_rows`` over a bronze table, whose date column is its partition column."""
     try:
         schema = read_bronze(spark, bronze_path).schema
     except AnalysisException as missing:
         if missing.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return
         raise
-
-    def on_batch(rows: DataFrame, _batch_id: int) -> None:
-        dates = distinct_dates(rows, date_col)
-        if dates is None or dates:
-            rebuild(dates)
-
-    stream = spark.readStream.schema(schema).parquet(bronze_path).select(date_col)
-    query = stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
-    query.trigger(availableNow=True).start().awaitTermination()
+    rebuild_on_new_rows(spark.readStream.schema(schema).parquet(bronze_path), BRONZE[table].date_col, checkpoint, rebuild)
 
 
 def dates_of_price_changes(changes: DataFrame, usage: DataFrame) -> Dates:
