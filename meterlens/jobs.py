@@ -7,8 +7,7 @@ are safe to run again after a failure.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Collection, Iterable, Mapping
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Callable, Collection, Iterable, Iterator, Mapping
 from dataclasses import dataclass
 from functools import partial
 
@@ -23,6 +22,7 @@ from meterlens.schemas import feed_schema
 from meterlens.sources.layout import CLUSTER_COLUMNS, compact_all
 from meterlens.sources.publish import Share, publish, shared_names
 from meterlens.sources.tables import Table, only_dates
+from meterlens.sources.together import together
 from meterlens.streaming.ingest import BRONZE, ingest_feed, read_bronze
 from meterlens.streaming.refresh import Dates, dates_of_price_changes, rebuild_on_new_bronze, rebuild_on_new_rows
 
@@ -105,30 +105,36 @@ def run_refresh(lake: Lake, sources: Mapping[str, str]) -> None:
     ``sources`` maps feed names to folders of Parquet files; feeds left out are skipped
     along with the datasets that need them.
     """
-    _together(partial(_ingest, lake, table, sources[spec.feed]) for table, spec in BRONZE.items() if spec.feed in sources)
+    together(partial(_ingest, lake, table, sources[spec.feed]) for table, spec in BRONZE.items() if spec.feed in sources)
+    together(_refreshes(lake, sources))
+
+
+def _refreshes(lake: Lake, sources: Mapping[str, str]) -> Iterator[Callable[[], None]]:
+    """The refreshes whose feeds are there; they do not depend on each other."""
+    have = lambda *feeds: set(feeds) <= sources.keys()
+    if have("usage", "list_prices") or have("served_entities", "endpoint_usage"):
+        yield partial(_refresh_billing_and_serving, lake, sources)
+    if have("jobs", "job_run_timeline"):
+        yield partial(_refresh_jobs, lake)
+    if have("audit"):
+        yield partial(_refresh_audit, lake)
+    if have("experiments_latest", "runs_latest"):
+        yield partial(_refresh_tracking, lake)
+    if have("node_timeline"):
+        yield partial(_refresh_utilization, lake, sources["node_timeline"])
+    if have("clusters"):
+        yield lambda: lake.gold("clusters_current").replace(compute.clusters_current(lake.bronze("clusters_bronze")))
+    if have("workspaces_latest"):
+        workspaces = _snapshot(lake, "workspaces_latest", sources["workspaces_latest"])
+        yield partial(lake.gold("workspace_info").replace, workspaces)
+
+
+def _refresh_billing_and_serving(lake: Lake, sources: Mapping[str, str]) -> None:
+    """In this order: serving costs are part of the billing datasets."""
     if {"usage", "list_prices"} <= sources.keys():
         _refresh_billing(lake, _snapshot(lake, "list_prices", sources["list_prices"]))
-    if "workspaces_latest" in sources:
-        lake.gold("workspace_info").replace(_snapshot(lake, "workspaces_latest", sources["workspaces_latest"]))
-    if {"jobs", "job_run_timeline"} <= sources.keys():
-        _refresh_jobs(lake)
-    if "clusters" in sources:
-        lake.gold("clusters_current").replace(compute.clusters_current(lake.bronze("clusters_bronze")))
-    if "node_timeline" in sources:
-        _refresh_utilization(lake, sources["node_timeline"])
-    if "audit" in sources:
-        _refresh_audit(lake)
     if {"served_entities", "endpoint_usage"} <= sources.keys():
         _refresh_serving(lake)
-    if {"experiments_latest", "runs_latest"} <= sources.keys():
-        _refresh_tracking(lake)
-
-
-def _together(calls: Iterable[Callable[[], None]]) -> None:
-    """Run independent Spark actions side by side, so that small ones do not leave the cluster idle."""
-    with ThreadPoolExecutor(max_workers=4) as pool:
-        for done in [pool.submit(call) for call in calls]:
-            done.result()
 
 
 def _ingest(lake: Lake, table: str, source: str) -> None:
@@ -171,7 +177,7 @@ def _refresh_billing(lake: Lake, new_prices: DataFrame) -> None:
         lines = billing.billing_summary(usage, incoming.read())
         lake.gold("billing_summary").overwrite_dates(lines, laid_out=in_order)
         stored = only_dates(lake.gold("billing_summary").read(), "usage_date", dates)
-        _together(partial(lake.gold(name).overwrite_dates, build(stored)) for name, build in _FROM_LINES.items())
+        together(partial(lake.gold(name).overwrite_dates, build(stored)) for name, build in _FROM_LINES.items())
         for name, (source, build) in _FROM_SUMS.items():
             lake.gold(name).overwrite_dates(build(only_dates(lake.gold(source).read(), "usage_date", dates)))
 
@@ -271,7 +277,7 @@ def run_daily(lake: Lake, *, as_of: Day = None, compact_days: int | None = 7) ->
         "job_success_rate_weekly": lambda: rollups.job_success_rate_weekly(gold("job_runs_summary")),
         "cost_trend_analysis": lambda: rollups.cost_trend_analysis(gold("cost_by_product")),
     }
-    _together(partial(lake.rollup(name).replace, build()) for name, build in builds.items())
+    together(partial(lake.rollup(name).replace, build()) for name, build in builds.items())
     dates = None if compact_days is None else _last_dates(lake.spark, as_of, compact_days)
     tables = {name: lake.gold(name) for name in COMPACTED}
     for name in CLUSTER_COLUMNS:
