@@ -19,6 +19,7 @@ from meterlens.functions import Day, day_of, stamp_identifiers
 from meterlens.operators import change_feed, fits_broadcast
 from meterlens.plans import audit, billing, compute, jobs, metadata, ml_spend, rollups, serving, tracking
 from meterlens.schemas import feed_schema
+from meterlens.sources.feeds import evolved_schema
 from meterlens.sources.layout import CLUSTER_COLUMNS, compact_all
 from meterlens.sources.publish import Share, publish, shared_names
 from meterlens.sources.tables import Table, only_dates
@@ -99,17 +100,21 @@ class Lake:
         return Table(self.spark, f"{self.root}/rollup/{name}")
 
 
-def run_refresh(lake: Lake, sources: Mapping[str, str]) -> None:
+def run_refresh(
+    lake: Lake, sources: Mapping[str, str], *, evolve: bool = False, latest_tracking: bool = False
+) -> None:
     """Ingest what is new in each feed and bring the datasets up to date.
 
     ``sources`` maps feed names to folders of Parquet files; feeds left out are skipped
-    along with the datasets that need them.
+    along with the datasets that need them. ``evolve`` also ingests columns that a feed
+    has gained. ``latest_tracking`` counts only the newest version of each experiment
+    and run, for feeds that deliver a row again whenever it changes.
     """
-    together(partial(_ingest, lake, table, sources[spec.feed]) for table, spec in BRONZE.items() if spec.feed in sources)
-    together(_refreshes(lake, sources))
+    together(partial(_ingest, lake, table, sources[spec.feed], evolve) for table, spec in BRONZE.items() if spec.feed in sources)
+    together(_refreshes(lake, sources, latest_tracking))
 
 
-def _refreshes(lake: Lake, sources: Mapping[str, str]) -> Iterator[Callable[[], None]]:
+def _refreshes(lake: Lake, sources: Mapping[str, str], latest_tracking: bool) -> Iterator[Callable[[], None]]:
     """The refreshes whose feeds are there; they do not depend on each other."""
     have = lambda *feeds: set(feeds) <= sources.keys()
     if have("usage", "list_prices") or have("served_entities", "endpoint_usage"):
@@ -119,7 +124,7 @@ def _refreshes(lake: Lake, sources: Mapping[str, str]) -> Iterator[Callable[[],
     if have("audit"):
         yield partial(_refresh_audit, lake)
     if have("experiments_latest", "runs_latest"):
-        yield partial(_refresh_tracking, lake)
+        yield partial(_refresh_tracking, lake, latest_tracking)
     if have("node_timeline"):
         yield partial(_refresh_utilization, lake, sources["node_timeline"])
     if have("clusters"):
@@ -137,7 +142,7 @@ def _refresh_billing_and_serving(lake: Lake, sources: Mapping[str, str]) -> None
         _refresh_serving(lake)
 
 
-def _ingest(lake: Lake, table: str, source: str) -> None:
+def _ingest(lake: Lake, table: str, source: str, evolve: bool) -> None:
     ingest_feed(
         lake.spark,
         table,
@@ -146,6 +151,7 @@ def _ingest(lake: Lake, table: str, source: str) -> None:
         lake.checkpoint(table),
         account=lake.account,
         workspace=lake.workspace,
+        schema=evolved_schema(lake.spark, BRONZE[table].feed, source) if evolve else None,
     )
 
 
@@ -248,15 +254,19 @@ def _refresh_serving(lake: Lake) -> None:
         lake.gold("endpoint_inventory").replace(serving.endpoint_inventory(served.read(), costs.read()))
 
 
-def _refresh_tracking(lake: Lake) -> None:
+def _refresh_tracking(lake: Lake, latest: bool) -> None:
+    """The versions of a run share its start and so its date: picking the newest per date is enough."""
+    runs_of = tracking.latest_runs if latest else lambda runs: runs
+    experiments_of = tracking.latest_experiments if latest else lambda experiments: experiments
+
     def rebuild(dates: Dates) -> None:
         runs = only_dates(lake.bronze("mlflow_runs_bronze"), "_day", dates)
-        lake.gold("mlflow_runs_summary").overwrite_dates(tracking.mlflow_runs_summary(runs))
+        lake.gold("mlflow_runs_summary").overwrite_dates(tracking.mlflow_runs_summary(runs_of(runs)))
 
     _on_new(lake, "mlflow_runs_bronze", "daily", rebuild)
-    lake.gold("mlflow_experiments_summary").replace(
-        tracking.mlflow_experiments_summary(lake.bronze("mlflow_experiments_bronze"), lake.bronze("mlflow_runs_bronze"))
-    )
+    experiments, runs = lake.bronze("mlflow_experiments_bronze"), lake.bronze("mlflow_runs_bronze")
+    summary = tracking.mlflow_experiments_summary(experiments_of(experiments), runs_of(runs))
+    lake.gold("mlflow_experiments_summary").replace(summary)
 
 
 def run_daily(lake: Lake, *, as_of: Day = None, compact_days: int | None = 7) -> DataFrame:

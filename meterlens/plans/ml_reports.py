@@ -10,6 +10,7 @@ from meterlens.functions.measures import respend
 from meterlens.operators.compare import period_compare
 from meterlens.operators.pivots import pivot_sum
 from meterlens.operators.trends import running_total
+from meterlens.plans.ml_spend import aiml_spend_over_period
 
 _DATE = "usage_date"
 _TOKENS = ["total_input_tokens", "total_output_tokens", "total_tokens"]
@@ -95,10 +96,16 @@ def v_mlflow_experiment_activity(experiments_summary: DataFrame, *, as_of: Day =
     )
 
 
-def v_mlflow_daily_activity(mlflow_runs_summary: DataFrame, *, as_of: Day = None) -> DataFrame:
-    """``distinct_users`` adds up per-experiment counts: a person in two experiments counts twice."""
+def v_mlflow_daily_activity(
+    mlflow_runs_summary: DataFrame, *, as_of: Day = None, runs: DataFrame | None = None
+) -> DataFrame:
+    """Daily runs, outcomes and hours.
+
+    ``distinct_users`` adds up per-experiment counts, so a person in two experiments
+    counts twice; pass the tracked ``runs`` to count each person once a day.
+    """
     recent = trailing(mlflow_runs_summary, "run_date", 30, as_of)
-    return recent.groupBy(*SCOPE, "run_date").agg(
+    daily = recent.groupBy(*SCOPE, "run_date").agg(
         F.sum("run_count").alias("total_runs"),
         sum_if(F.col("status") == "FINISHED", "run_count").alias("successful_runs"),
         sum_if(F.col("status") == "FAILED", "run_count").alias("failed_runs"),
@@ -106,6 +113,14 @@ def v_mlflow_daily_activity(mlflow_runs_summary: DataFrame, *, as_of: Day = None
         F.round(F.avg("avg_duration_seconds"), 2).alias("avg_duration_seconds"),
         F.round(F.sum("total_compute_seconds") / F.lit(3600.0), 2).alias("total_compute_hours"),
     )
+    if runs is None:
+        return daily
+    people = (
+        trailing(runs.withColumn("run_date", F.to_date("start_time")), "run_date", 30, as_of)
+        .groupBy(*SCOPE, "run_date")
+        .agg(F.count_distinct("created_by").alias("distinct_users"))
+    )
+    return daily.drop("distinct_users").join(people, [*SCOPE, "run_date"], "left")
 
 
 def v_top_experimenters(experiments_summary: DataFrame, *, as_of: Day = None, n: int = 50) -> DataFrame:
@@ -132,12 +147,20 @@ def v_vector_search_daily_trend(vector_search_summary: DataFrame, *, as_of: Day
     return running_total(recent, SCOPE, _DATE, "total_cost_usd", "cumulative_cost_usd")
 
 
-def v_aiml_spend_by_category(aiml_executive_summary: DataFrame, *, as_of: Day = None) -> DataFrame:
-    """Endpoints and users are sums of daily distinct counts."""
+def v_aiml_spend_by_category(
+    aiml_executive_summary: DataFrame | None = None, *, as_of: Day = None, lines: DataFrame | None = None
+) -> DataFrame:
+    """AI/ML spend of the last 30 days by category.
+
+    Endpoints and users are sums of daily distinct counts; from the priced ``lines``
+    instead of the daily summary each counts once.
+    """
+    counts = {"total_endpoints": "distinct_endpoints", "total_users": "distinct_users"}
+    if lines is not None:
+        over_period = aiml_spend_over_period(trailing(lines, _DATE, 30, as_of))
+        return over_period.withColumnsRenamed({src: out for out, src in counts.items()})
     recent = trailing(aiml_executive_summary, _DATE, 30, as_of)
-    return recent.groupBy(*SCOPE, "aiml_category", "billing_origin_product").agg(
-        *respend(), *_sums({"total_endpoints": "distinct_endpoints", "total_users": "distinct_users"})
-    )
+    return recent.groupBy(*SCOPE, "aiml_category", "billing_origin_product").agg(*respend(), *_sums(counts))
 
 
 def v_aiml_daily_trend(aiml_executive_summary: DataFrame, *, as_of: Day = None) -> DataFrame:

@@ -32,23 +32,22 @@ def vector_search_summary(vector_search_costs: DataFrame) -> DataFrame:
     )
 
 
-def aiml_executive_summary(lines: DataFrame) -> DataFrame:
-    """Daily AI/ML spend per product with distinct endpoints and users, labelled by category.
+def _aiml_spend(lines: DataFrame, group: list[str]) -> DataFrame:
+    """AI/ML spend per group with distinct endpoints and users, labelled by category.
 
     Lines are first summed per endpoint and user; the two distinct counts, which make
     Spark expand every row several times, then see only those sums.
     """
-    product_day = [*SCOPE, "usage_date", "billing_origin_product"]
     pairs = (
         lines.where(F.col("billing_origin_product").isin(list(CATEGORIES)))
-        .groupBy(*product_day, "endpoint_name", "run_as")
+        .groupBy(*group, "endpoint_name", "run_as")
         .agg(*spend())
     )
     category = F.lit("Other AI/ML")
     for product, name in CATEGORIES.items():
         category = F.when(F.col("billing_origin_product") == product, name).otherwise(category)
     return (
-        pairs.groupBy(*product_day)
+        pairs.groupBy(*group)
         .agg(
             *respend(),
             F.count_distinct("endpoint_name").alias("distinct_endpoints"),
@@ -56,3 +55,13 @@ def aiml_executive_summary(lines: DataFrame) -> DataFrame:
         )
         .withColumn("aiml_category", category)
     )
+
+
+def aiml_executive_summary(lines: DataFrame) -> DataFrame:
+    """Daily AI/ML spend per product."""
+    return _aiml_spend(lines, [*SCOPE, "usage_date", "billing_origin_product"])
+
+
+def aiml_spend_over_period(lines: DataFrame) -> DataFrame:
+    """AI/ML spend per product over all the lines given; an endpoint or user counts once, not once a day."""
+    return _aiml_spend(lines, [*SCOPE, "billing_origin_product"])

@@ -76,11 +76,6 @@ def _two_providers(relation: str, is_first: str) -> str:
  union all select 'account_b' source, * replace ({second}) from {relation} where not ({is_first})"""
 
 
-def _regrouped(relation: str, per_source: str) -> str:
-    """A dataset computed per provider: the provider is part of every group."""
-    return f"select {per_source} from {relation}"
-
-
 def _rolling(frame: str) -> str:
     return f"""select *, avg(cast(total_cost_usd as double)) over (w rows between 6 preceding and current row) cost_7d_rolling_avg,
  avg(cast(total_cost_usd as double)) over (w rows between 29 preceding and current row) cost_30d_rolling_avg
@@ -295,6 +290,9 @@ RELATIONS: dict[str, str] = {
  round(avg(avg_duration_seconds), 2) avg_duration_seconds,
  round(cast(sum(total_compute_seconds) as double) / 3600, 2) total_compute_hours
  from mlflow_runs_summary where {_last(30, 'run_date')} group by all""",
+    "v_mlflow_daily_activity_exact": f"""select d.* exclude (distinct_users), u.distinct_users from v_mlflow_daily_activity d join (
+ select workspace_id, cast(start_time as date) run_date, count(distinct created_by) distinct_users from runs_latest group by all) u
+ using (workspace_id, run_date)""",
     "v_top_experimenters": f"""select {_SCOPE}, experiment_id, name experiment_name, total_runs, successful_runs, distinct_users,
  round(100.0::double * cast(successful_runs as double) / nullif(cast(total_runs as double), 0), 2) success_rate_pct, last_run
  from mlflow_experiments_summary where last_run >= {_TODAY} - 30 and total_runs > 0
@@ -307,6 +305,9 @@ RELATIONS: dict[str, str] = {
     "v_aiml_spend_by_category": f"""select {_SCOPE}, aiml_category, billing_origin_product, {_RESPEND},
  sum(distinct_endpoints) total_endpoints, sum(distinct_users) total_users from aiml_executive_summary
  where {_last(30)} group by all""",
+    "v_aiml_spend_by_category_exact": f"""select {_SCOPE}, billing_origin_product, {_CATEGORY}, {_SPEND},
+ count(distinct endpoint_name) total_endpoints, count(distinct run_as) total_users from billing_summary
+ where billing_origin_product in {_AIML} and {_last(30)} group by all""",
     "v_aiml_daily_trend": f"""select {_SCOPE}, usage_date, sum(total_cost_usd) total_cost_usd,
  sum(case when aiml_category = 'Inference' then total_cost_usd else 0 end) inference_cost,
  sum(case when aiml_category = 'Vector Search' then total_cost_usd else 0 end) vector_search_cost,

@@ -303,6 +303,17 @@ for _name, _source, _day, _casts in (
         lambda w, view=getattr(ml_reports, _name), source=_source, day=_day: view(getattr(w, source), as_of=day),
         **_casts,
     )
+_add(
+    "v_mlflow_daily_activity_exact",
+    lambda w: ml_reports.v_mlflow_daily_activity(w.ml_runs, as_of=BILLING_DAY, runs=w.feed("runs_latest")),
+    count="total_runs successful_runs failed_runs",
+    text="run_date",
+)
+_add(
+    "v_aiml_spend_by_category_exact",
+    lambda w: ml_reports.v_aiml_spend_by_category(lines=w.lines, as_of=BILLING_DAY),
+    double=_MONEY,
+)
 _add(
     "v_inactive_endpoints",
     lambda w: ml_reports.v_inactive_endpoints(

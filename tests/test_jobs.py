@@ -132,7 +132,7 @@ def test_a_backfill_rebuilds_everything(spark, monkeypatch):
     assert refresh.distinct_dates(spark.range(1).select(F.lit(None).cast("date").alias("d")), "d") is None
 
 
-def test_whole_pipeline(spark, tmp_path, lake):
+def test_all_jobs(spark, tmp_path, lake):
     """All feeds through refresh, daily rollups and publishing."""
     sources = {}
     for feed in FEEDS:
@@ -169,6 +169,19 @@ def test_whole_pipeline(spark, tmp_path, lake):
     assert spark.read.parquet(f"{target}/cost_by_product").count() == lake.gold("cost_by_product").read().count()
 
 
+def test_tracking_counts_versions_once_on_request(spark, tmp_path, lake):
+    sources = {f: str(tmp_path / f) for f in ("experiments_latest", "runs_latest")}
+    runs = raw_feed(spark, SF_DIR, "runs_latest").where("run_id IN ('1', '2')").withColumn("start_time", F.lit(at("2024-01-01")))
+    raw_feed(spark, SF_DIR, "experiments_latest").write.parquet(sources["experiments_latest"])
+    for hour, status in ((1, "RUNNING"), (2, "FINISHED")):
+        version = {"status": F.lit(status), "update_time": F.lit(at(f"2024-01-01 0{hour}:00:00"))}
+        runs.withColumns(version).write.mode("append").parquet(sources["runs_latest"])
+        run_refresh(lake, sources, evolve=True, latest_tracking=True)
+    summary = lake.gold("mlflow_runs_summary").read()
+    assert as_set(summary.groupBy("status").agg(F.sum("run_count")), "*") == {("FINISHED", 2)}
+    assert lake.gold("mlflow_experiments_summary").read().agg(F.sum("total_runs")).first()[0] == 2
+
+
 def test_publish_reports_and_goes_on(spark, tmp_path):
     tables = {"bad": spark.range(3), "good": spark.range(3)}
     shares = [Share("bad", only=("no_such_column", "1")), Share("good", alias="renamed", only=("id", 1)), Share("a_view")]
