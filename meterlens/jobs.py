@@ -305,7 +305,12 @@ def _last_dates(spark: SparkSession, as_of: Day, days: int) -> list[dt.date]:
 
 
 def run_publish(
-    lake: Lake, target: str, shares: Iterable[Share] | None = None, *, views: Collection[str] = ()
+    lake: Lake,
+    target: str,
+    shares: Iterable[Share] | None = None,
+    *,
+    views: Collection[str] = (),
+    renew: bool = False,
 ) -> DataFrame:
     """Publish the given tables, by default all shared ones; returns the report."""
     tables: dict[str, Table | DataFrame] = {}
@@ -315,7 +320,7 @@ def run_publish(
         else:
             gold, rollup = lake.gold(name), lake.rollup(name)
             tables[name] = gold if gold.exists() else rollup
-    return publish(lake.spark, tables, target, shares or [Share(n) for n in shared_names()], views=views)
+    return publish(lake.spark, tables, target, shares or [Share(n) for n in shared_names()], views=views, renew=renew)
 
 
 def _bronze_if_present(lake: Lake, name: str) -> dict[str, DataFrame]:

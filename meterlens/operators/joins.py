@@ -24,7 +24,7 @@ def lookup_join(
     *,
     also: Callable[[], Column] | None = None,
     salt_on: Sequence[str],
-    max_broadcast_rows: int = BROADCAST_ROWS,
+    max_broadcast_rows: int | None = BROADCAST_ROWS,
     buckets: int = SALT_BUCKETS,
 ) -> DataFrame:
     """Left join on ``on`` (left column to lookup column) plus an optional further condition.
@@ -34,11 +34,15 @@ def lookup_join(
     by a hash of ``salt_on`` and each lookup row to all of them, so a key holding
     much of ``left`` is spread over that many tasks. The salt is a hash, not a random
     number, so a task retried after a lost executor sends its rows to the same place.
+
+    ``max_broadcast_rows=None`` goes to the salted join without counting, for a lookup
+    that is itself costly to compute; adaptive execution may still broadcast it once
+    its size is known.
     """
     condition = [F.col(a) == F.col(b) for a, b in on.items()]
     if also is not None:
         condition.append(also())
-    if fits_broadcast(lookup, max_broadcast_rows):
+    if max_broadcast_rows is not None and fits_broadcast(lookup, max_broadcast_rows):
         return left.join(F.broadcast(lookup), condition, "left").drop(*on.values())
     spread = left.withColumn("_salt", F.pmod(F.xxhash64(*salt_on), F.lit(buckets)))
     copies = lookup.withColumn("_salt_copy", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(buckets - 1).cast("bigint"))))

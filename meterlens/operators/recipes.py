@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from meterlens.functions import SCOPE, Day, percent, ratio, trailing
 from meterlens.functions.measures import respend
-from meterlens.operators.joins import BROADCAST_ROWS, lookup_join
+from meterlens.operators.joins import lookup_join
 
 
 def basic_agg(daily: DataFrame, *dims: str, as_of: Day, days: int = 30) -> DataFrame:
@@ -33,13 +33,15 @@ def with_costs(
     lines: DataFrame,
     on: Sequence[str] = ("workspace_id", "job_id"),
     *,
-    max_broadcast_rows: int = BROADCAST_ROWS,
+    max_broadcast_rows: int | None = None,
 ) -> DataFrame:
     """Attach cost to any feed by ids; rows without cost stay, with NULL.
 
     Billing is first summed to one row per key and day, so a feed row meets at most
     one row per billed day and no group is paired row by row. Put ``usage_date`` in
-    ``on`` for a feed that has it, and the join keeps the feed's row count.
+    ``on`` for a feed that has it, and the join keeps the feed's row count. The sums
+    are not counted before the join, as that would compute them twice; give
+    ``max_broadcast_rows`` when ``lines`` is small enough for that not to matter.
     """
     per_day = dict.fromkeys([*on, "usage_date"])
     costs = (

@@ -475,7 +475,7 @@ _add(
     text="date last_seen",
     stat="avg_metric",
 )
-for _name, _limit in (("h_template_with_costs", {}), ("h_template_with_costs_salted", {"max_broadcast_rows": 0})):
+for _name, _limit in (("h_template_with_costs", {}), ("h_template_with_costs_broadcast", {"max_broadcast_rows": 100_000})):
     _add(
         _name,
         lambda w, limit=_limit: with_costs(w.jobs_current.select("workspace_id", "job_id", "name"), w.lines, **limit),

@@ -13,6 +13,8 @@ TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 ).split()
 
+TYPES = {"string": "VARCHAR", "double": "DOUBLE", "bigint": "BIGINT", "boolean": "BOOLEAN"}
+
 
 def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
@@ -50,6 +52,10 @@ def difference(spark, con, sf_dir: str, run, sql: str) -> str | None:
     theirs = rows_of(columns, cursor.fetchall())
     if sorted(df.columns) != sorted(columns):
         return f"columns differ: {sorted(set(df.columns) ^ set(columns))}"
+    kinds = {name: kind for name, kind, *_ in con.execute(f"describe {sql}").fetchall()}
+    for f in df.schema.fields:
+        if str(kinds[f.name]) != TYPES.get(f.dataType.simpleString()):
+            return f"{f.name} is {f.dataType.simpleString()} against {kinds[f.name]}"
     if not ours:
         return "no rows"
     if ours != theirs:

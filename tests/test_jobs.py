@@ -188,6 +188,9 @@ def test_publish_reports_and_goes_on(spark, tmp_path):
     report = publish(spark, tables, str(tmp_path), shares, views=["a_view"])
     assert [r.status for r in report.collect()] == ["error", "added", "skipped"]
     assert as_set(spark.read.parquet(f"{tmp_path}/renamed"), "id") == {(1,)}
+    newer = publish(spark, tables, str(tmp_path), [Share("good", alias="renamed")], renew=True)
+    assert [r.status for r in newer.collect()] == ["added"]
+    assert spark.read.parquet(f"{tmp_path}/renamed").count() == 3
 
 
 def test_table_replaced_from_itself(spark, tmp_path):

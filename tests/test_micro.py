@@ -307,7 +307,7 @@ def test_change_feed(spark):
     }
 
 
-@pytest.mark.parametrize("limit", [100, 0])
+@pytest.mark.parametrize("limit", [100, 0, None])
 def test_costs_do_not_multiply_rows(spark, prices, limit):
     rows = [usage_row(str(i), "2024-01-02", "2024-01-03") for i in range(3)]
     lines = billing.billing_summary(usage(spark, *rows), prices)
