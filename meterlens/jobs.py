@@ -214,10 +214,11 @@ def _refresh_utilization(lake: Lake, source: str) -> None:
 
     def rebuild(dates: Dates) -> None:
         samples = lake.spark.read.schema(schema).parquet(source)
-        if dates is not None:  # a range on the stored column first: file statistics can skip by it
-            until = dates[-1] + dt.timedelta(days=1)
-            samples = samples.where((F.col("start_time") >= F.lit(dates[0])) & (F.col("start_time") < F.lit(until)))
-            samples = samples.where(F.to_date("start_time").isin(dates))
+        days = [d for d in dates or [] if d is not None]
+        if days and None not in dates:  # a range on the stored column first: file statistics can skip by it
+            until = days[-1] + dt.timedelta(days=1)
+            samples = samples.where((F.col("start_time") >= F.lit(days[0])) & (F.col("start_time") < F.lit(until)))
+        samples = only_dates(samples.withColumn("_day", F.to_date("start_time")), "_day", dates)
         hourly = compute.cluster_utilization(stamp_identifiers(samples, lake.account, lake.workspace))
         lake.gold("cluster_utilization").overwrite_dates(hourly.withColumn("_day", F.to_date("hour")))
 

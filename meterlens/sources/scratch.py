@@ -7,6 +7,9 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+# The temporary folder of this process, once one was needed.
+_LOCAL: list[str] = []
+
 
 def shared_folder(spark: SparkSession) -> str:
     """``spark.checkpoint.dir`` of the session; a temporary folder only in local mode without one."""
@@ -15,9 +18,9 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="meterlens-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if not _LOCAL:
+        _LOCAL.append(tempfile.mkdtemp(prefix="meterlens-"))
+    return _LOCAL[0]
 
 
 def new_folder(spark: SparkSession, name: str) -> str:

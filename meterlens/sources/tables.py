@@ -102,5 +102,12 @@ def create_views(datasets: dict[str, DataFrame]) -> None:
 
 
 def only_dates(df: DataFrame, date_col: str, dates: Iterable | None) -> DataFrame:
-    """Rows of the given dates, as literals so the partitions are pruned; ``None`` means all."""
-    return df if dates is None else df.where(F.col(date_col).isin(list(dates)))
+    """Rows of the given dates, as literals so the partitions are pruned.
+
+    A None among the dates stands for rows without one; ``dates=None`` means all rows.
+    """
+    if dates is None:
+        return df
+    days = list(dates)
+    wanted = F.col(date_col).isin([d for d in days if d is not None])
+    return df.where(wanted | F.col(date_col).isNull() if None in days else wanted)

@@ -15,13 +15,14 @@ from meterlens.streaming.ingest import BRONZE, read_bronze
 # which also bounds what the driver is told.
 MAX_DATES = 1000
 
-Dates = list[dt.date] | None  # None: all dates
+# The dates to rebuild, in order, with None last for rows without a date; None for all dates.
+Dates = list[dt.date | None] | None
 
 
 def distinct_dates(rows: DataFrame, date_col: str) -> Dates:
-    """The dates present, or None when they are too many or one is NULL."""
+    """The dates present, or None when they are too many."""
     found = [r[0] for r in rows.select(date_col).distinct().limit(MAX_DATES + 1).collect()]
-    return None if len(found) > MAX_DATES or None in found else sorted(found)
+    return None if len(found) > MAX_DATES else sorted(found, key=lambda d: (d is None, d))
 
 
 def rebuild_on_new_rows(rows: DataFrame, date_col: str, checkpoint: str, rebuild: Callable[[Dates], None]) -> None:

@@ -13,7 +13,7 @@ from meterlens.sources import layout
 from meterlens.sources.feeds import Probe, evolved_schema, read_snapshot, source_probe
 from meterlens.sources.publish import Share, publish
 from meterlens.sources.scratch import new_folder, shared_folder
-from meterlens.sources.tables import Table
+from meterlens.sources.tables import Table, only_dates
 from meterlens.streaming import refresh
 from meterlens.streaming.ingest import bronze_stream, ingest_feed, read_bronze, read_feed_stream
 from meterlens.validation.fixtures import PROJECTIONS, raw_feed
@@ -129,7 +129,17 @@ def test_a_backfill_rebuilds_everything(spark, monkeypatch):
     days = spark.range(3).select(F.date_add(F.lit(dt.date(2024, 1, 1)), F.col("id").cast("int")).alias("d"))
     assert refresh.distinct_dates(days, "d") is None
     assert refresh.distinct_dates(days.limit(2), "d") == [dt.date(2024, 1, 1), dt.date(2024, 1, 2)]
-    assert refresh.distinct_dates(spark.range(1).select(F.lit(None).cast("date").alias("d")), "d") is None
+
+
+def test_rows_without_a_date_are_a_date_of_their_own(spark, tmp_path):
+    one = dt.date(2024, 1, 1)
+    rows = spark.createDataFrame([(None, 1), (one, 2), (dt.date(2024, 1, 2), 3)], "d DATE, v INT")
+    table = Table(spark, str(tmp_path / "t"), "d")
+    table.replace(rows)
+    dates = refresh.distinct_dates(rows.where("v < 3"), "d")
+    assert dates == [one, None]
+    table.overwrite_dates(only_dates(table.read(), "d", dates).withColumn("v", F.col("v") * 10))
+    assert as_set(table.read(), "v") == {(10,), (20,), (3,)}
 
 
 def test_all_jobs(spark, tmp_path, lake):
@@ -249,3 +259,16 @@ def test_snapshot_and_probe(spark, tmp_path):
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
     assert new_folder(spark, "x") != new_folder(spark, "x")
+
+
+class Session:
+    """Only the settings of a session."""
+
+    def __init__(self, **conf):
+        self.conf = {key.replace("_", "."): value for key, value in conf.items()}
+
+
+def test_a_cluster_needs_a_shared_folder():
+    with pytest.raises(RuntimeError):
+        shared_folder(Session(spark_master="yarn"))
+    assert shared_folder(Session(spark_master="local[2]")) == shared_folder(Session(spark_master="local[2]"))
