@@ -6,7 +6,8 @@ import __spark_entry__ as contract
 import compare
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES, ORACLE = contract.queries(), contract.oracle_sql()
+QUERIES = {name: run for name, run in contract.queries().items() if name not in contract.LLM_QUERIES}
+ORACLE = {name: sql for name, sql in contract.oracle_sql().items() if name not in contract.LLM_QUERIES}
 
 
 @pytest.fixture(scope="module")
