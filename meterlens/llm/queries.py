@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlens.llm.store import table
+from meterlens.llm import langid
+from meterlens.llm.store import ship, table
 from meterlens.llm.token_counts import count_tokens
 
 #: Where the vocabulary of the token queries is.
@@ -21,8 +23,13 @@ ORACLE: dict[str, str] = {}
 
 
 def _query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    QUERIES[f.__name__] = f
-    return f
+    @functools.wraps(f)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return f(spark, sf_dir)
+
+    QUERIES[f.__name__] = run
+    return run
 
 
 @_query
@@ -32,3 +39,12 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "text", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes")
     )
     return count_tokens(docs, VOCABULARY).withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
+@_query
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language and score of every document."""
+    docs = table(spark, sf_dir, "documents")
+    net = langid.fit(docs)
+    rows = docs.select("doc_id", "text", langid.held_out().alias("held_out"))
+    return langid.identify(rows, net)

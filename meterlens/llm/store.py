@@ -2,11 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import tempfile
+import zipfile
+from pathlib import Path
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterlens.sources.scratch import new_folder
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this library to the executors, once in an application, so that their Python finds it."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    top = Path(__file__).resolve().parents[1]
+    archive = f"{tempfile.mkdtemp()}/{top.name}.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(top.rglob("*.py")):
+            z.write(f, f.relative_to(top.parent))
+    context.addPyFile(archive)
+    _SHIPPED.add(context.applicationId)
+
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a written table, so that later jobs neither compute it again nor lose it with an executor."""
@@ -15,11 +35,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def read(df_or_path: str, spark) -> DataFrame:
-    return spark.read.parquet(df_or_path)
-
-
-def table(spark, sf_dir: str, name: str) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
