@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlens.llm import langid
+from meterlens.llm import langid, topk
 from meterlens.llm.store import ship, table
 from meterlens.llm.token_counts import count_tokens
 
@@ -48,3 +48,23 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     net = langid.fit(docs)
     rows = docs.select("doc_id", "text", langid.held_out().alias("held_out"))
     return langid.identify(rows, net)
+
+
+@_query
+def op4_top_k_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best other vectors of each vector whose id is divisible by 20."""
+    items = topk.vectors(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", 64)
+    return topk.search(items, items.where(F.col("id") % 20 == 0), 20)
+
+
+ORACLE["op4_top_k_search"] = """
+with v as (
+  select vec_id, list_transform(embedding, lambda x: cast(floor(64 * cast(x as double)) as bigint)) e from embeddings
+  where vec_id is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), s as (
+  select q.vec_id query_id, c.vec_id, cast(list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2])) as bigint) score
+  from v q join v c on q.vec_id % 20 = 0 and c.vec_id <> q.vec_id
+), r as (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s)
+select query_id, cast(rank as integer) as rank, vec_id, score from r where rank <= 20
+"""
