@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlens.llm import langid, topk
+from meterlens.llm import langid, line_dedup, topk
 from meterlens.llm.store import ship, table
 from meterlens.llm.token_counts import count_tokens
 
@@ -68,3 +68,25 @@ with v as (
 ), r as (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s)
 select query_id, cast(rank as integer) as rank, vec_id, score from r where rank <= 20
 """
+
+
+@_query
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of every document, how many of them are dropped, and a hash of what stays."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.drop_repeated_lines(docs).select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+ORACLE["op3_line_dedup"] = r"""
+with l as (
+  select doc_id, rid, unnest(string_split(coalesce(text, ''), chr(10))) line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) n
+  from (select *, row_number() over () rid from documents)
+), k as (
+  select *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') key from l
+), r as (
+  select key, min(doc_id) first from k where doc_id is not null and length(key) >= 10 group by key having min(doc_id) < max(doc_id)
+)
+select k.doc_id, count(*) n_lines, count(*) filter (where r.first < k.doc_id) n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) order by n) filter (where not coalesce(r.first < k.doc_id, false)), '')) kept_sha256
+from k left join r using (key) group by rid, k.doc_id
+"""
