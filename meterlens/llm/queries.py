@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlens.llm import langid, line_dedup, topk
+from meterlens.llm import decontaminate, langid, line_dedup, topk
 from meterlens.llm.store import ship, table
 from meterlens.llm.token_counts import count_tokens
 
@@ -90,3 +90,35 @@ select k.doc_id, count(*) n_lines, count(*) filter (where r.first < k.doc_id) n_
   sha256(coalesce(string_agg(line, chr(10) order by n) filter (where not coalesce(r.first < k.doc_id, false)), '')) kept_sha256
 from k left join r using (key) group by rid, k.doc_id
 """
+
+
+@_query
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document inside windows of benchmark items, and these items."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
+    listed = F.sha2(F.array_join("items", ","), 256).alias("items_sha256")
+    return found.select("doc_id", "n_words", "n_hit", "n_items", listed, "contaminated")
+
+
+ORACLE["op6_decontamination"] = r"""
+with dw as (
+  select row_number() over () rid, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') w
+  from documents
+), bw as (
+  select item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') w
+  from benchmark
+), iw as (
+  select distinct item_id, n, array_to_string(w[s : s + n - 1], ' ') win
+  from (select *, unnest(range(1, len(w) - n + 2)) s from (select *, least(13, len(w)) n from bw where len(w) > 0))
+), ww as (
+  select rid, n, s, array_to_string(w[s : s + n - 1], ' ') win
+  from (select rid, w, n, unnest(range(1, len(w) - n + 2)) s from dw cross join (select distinct n from iw) where len(w) >= n)
+), m as (select rid, s, ww.n, item_id from ww join iw on ww.n = iw.n and ww.win = iw.win
+), h as (select rid, count(distinct p) n_hit from (select rid, unnest(range(s, s + n)) p from m) group by rid
+), t as (select rid, count(*) n_items, string_agg(i, ',' order by i) items from (select distinct rid, cast(item_id as varchar) i from m where item_id is not null) group by rid)
+select doc_id, len(w) n_words, coalesce(n_hit, 0) n_hit, coalesce(n_items, 0) n_items, sha256(coalesce(items, '')) items_sha256,
+  coalesce(n_hit > 0 and 20 * n_hit >= len(w), false) contaminated
+from dw left join h using (rid) left join t using (rid)
+"""
