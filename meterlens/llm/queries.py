@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlens.llm import decontaminate, langid, line_dedup, topk
+from meterlens.llm import decontaminate, langid, line_dedup, packing, topk
 from meterlens.llm.store import ship, table
 from meterlens.llm.token_counts import count_tokens
 
@@ -122,3 +122,14 @@ select doc_id, len(w) n_words, coalesce(n_hit, 0) n_hit, coalesce(n_items, 0) n_
   coalesce(n_hit > 0 and 20 * n_hit >= len(w), false) contaminated
 from dw left join h using (rid) left join t using (rid)
 """
+
+
+@_query
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pieces of every document and their places in sequences."""
+    return packed(table(spark, sf_dir, "documents"))
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    cut = packing.pieces(docs.select("doc_id", "text"), VOCABULARY)
+    return packing.pack(cut.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))

@@ -15,6 +15,7 @@ import functools
 import json
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -108,29 +109,37 @@ def parts(text: str, size: int = PART) -> Iterator[str]:
     yield text[start:]
 
 
-def counts(texts: list[str], path: str) -> list[int]:
-    """The number of tokens of each text."""
+def _encoded(texts: list[str], path: str) -> Iterator[tuple[int, list[int]]]:
+    """The number of a text and the ids of its next part, in order, encoded in batches of about ``BATCH``."""
     encode, cut = encoder(path)
-    out, batch, owner, size = [0] * len(texts), [], [], 0
-
-    def flush() -> None:
-        for i, ids in zip(owner, encode(batch), strict=True):
-            out[i] += len(ids)
-        batch.clear()
-        owner.clear()
-
+    batch, owner, size = [], [], 0
     for i, text in enumerate(texts):
         for part in parts(text) if cut else (text,):
             batch.append(part)
             owner.append(i)
             size += len(part)
             if size >= BATCH:
-                flush()
-                size = 0
-    flush()
+                yield from zip(owner, encode(batch), strict=True)
+                batch, owner, size = [], [], 0
+    yield from zip(owner, encode(batch), strict=True)
+
+
+def counts(texts: list[str], path: str) -> list[int]:
+    """The number of tokens of each text."""
+    out = [0] * len(texts)
+    for i, ids in _encoded(texts, path):
+        out[i] += len(ids)
     return out
 
 
+def token_ids(texts: list[str], path: str) -> list[np.ndarray]:
+    """The ids of each text."""
+    out: list[list[np.ndarray]] = [[] for _ in texts]
+    for i, ids in _encoded(texts, path):
+        out[i].append(np.array(ids, np.uint32))
+    return [np.concatenate(x) if len(x) != 1 else x[0] for x in out]
+
+
 def count_tokens(df: DataFrame, path: str, text: str = "text", out: str = "n_tokens") -> DataFrame:
     """``df`` without ``text`` but with its number of tokens in ``out``; a null or empty text has none.
 
