@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlens.llm import decontaminate, langid, line_dedup, packing, topk
+from meterlens.llm import decontaminate, jaccard, langid, line_dedup, packing, topk
 from meterlens.llm.store import ship, table
 from meterlens.llm.token_counts import count_tokens
 
@@ -133,3 +133,9 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def packed(docs: DataFrame) -> DataFrame:
     cut = packing.pieces(docs.select("doc_id", "text"), VOCABULARY)
     return packing.pack(cut.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
+
+
+@_query
+def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The component of every document under links of similar 5-word shingle sets."""
+    return jaccard.similar(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "n_shingles", "component_id")
