@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlens.llm import decontaminate, jaccard, langid, line_dedup, packing, topk
+from meterlens.llm import decontaminate, html_text, jaccard, langid, line_dedup, packing, topk
 from meterlens.llm.store import ship, table
 from meterlens.llm.token_counts import count_tokens
 
@@ -139,3 +139,10 @@ def packed(docs: DataFrame) -> DataFrame:
 def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The component of every document under links of similar 5-word shingle sets."""
     return jaccard.similar(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "n_shingles", "component_id")
+
+
+@_query
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_text.extract(pages).withColumn("n_chars", F.char_length("text").cast("long"))
