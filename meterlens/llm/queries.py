@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlens.llm import decontaminate, html_text, jaccard, langid, line_dedup, packing, topk
+from meterlens.llm import decontaminate, html_text, jaccard, langid, line_dedup, packing, paragraphs, topk
 from meterlens.llm.store import ship, table
 from meterlens.llm.token_counts import count_tokens
 
@@ -146,3 +146,10 @@ def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of every page."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return html_text.extract(pages).withColumn("n_chars", F.char_length("text").cast("long"))
+
+
+@_query
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every paragraph that is repeated in another document, and whether it is the copy that goes."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return paragraphs.repeats(docs).drop("row_key")

@@ -15,7 +15,7 @@ _FOLD[ord("A") : ord("Z") + 1] += 32
 #: A random odd 64-bit value for each byte; A-Z share those of a-z.
 _VALUE = (_RNG.integers(0, 2**63, 256, dtype=np.uint64) * 2 + 1)[_FOLD]
 _BASE = int(_RNG.integers(0, 2**61, dtype=np.uint64)) * 8 + 5
-_STEPS = _RNG.integers(0, 2**63, 64, dtype=np.uint64) * 2 + 1
+STEPS = _RNG.integers(0, 2**63, 64, dtype=np.uint64) * 2 + 1
 
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -119,15 +119,15 @@ def ngrams(hashes: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndar
         whole = row[:n] == row[width - 1 :]
         total = np.zeros(n, np.uint64)
         for k in range(width):
-            total += hashes[k : k + n] * _STEPS[k]
+            total += hashes[k : k + n] * STEPS[k]
         parts.append(mix(total[whole]))
         of.append(row[:n][whole])
     short = np.flatnonzero((counts > 0) & (counts < width))
     if len(short):
-        total = counts[short].astype(np.uint64) * _STEPS[63]
+        total = counts[short].astype(np.uint64) * STEPS[63]
         for k in range(width - 1):
             there = counts[short] > k
-            total[there] += hashes[offsets[short][there] + k] * _STEPS[k]
+            total[there] += hashes[offsets[short][there] + k] * STEPS[k]
         parts.append(mix(total))
         of.append(short)
     if not parts:
@@ -156,9 +156,9 @@ def ngram_sets(hashes: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.
 
 def set_ids(grams: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """A 64-bit id of each row's set, the same for equal sets; 0 for an empty one."""
-    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(grams ^ _STEPS[62]), dtype=np.uint64)))
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(grams ^ STEPS[62]), dtype=np.uint64)))
     size = np.diff(offsets).astype(np.uint64)
-    return np.where(size > 0, mix((sums[offsets[1:]] - sums[offsets[:-1]]) + size * _STEPS[61]), np.uint64(0))
+    return np.where(size > 0, mix((sums[offsets[1:]] - sums[offsets[:-1]]) + size * STEPS[61]), np.uint64(0))
 
 
 def split_by(shard: np.ndarray, *arrays: np.ndarray) -> Iterator[tuple[int, tuple[np.ndarray, ...]]]:
