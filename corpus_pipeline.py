@@ -1,17 +1,71 @@
-"""A training corpus from ``documents``: five stages, each written as Parquet and read again."""
+"""A training corpus from ``documents``: five stages, each written as Parquet and read again.
+
+Every stage but the last returns the columns of its input, works on all that the stage
+before it kept, and makes its decisions on whole texts:
+
+1. ``language_id`` drops what has no language: a null text or one without a letter.
+2. ``line_dedup`` takes repeated lines out of all but the first document that holds them.
+3. ``ngram_jaccard`` keeps one document, that of the smallest id, of each group of similar ones.
+4. ``decontamination`` drops documents that hold benchmark passages.
+5. ``packing`` cuts the rest into pieces and packs these into sequences.
+
+Nulls in other columns, repeated rows, empty tables and more columns pass through; the
+operators' docstrings say what each does with them.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from meterlens.llm.store import stored, table
+from meterlens.llm import decontaminate, jaccard, langid, line_dedup, queries
+from meterlens.llm.store import ship, stored, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-STAGES: list[tuple[str, Stage]] = []
 
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a language. The network learns from the labelled ones among ``docs``."""
+    ship(spark)
+    named = langid.identify(docs, langid.fit(docs), keep_text=True)
+    return named.where(F.col("lang_pred") != langid.UNKNOWN).select(*docs.columns)
+
+
+def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with the lines that stay; ``n_chars`` follows the text."""
+    ship(spark)
+    return line_dedup.drop_repeated_lines(docs).withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
+
+
+def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group."""
+    ship(spark)
+    return jaccard.keep_one(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that aren't contaminated."""
+    ship(spark)
+    return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """``doc_id, piece, start, length, ids_crc32, sequence_id, offset`` of every piece."""
+    ship(spark)
+    return queries.packed(docs)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("language_id", language_id),
+    ("line_dedup", line_dedup_stage),
+    ("ngram_jaccard", ngram_jaccard),
+    ("decontamination", decontamination),
+    ("packing", packing_stage),
+]
+
+#: Training and applying a network and token ids are beyond SQL: tests hold the result against a brute-force version.
 ORACLE_SQL: str | None = None
 
 

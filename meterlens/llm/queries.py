@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlens.llm import decontaminate, html_text, jaccard, langid, line_dedup, packing, paragraphs, topk
+from meterlens.llm import decontaminate, html_text, jaccard, langid, line_dedup, packing, paragraphs, quality, topk
 from meterlens.llm.store import ship, table
 from meterlens.llm.token_counts import count_tokens
 
@@ -153,3 +153,10 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every paragraph that is repeated in another document, and whether it is the copy that goes."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return paragraphs.repeats(docs).drop("row_key")
+
+
+@_query
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weak-label posterior, score and verdict of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality.classify(docs, quality.fit(docs))
