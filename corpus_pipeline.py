@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterlens.llm import decontaminate, jaccard, langid, line_dedup, queries
-from meterlens.llm.store import ship, stored, table
+from meterlens.llm.store import fresh, ship, stored, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -29,14 +29,17 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a language. The network learns from the labelled ones among ``docs``."""
     ship(spark)
-    named = langid.identify(docs, langid.fit(docs), keep_text=True)
-    return named.where(F.col("lang_pred") != langid.UNKNOWN).select(*docs.columns)
+    lang, score = fresh(docs, "lang_pred"), fresh(docs, "score")
+    named = langid.identify(docs, langid.fit(docs), keep_text=True, lang_out=lang, score_out=score)
+    return named.where(F.col(lang) != langid.UNKNOWN).select(*docs.columns)
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with the lines that stay; ``n_chars`` follows the text."""
     ship(spark)
-    return line_dedup.drop_repeated_lines(docs).withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
+    lines, dropped = fresh(docs, "n_lines"), fresh(docs, "n_dropped")
+    left = line_dedup.drop_repeated_lines(docs, lines_out=lines, dropped_out=dropped)
+    return left.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
 
 
 def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

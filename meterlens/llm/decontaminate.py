@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterlens.llm import textbytes
-from meterlens.llm.store import row_key, stored
+from meterlens.llm.store import fresh, row_key, stored
 
 SEGMENT_BYTES = 4 << 20
 BLOCK_BYTES = 4 << 20
@@ -244,6 +244,7 @@ def contamination(df: DataFrame, items: DataFrame, id_column: str = "doc_id", te
 def decontaminate(df: DataFrame, items: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """``df`` without its contaminated rows; of repeated rows all stay or go, and a null id is like any other."""
     bad = contamination(df, items, id_column, text).where("contaminated").select("doc_id", "row_key").distinct()
-    keyed = df.withColumn("_key", row_key(id_column, text))
-    gone = (keyed["_key"] == bad["row_key"]) & keyed[id_column].cast("long").eqNullSafe(bad["doc_id"])
+    key = fresh(df, "_key")
+    keyed = df.withColumn(key, row_key(id_column, text))
+    gone = (keyed[key] == bad["row_key"]) & keyed[id_column].cast("long").eqNullSafe(bad["doc_id"])
     return keyed.join(bad, gone, "left_anti").select(*df.columns)

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from meterlens.llm import textbytes
 from meterlens.llm.components import link
-from meterlens.llm.store import row_key, shards, stored
+from meterlens.llm.store import fresh, row_key, shards, stored
 
 WIDTH = 5
 PERCENT = 80
@@ -240,6 +240,7 @@ def keep_one(df: DataFrame, id_column: str = "doc_id", text: str = "text") -> Da
     """``df`` with the document of the smallest id of each component only; null ids go where an id is in the component."""
     found = similar(df, id_column, text)
     gone = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id", "row_key").distinct()
-    keyed = df.withColumn("_key", row_key(id_column, text))
-    match = (keyed["_key"] == gone["row_key"]) & keyed[id_column].cast("long").eqNullSafe(gone["doc_id"])
+    key = fresh(df, "_key")
+    keyed = df.withColumn(key, row_key(id_column, text))
+    match = (keyed[key] == gone["row_key"]) & keyed[id_column].cast("long").eqNullSafe(gone["doc_id"])
     return keyed.join(gone, match, "left_anti").select(*df.columns)

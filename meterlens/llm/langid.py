@@ -80,8 +80,8 @@ def _softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
-def train(x: np.ndarray, y: np.ndarray, languages: list[str], epochs: int = 5, batch: int = 64, rate: float = 0.01) -> Network:
-    """A network for windows ``x`` with language numbers ``y``, by Adam with a fixed seed."""
+def train(x: np.ndarray, y: np.ndarray, languages: list[str], steps: int = 640, batch: int = 64, rate: float = 0.01) -> Network:
+    """A network for windows ``x`` with language numbers ``y``, by Adam with a fixed seed and number of steps."""
     rng = np.random.default_rng(7)
     net = Network(
         languages,
@@ -94,7 +94,7 @@ def train(x: np.ndarray, y: np.ndarray, languages: list[str], epochs: int = 5, b
     weights = [net.embedding, *net.filters, *net.bias, net.out, net.out_bias]
     first, second = ([np.zeros_like(w) for w in weights] for _ in range(2))
     step = 0
-    for _ in range(epochs):
+    while step < steps:
         order = rng.permutation(len(x))
         for at in range(0, len(order), batch):
             xs, ys = x[order[at : at + batch]].astype(np.intp), y[order[at : at + batch]]
@@ -187,15 +187,17 @@ def fit(df: DataFrame, sample: int = SAMPLE, id_column: str = "doc_id", text: st
     return train(x, y, languages)
 
 
-def identify(df: DataFrame, net: Network | None, text: str = "text", keep_text: bool = False) -> DataFrame:
-    """``df`` with ``lang_pred`` and ``score`` (0 to 1), without ``text`` unless ``keep_text``.
+def identify(
+    df: DataFrame, net: Network | None, text: str = "text", keep_text: bool = False, lang_out: str = "lang_pred", score_out: str = "score"
+) -> DataFrame:
+    """``df`` with a language and a score (0 to 1), without ``text`` unless ``keep_text``.
 
     A null text or one without a letter is ``und`` with score 0; so is all without a
-    network. Columns of these names are replaced; all other columns and repeated rows
+    network. Columns of the two names are replaced; all other columns and repeated rows
     stay. Nothing is shuffled.
     """
-    others = [c for c in df.columns if c not in ("lang_pred", "score") and (keep_text or c != text)]
-    schema = df.select(*others).withColumns({"lang_pred": F.lit(""), "score": F.lit(0.0)}).schema
+    others = [c for c in df.columns if c not in (lang_out, score_out) and (keep_text or c != text)]
+    schema = df.select(*others).withColumns({lang_out: F.lit(""), score_out: F.lit(0.0)}).schema
     letters = has_letter(text) if net is not None else F.lit(False)
     n = len(others)
 

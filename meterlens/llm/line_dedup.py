@@ -159,7 +159,7 @@ def _probe(arrays: pa.Table, probes: pa.Table) -> pa.Table:
 
 def _drop(names: list[str], id_at: int, text_at: int, min_points: int):
     def run(docs: pa.Table, hits: pa.Table) -> pa.Table:
-        docs = docs.select(range(len(names)))
+        docs = docs.select(range(len(names) - 2))
         first = dict(zip(zip(hits.column("h").to_pylist(), hits.column("fp").to_pylist(), strict=True), hits.column("first").to_pylist(), strict=True))
         texts, total, dropped = [], [], []
         for doc, text in zip(docs.column(id_at).to_pylist(), docs.column(text_at).to_pylist(), strict=True):
@@ -168,14 +168,21 @@ def _drop(names: list[str], id_at: int, text_at: int, min_points: int):
             texts.append("\n".join(keep))
             total.append(len(lines))
             dropped.append(len(lines) - len(keep))
-        docs = docs.set_column(text_at, names[text_at], pa.array(texts, pa.string())).rename_columns(names)
-        return docs.append_column("n_lines", pa.array(total, pa.int64())).append_column("n_dropped", pa.array(dropped, pa.int64()))
+        docs = docs.set_column(text_at, names[text_at], pa.array(texts, pa.string()))
+        return docs.append_column("_lines", pa.array(total, pa.int64())).append_column("_dropped", pa.array(dropped, pa.int64())).rename_columns(names)
 
     return run
 
 
-def drop_repeated_lines(df: DataFrame, id_column: str = "doc_id", text: str = "text", min_points: int = MIN_POINTS) -> DataFrame:
-    """``df`` with repeated lines taken out of ``text``, and ``n_lines`` (before) and ``n_dropped``.
+def drop_repeated_lines(
+    df: DataFrame,
+    id_column: str = "doc_id",
+    text: str = "text",
+    min_points: int = MIN_POINTS,
+    lines_out: str = "n_lines",
+    dropped_out: str = "n_dropped",
+) -> DataFrame:
+    """``df`` with repeated lines taken out of ``text``, the number of lines before, and of those dropped.
 
     A line's key is the line without ASCII white space at both ends, A-Z lower-cased.
     Keys of at least ``min_points`` code points that two documents hold lose their lines
@@ -183,7 +190,7 @@ def drop_repeated_lines(df: DataFrame, id_column: str = "doc_id", text: str = "t
     without an id takes no part and keeps its lines; rows of one id are one document.
     Other columns and repeated rows stay; columns of the two new names are replaced.
     """
-    names = [c for c in df.columns if c not in ("n_lines", "n_dropped")]
+    names = [c for c in df.columns if c not in (lines_out, dropped_out)]
     n_blocks = shards(df, text, BLOCK_BYTES)
     columns = [F.col(c).alias(f"_{i}") for i, c in enumerate(names)]
     doc, words = f"_{names.index(id_column)}", f"_{names.index(text)}"
@@ -214,6 +221,6 @@ def drop_repeated_lines(df: DataFrame, id_column: str = "doc_id", text: str = "t
         .withColumn("shard", shard)
     )
     hits = arrays.groupBy("shard").cogroup(probes.groupBy("shard")).applyInArrow(_probe, "block int, h long, fp long, first long")
-    schema = df.select(*names).withColumns({"n_lines": F.lit(0).cast("long"), "n_dropped": F.lit(0).cast("long")}).schema
-    run = _drop(names, names.index(id_column), names.index(text), min_points)
+    schema = df.select(*names).withColumns({lines_out: F.lit(0).cast("long"), dropped_out: F.lit(0).cast("long")}).schema
+    run = _drop(schema.names, names.index(id_column), names.index(text), min_points)
     return docs.groupBy("_block").cogroup(hits.groupBy("block")).applyInArrow(run, schema)

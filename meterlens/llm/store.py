@@ -39,6 +39,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, or with underscores before it one that ``df`` doesn't have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def row_key(id_column: str, text_column: str) -> Column:
     """A 64-bit key of a row's id and text, defined for nulls too; only equal rows share it."""
     return F.xxhash64(F.col(id_column).cast("string"), F.col(text_column))
