@@ -29,7 +29,7 @@ from meterlens.llm.token_counts import token_ids
 
 CAPACITY = 2048
 ROUNDS = 60  # of the multiplicative weights
-PRICED = 64  # configurations priced in a round
+PRICED = 256  # configurations priced in a round
 STEP = 0.1
 
 Config = dict[int, int]
