@@ -27,17 +27,22 @@ def days_before(as_of: Day, days: int) -> Column:
 
 
 def up_to(df: DataFrame, date_col: str, as_of: Day) -> DataFrame:
+    """Rows up to ``as_of``; without one there is no bound, so rows dated ahead of the session's clock stay."""
+    if as_of is None:
+        return df
     return df.where(F.col(date_col) <= day_of(as_of))
 
 
 def trailing(df: DataFrame, date_col: str, days: int, as_of: Day) -> DataFrame:
-    """Rows from ``as_of - days`` to ``as_of``, both included."""
+    """Rows from ``as_of - days`` to ``as_of``, both included; without ``as_of``, all from then on."""
     return up_to(df, date_col, as_of).where(F.col(date_col) >= days_before(as_of, days))
 
 
 def between_days(date_col: str, as_of: Day, oldest: int, newest: int) -> Column:
-    """Condition: ``as_of - oldest <= date < as_of - newest`` (``newest=0`` includes ``as_of``)."""
+    """Condition: ``as_of - oldest <= date < as_of - newest`` (``newest=0`` includes ``as_of``, or has no end without one)."""
     col = F.col(date_col)
+    if newest == 0 and as_of is None:
+        return col >= days_before(as_of, oldest)
     upper = col <= day_of(as_of) if newest == 0 else col < days_before(as_of, newest)
     return (col >= days_before(as_of, oldest)) & upper
 

@@ -11,18 +11,18 @@ from collections.abc import Callable, Collection, Iterable, Iterator, Mapping
 from dataclasses import dataclass
 from functools import partial
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterlens.functions import Day, day_of, stamp_identifiers
-from meterlens.operators import change_feed, fits_broadcast
-from meterlens.plans import audit, billing, compute, jobs, metadata, ml_spend, rollups, serving, tracking
+from meterlens.operators import change_feed, consolidate
+from meterlens.plans import audit, billing, billing_reports, compute, consolidated, jobs, metadata, ml_reports, ml_spend, rollups, serving, tracking
 from meterlens.schemas import feed_schema
+from meterlens.sources.failures import FAILURES, first_line
 from meterlens.sources.feeds import evolved_schema
-from meterlens.sources.layout import CLUSTER_COLUMNS, compact_all
+from meterlens.sources.layout import CLUSTER_COLUMNS, compact_all, refresh_clustered
 from meterlens.sources.publish import Share, publish, shared_names
-from meterlens.sources.tables import Table, only_dates
+from meterlens.sources.tables import Stored, Table, create_views, has_files, is_written, only_dates
 from meterlens.sources.together import together
 from meterlens.streaming.ingest import BRONZE, ingest_feed, read_bronze
 from meterlens.streaming.refresh import Dates, dates_of_price_changes, rebuild_on_new_bronze, rebuild_on_new_rows
@@ -67,6 +67,36 @@ _FROM_SUMS = {
     "executive_summary": ("cost_by_product", billing.executive_summary),
     "vector_search_summary": ("vector_search_costs", ml_spend.vector_search_summary),
 }
+# Each report and the stored tables it reads.
+REPORTS: dict[str, tuple[Callable[..., DataFrame], tuple[str, ...]]] = {
+    "v_current_month_spend": (billing_reports.v_current_month_spend, ("billing_summary",)),
+    "v_daily_spend_trend": (billing_reports.v_daily_spend_trend, ("billing_summary",)),
+    "v_serverless_comparison": (billing_reports.v_serverless_comparison, ("billing_summary",)),
+    "v_top_expensive_jobs": (billing_reports.v_top_expensive_jobs, ("billing_summary",)),
+    "v_cost_by_tags": (billing_reports.v_cost_by_tags, ("billing_summary",)),
+    "v_warehouse_costs": (lambda lines, as_of: billing_reports.v_warehouse_costs(lines), ("billing_summary",)),
+    "v_model_serving_costs": (billing_reports.v_model_serving_costs, ("billing_summary",)),
+    "v_dlt_pipeline_costs": (billing_reports.v_dlt_pipeline_costs, ("billing_summary",)),
+    "v_hourly_spend_pattern": (billing_reports.v_hourly_spend_pattern, ("billing_summary",)),
+    "v_notebook_costs": (billing_reports.v_notebook_costs, ("billing_summary",)),
+    "v_model_serving_cost_summary": (ml_reports.v_model_serving_cost_summary, ("model_serving_costs",)),
+    "v_foundation_model_leaderboard": (ml_reports.v_foundation_model_leaderboard, ("foundation_model_usage",)),
+    "v_external_model_summary": (ml_reports.v_external_model_summary, ("external_model_usage",)),
+    "v_endpoint_daily_pattern": (ml_reports.v_endpoint_daily_pattern, ("endpoint_usage_summary",)),
+    "v_inactive_endpoints": (ml_reports.v_inactive_endpoints, ("endpoint_inventory",)),
+    "v_mlflow_experiment_activity": (ml_reports.v_mlflow_experiment_activity, ("mlflow_experiments_summary",)),
+    "v_mlflow_daily_activity": (ml_reports.v_mlflow_daily_activity, ("mlflow_runs_summary",)),
+    "v_top_experimenters": (ml_reports.v_top_experimenters, ("mlflow_experiments_summary",)),
+    "v_vector_search_by_endpoint": (ml_reports.v_vector_search_by_endpoint, ("vector_search_costs",)),
+    "v_vector_search_daily_trend": (ml_reports.v_vector_search_daily_trend, ("vector_search_summary",)),
+    "v_aiml_spend_by_category": (ml_reports.v_aiml_spend_by_category, ("aiml_executive_summary",)),
+    "v_aiml_daily_trend": (ml_reports.v_aiml_daily_trend, ("aiml_executive_summary",)),
+    "v_aiml_wow_comparison": (ml_reports.v_aiml_wow_comparison, ("aiml_executive_summary",)),
+    "v_aiml_complete_inventory": (
+        lambda inventory, experiments, as_of: ml_reports.v_aiml_complete_inventory(inventory, experiments),
+        ("endpoint_inventory", "mlflow_experiments_summary"),
+    ),
+}
 # Tables compacted by the daily job.
 COMPACTED = ["billing_summary", "cost_by_product", "cost_by_sku", "cost_by_job", "job_runs_summary"]
 _PRICE_KEY = ["sku_name", "cloud", "currency_code", "price_start_time"]
@@ -88,7 +118,8 @@ class Lake:
         return f"{self.root}/checkpoints/{name}"
 
     def bronze(self, name: str) -> DataFrame:
-        return read_bronze(self.spark, self.bronze_path(name))
+        """A bronze table by its documented schema, and what a run with ``evolve`` has added; no rows if there are none yet."""
+        return read_bronze(self.spark, self.bronze_path(name), name, merge_schema=has_files(self.spark, f"{self.root}/evolved/{name}"))
 
     def gold(self, name: str) -> Table:
         return Table(self.spark, f"{self.root}/gold/{name}", _DATED.get(name))
@@ -153,6 +184,15 @@ def _ingest(lake: Lake, table: str, source: str, evolve: bool) -> None:
         workspace=lake.workspace,
         schema=evolved_schema(lake.spark, BRONZE[table].feed, source) if evolve else None,
     )
+    if evolve:  # a mark for readers that files may hold more columns
+        lake.spark.range(1).write.mode("overwrite").parquet(f"{lake.root}/evolved/{table}")
+
+
+def _ensure(table: Table, empty: Callable[[], DataFrame]) -> Table:
+    """A table that no row has reached yet, as an empty one."""
+    if not table.exists():
+        table.replace(empty())
+    return table
 
 
 def _snapshot(lake: Lake, feed: str, path: str) -> DataFrame:
@@ -174,14 +214,11 @@ def _refresh_billing(lake: Lake, new_prices: DataFrame) -> None:
     """
     incoming, current = lake.gold("list_prices_incoming"), lake.gold("list_prices")
     incoming.replace(new_prices)
-    # With a broadcast price list the lines keep the date order of the bronze files and
-    # are written as they are; otherwise the join has scattered them.
-    in_order = fits_broadcast(incoming.read())
 
     def rebuild(dates: Dates) -> None:
         usage = only_dates(lake.bronze("billing_usage_bronze"), "usage_date", dates)
         lines = billing.billing_summary(usage, incoming.read())
-        lake.gold("billing_summary").overwrite_dates(lines, laid_out=in_order)
+        lake.gold("billing_summary").overwrite_dates(lines)
         stored = only_dates(lake.gold("billing_summary").read(), "usage_date", dates)
         together(partial(lake.gold(name).overwrite_dates, build(stored)) for name, build in _FROM_LINES.items())
         for name, (source, build) in _FROM_SUMS.items():
@@ -191,9 +228,14 @@ def _refresh_billing(lake: Lake, new_prices: DataFrame) -> None:
     if current.exists():
         changes = change_feed(current.read(), incoming.read(), _PRICE_KEY)
         dates = dates_of_price_changes(changes, lake.bronze("billing_usage_bronze"))
-        if dates is None or dates:
+        if dates:
             rebuild(dates)
     current.replace(incoming.read())
+    lines = _ensure(lake.gold("billing_summary"), lambda: billing.billing_summary(lake.bronze("billing_usage_bronze"), incoming.read()))
+    for name, build in _FROM_LINES.items():
+        _ensure(lake.gold(name), lambda build=build: build(lines.read().where("false")))
+    for name, (source, build) in _FROM_SUMS.items():
+        _ensure(lake.gold(name), lambda source=source, build=build: build(lake.gold(source).read().where("false")))
 
 
 def _refresh_jobs(lake: Lake) -> None:
@@ -204,8 +246,8 @@ def _refresh_jobs(lake: Lake) -> None:
         lake.gold("job_runs_daily").overwrite_dates(jobs.job_runs_daily(runs))
 
     _on_new(lake, "job_runs_bronze", "daily", rebuild)
-    daily, current = lake.gold("job_runs_daily").read(), lake.gold("jobs_current").read()
-    lake.gold("job_runs_summary").replace(jobs.with_job_names(daily, current))
+    daily = _ensure(lake.gold("job_runs_daily"), lambda: jobs.job_runs_daily(lake.bronze("job_runs_bronze")))
+    lake.gold("job_runs_summary").replace(jobs.with_job_names(daily.read(), lake.gold("jobs_current").read()))
 
 
 def _refresh_utilization(lake: Lake, source: str) -> None:
@@ -233,6 +275,9 @@ def _refresh_audit(lake: Lake) -> None:
         lake.gold("data_access_summary").overwrite_dates(audit.data_access_summary(events))
 
     _on_new(lake, "audit_logs_bronze", "activity", rebuild)
+    events = lambda: lake.bronze("audit_logs_bronze").where("false")
+    _ensure(lake.gold("user_activity_summary"), lambda: audit.user_activity_summary(events()))
+    _ensure(lake.gold("data_access_summary"), lambda: audit.data_access_summary(events()))
 
 
 def _refresh_serving(lake: Lake) -> None:
@@ -245,8 +290,9 @@ def _refresh_serving(lake: Lake) -> None:
         lake.gold("endpoint_usage_daily").overwrite_dates(serving.endpoint_usage_daily(requests))
 
     _on_new(lake, "endpoint_usage_bronze", "daily", rebuild)
+    daily = _ensure(lake.gold("endpoint_usage_daily"), lambda: serving.endpoint_usage_daily(lake.bronze("endpoint_usage_bronze")))
     usage = lake.gold("endpoint_usage_summary")
-    usage.replace(serving.with_entities(lake.gold("endpoint_usage_daily").read(), served.read()))
+    usage.replace(serving.with_entities(daily.read(), served.read()))
     lake.gold("foundation_model_usage").replace(serving.foundation_model_usage(usage.read()))
     lake.gold("external_model_usage").replace(serving.external_model_usage(usage.read()))
     if lake.gold("serving_costs_daily").exists():
@@ -256,26 +302,32 @@ def _refresh_serving(lake: Lake) -> None:
 
 
 def _refresh_tracking(lake: Lake, latest: bool) -> None:
-    """The versions of a run share its start and so its date: picking the newest per date is enough."""
+    """Daily runs by date. With ``latest`` a new version may move a run to another date, so all dates are written again."""
     runs_of = tracking.latest_runs if latest else lambda runs: runs
     experiments_of = tracking.latest_experiments if latest else lambda experiments: experiments
 
     def rebuild(dates: Dates) -> None:
-        runs = only_dates(lake.bronze("mlflow_runs_bronze"), "_day", dates)
-        lake.gold("mlflow_runs_summary").overwrite_dates(tracking.mlflow_runs_summary(runs_of(runs)))
+        summary = lake.gold("mlflow_runs_summary")
+        if latest:
+            summary.replace(tracking.mlflow_runs_summary(runs_of(lake.bronze("mlflow_runs_bronze"))))
+        else:
+            summary.overwrite_dates(tracking.mlflow_runs_summary(only_dates(lake.bronze("mlflow_runs_bronze"), "_day", dates)))
 
     _on_new(lake, "mlflow_runs_bronze", "daily", rebuild)
     experiments, runs = lake.bronze("mlflow_experiments_bronze"), lake.bronze("mlflow_runs_bronze")
+    _ensure(lake.gold("mlflow_runs_summary"), lambda: tracking.mlflow_runs_summary(runs.where("false")))
     summary = tracking.mlflow_experiments_summary(experiments_of(experiments), runs_of(runs))
     lake.gold("mlflow_experiments_summary").replace(summary)
 
 
 def run_daily(lake: Lake, *, as_of: Day = None, compact_days: int | None = 7) -> DataFrame:
-    """Write the rollups, then compact; returns the compaction report.
+    """Write the rollups whose tables are there, bring the clustered copies up to date, compact; returns a report.
 
-    Tables partitioned by date are compacted for the ``compact_days`` days up to
-    ``as_of`` only; ``None`` compacts them whole. Bronze tables belong to their
-    streams and are not rewritten; clustered copies of them are kept instead.
+    Bronze tables belong to their streams and are not rewritten; copies of four of them
+    are kept in cluster order instead. Each run writes the dates of the copies that have
+    new rows, however old, and those without a date. Dated tables get even files in the
+    ``compact_days`` days up to ``as_of`` (None: in all); this changes no content. A step
+    that fails is reported and the others go on.
     """
     gold = lambda name: lake.gold(name).read()
     builds = {
@@ -288,16 +340,12 @@ def run_daily(lake: Lake, *, as_of: Day = None, compact_days: int | None = 7) ->
         "job_success_rate_weekly": lambda: rollups.job_success_rate_weekly(gold("job_runs_summary")),
         "cost_trend_analysis": lambda: rollups.cost_trend_analysis(gold("cost_by_product")),
     }
-    together(partial(lake.rollup(name).replace, build()) for name, build in builds.items())
-    dates = None if compact_days is None else _last_dates(lake.spark, as_of, compact_days)
-    tables = {name: lake.gold(name) for name in COMPACTED}
-    for name in CLUSTER_COLUMNS:
-        bronze = _bronze_if_present(lake, name)
-        if bronze:
-            copy = lake.clustered(name)
-            copy.overwrite_dates(only_dates(bronze[name], copy.date_col, dates))
-            tables[name] = copy
-    return compact_all(lake.spark, tables, dates)
+    steps = {name: lambda name=name, build=build: lake.rollup(name).replace(build()) for name, build in builds.items()}
+    steps |= {name: partial(_refresh_clustered, lake, name) for name in CLUSTER_COLUMNS}
+    failed = [row for row in together(partial(_reported, name, step) for name, step in steps.items()) if row]
+    tables = {name: lake.gold(name) for name in COMPACTED if lake.gold(name).exists()}
+    compacted = compact_all(lake.spark, tables, None if compact_days is None else _last_dates(lake.spark, as_of, compact_days))
+    return compacted.unionByName(lake.spark.createDataFrame(failed, compacted.schema))
 
 
 def _last_dates(spark: SparkSession, as_of: Day, days: int) -> list[dt.date]:
@@ -305,6 +353,22 @@ def _last_dates(spark: SparkSession, as_of: Day, days: int) -> list[dt.date]:
     return [newest - dt.timedelta(days=i) for i in range(days)]
 
 
+def _reported(name: str, step: Callable[[], None]) -> tuple | None:
+    try:
+        step()
+    except FAILURES as error:
+        return name, None, first_line(error)
+
+
+def _refresh_clustered(lake: Lake, name: str) -> None:
+    copy = lake.clustered(name)
+
+    def rebuild(dates: Dates) -> None:
+        refresh_clustered(copy, only_dates(lake.bronze(name), copy.date_col, dates), CLUSTER_COLUMNS[name])
+
+    _on_new(lake, name, "clustered", rebuild)
+
+
 def run_publish(
     lake: Lake,
     target: str,
@@ -313,21 +377,47 @@ def run_publish(
     views: Collection[str] = (),
     renew: bool = False,
 ) -> DataFrame:
-    """Publish the given tables, by default all shared ones; returns the report."""
-    tables: dict[str, Table | DataFrame] = {}
+    """Publish the given tables, by default (None) all shared ones; returns the report."""
+    tables: dict[str, Table | Stored] = {}
     for name in shared_names():
         if name in BRONZE:
-            tables.update(_bronze_if_present(lake, name))
+            if has_files(lake.spark, lake.bronze_path(name)):
+                tables[name] = Stored(lake.bronze(name), BRONZE[name].date_col)
         else:
             gold, rollup = lake.gold(name), lake.rollup(name)
             tables[name] = gold if gold.exists() else rollup
-    return publish(lake.spark, tables, target, shares or [Share(n) for n in shared_names()], views=views, renew=renew)
+    chosen = [Share(n) for n in shared_names()] if shares is None else shares
+    return publish(lake.spark, tables, target, chosen, views=views, renew=renew)
 
 
-def _bronze_if_present(lake: Lake, name: str) -> dict[str, DataFrame]:
-    try:
-        return {name: lake.bronze(name)}
-    except AnalysisException as missing:
-        if missing.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return {}
-        raise
+def register_reports(lake: Lake, *, as_of: Day = None, prefix: str = "") -> list[str]:
+    """Register the 24 reports over the stored tables as temporary views, to be queried by name.
+
+    Reports whose tables aren't there are left out; returns the names that are registered.
+    """
+    views = {}
+    for name, (report, inputs) in REPORTS.items():
+        if all(lake.gold(x).exists() for x in inputs):
+            views[f"{prefix}{name}"] = report(*(lake.gold(x).read() for x in inputs), as_of=as_of)
+    create_views(views)
+    return list(views)
+
+
+def run_consolidate(spark: SparkSession, sources: Mapping[str, str], *, as_of: Day = None) -> dict[str, DataFrame]:
+    """The consolidated datasets and their comparisons over folders that other workspaces have published.
+
+    ``sources`` names each provider's folder. A dataset is the union of the providers that
+    have it; one that none has is left out, and so are comparisons that need it.
+    """
+    found: dict[str, DataFrame] = {}
+    for name, dataset in consolidated.CONSOLIDATED.items():
+        parts = {s: spark.read.parquet(f"{p.rstrip('/')}/{dataset}") for s, p in sources.items() if is_written(spark, f"{p.rstrip('/')}/{dataset}")}
+        if parts:
+            found[name] = consolidate(parts)
+    costs, aiml, usage = (found.get(x) for x in ("all_cost_by_product", "all_aiml_summary", "all_endpoint_usage"))
+    if costs is not None:
+        found["monthly_spend_by_account"] = consolidated.monthly_spend_by_account(costs, as_of=as_of)
+        found["account_comparison"] = consolidated.account_comparison(costs, as_of=as_of)
+    if aiml is not None and usage is not None:
+        found["aiml_spend_comparison"] = consolidated.aiml_spend_comparison(aiml, usage, as_of=as_of)
+    return found

@@ -6,16 +6,24 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DataType, MapType, StructType
+from pyspark.sql.types import ArrayType, DataType, MapType
 
 
-def _comparable(name: str, dtype: DataType) -> Column:
-    """Maps have no equality, so compare anything holding one through its sorted entries as text."""
+def _ordered(col: Column, dtype: DataType) -> Column:
+    """``col`` with each map at any depth as its entries sorted by key."""
+    if "map<" not in dtype.simpleString():
+        return col
     if isinstance(dtype, MapType):
-        return F.to_json(F.array_sort(F.map_entries(name)))
-    if isinstance(dtype, (ArrayType, StructType)) and "map<" in dtype.simpleString():
-        return F.to_json(name)
-    return F.col(name)
+        entry = lambda e: F.struct(_ordered(e["key"], dtype.keyType).alias("key"), _ordered(e["value"], dtype.valueType).alias("value"))
+        return F.array_sort(F.transform(F.map_entries(col), entry))
+    if isinstance(dtype, ArrayType):
+        return F.transform(col, lambda x: _ordered(x, dtype.elementType))
+    return F.when(col.isNotNull(), F.struct(*[_ordered(col[f.name], f.dataType).alias(f.name) for f in dtype.fields]))
+
+
+def _comparable(name: str, dtype: DataType) -> Column:
+    """Maps have no equality and no order, so what holds one is compared through its sorted entries as text."""
+    return F.to_json(F.struct(_ordered(F.col(name), dtype).alias("v"))) if "map<" in dtype.simpleString() else F.col(name)
 
 
 def change_feed(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -7,43 +7,34 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A lookup of at most this many rows (a few strings and numbers each) is broadcast.
-BROADCAST_ROWS = 100_000
 SALT_BUCKETS = 64
 
 
-def fits_broadcast(lookup: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """True when ``lookup`` has at most ``max_rows`` rows; the count stops just beyond the limit."""
-    return lookup.limit(max_rows + 1).count() <= max_rows
-
-
 def lookup_join(
     left: DataFrame,
     lookup: DataFrame,
     on: Mapping[str, str],
     *,
     also: Callable[[], Column] | None = None,
-    salt_on: Sequence[str],
-    max_broadcast_rows: int | None = BROADCAST_ROWS,
+    salt_on: Sequence[str] = (),
     buckets: int = SALT_BUCKETS,
 ) -> DataFrame:
     """Left join on ``on`` (left column to lookup column) plus an optional further condition.
 
-    A lookup counted as small is broadcast and ``left`` is not shuffled. A larger one
-    is joined by shuffle with a salted key: each left row goes to one of ``buckets``
-    by a hash of ``salt_on`` and each lookup row to all of them, so a key holding
-    much of ``left`` is spread over that many tasks. The salt is a hash, not a random
-    number, so a task retried after a lost executor sends its rows to the same place.
+    Spark broadcasts a lookup whose bytes it knows to be below its threshold, and ``left``
+    is then not shuffled. Otherwise both are shuffled, and adaptive execution splits a key
+    that holds much of ``left``.
 
-    ``max_broadcast_rows=None`` goes to the salted join without counting, for a lookup
-    that is itself costly to compute; adaptive execution may still broadcast it once
-    its size is known.
+    ``salt_on`` splits every key without adaptive execution: each left row goes to one of
+    ``buckets`` by a hash of these columns and each lookup row to all of them, so it is for
+    lookups that may be copied so often. The salt is a hash, not a random number, so a task
+    retried after a lost executor sends its rows to the same place.
     """
     condition = [F.col(a) == F.col(b) for a, b in on.items()]
     if also is not None:
         condition.append(also())
-    if max_broadcast_rows is not None and fits_broadcast(lookup, max_broadcast_rows):
-        return left.join(F.broadcast(lookup), condition, "left").drop(*on.values())
+    if not salt_on:
+        return left.join(lookup, condition, "left").drop(*on.values())
     spread = left.withColumn("_salt", F.pmod(F.xxhash64(*salt_on), F.lit(buckets)))
     copies = lookup.withColumn("_salt_copy", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(buckets - 1).cast("bigint"))))
     condition.append(F.col("_salt") == F.col("_salt_copy"))

@@ -33,15 +33,17 @@ def with_costs(
     lines: DataFrame,
     on: Sequence[str] = ("workspace_id", "job_id"),
     *,
-    max_broadcast_rows: int | None = None,
+    store_at: str | None = None,
+    salted: bool = False,
 ) -> DataFrame:
     """Attach cost to any feed by ids; rows without cost stay, with NULL.
 
     Billing is first summed to one row per key and day, so a feed row meets at most
     one row per billed day and no group is paired row by row. Put ``usage_date`` in
-    ``on`` for a feed that has it, and the join keeps the feed's row count. The sums
-    are not counted before the join, as that would compute them twice; give
-    ``max_broadcast_rows`` when ``lines`` is small enough for that not to matter.
+    ``on`` for a feed that has it, and the join keeps the feed's row count. ``store_at``
+    writes the sums to that folder first: Spark then knows their size before the join
+    and broadcasts them if they are small. ``salted`` splits heavy keys without adaptive
+    execution, for sums small enough to be copied: see ``lookup_join``.
     """
     per_day = dict.fromkeys([*on, "usage_date"])
     costs = (
@@ -49,10 +51,11 @@ def with_costs(
         .agg(F.sum("estimated_cost_usd").alias("estimated_cost_usd"))
         .withColumnsRenamed({k: f"_cost_{k}" for k in on})
     )
+    if store_at is not None:
+        costs.write.parquet(store_at)
+        costs = df.sparkSession.read.schema(costs.schema).parquet(store_at)
     plain = [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
-    return lookup_join(
-        df, costs, {k: f"_cost_{k}" for k in on}, salt_on=plain, max_broadcast_rows=max_broadcast_rows
-    )
+    return lookup_join(df, costs, {k: f"_cost_{k}" for k in on}, salt_on=plain if salted else ())
 
 
 def filtered_view(df: DataFrame, condition: Column, columns: Sequence[str] = ()) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from meterlens.functions import SCOPE, spend, sum_if
 from meterlens.functions.measures import respend
-from meterlens.operators.joins import BROADCAST_ROWS, lookup_join
+from meterlens.operators.joins import lookup_join
 from meterlens.operators.pivots import pivot_columns
 
 _ATTRIBUTION = [
@@ -32,7 +32,7 @@ def billing_summary(
     *,
     corrections: bool = False,
     price_at: str = "period",
-    max_broadcast_rows: int = BROADCAST_ROWS,
+    salted: bool = False,
 ) -> DataFrame:
     """One row per original usage record with its list-price cost, nested fields flattened.
 
@@ -40,7 +40,8 @@ def billing_summary(
     price's start and ends by its end (an open end is NULL). A record without a price,
     such as one across a price change, costs 0. ``price_at="start"`` looks only at the
     record's start, which prices such records too. ``corrections=True`` also keeps
-    retractions and restatements, so that sums are net of them.
+    retractions and restatements, so that sums are net of them. ``salted`` is for a price
+    list too large to broadcast where adaptive execution is off: see ``lookup_join``.
     """
     if price_at not in ("period", "start"):
         raise ValueError(f"price_at must be 'period' or 'start', not {price_at!r}")
@@ -67,18 +68,25 @@ def billing_summary(
         price_list,
         {"sku_name": "_price_sku", "cloud": "_price_cloud"},
         also=in_force,
-        salt_on=["record_id", "workspace_id", "usage_start_time", "usage_quantity"],
-        max_broadcast_rows=max_broadcast_rows,
+        salt_on=["record_id", "workspace_id", "usage_start_time", "usage_quantity"] if salted else (),
     )
     free = F.lit(0).cast("decimal(18,4)")
     cost = F.col("usage_quantity") * F.coalesce("_unit_price", free)
     lineage = ["_ingested_at"] if "_ingested_at" in usage.columns else []
+    # The columns of the priced lines, in this order.
     return priced.select(
-        *SCOPE[:2],
+        "_account_identifier",
+        "_workspace_identifier",
         "account_id",
-        SCOPE[2],
-        *["usage_date", "usage_start_time", "usage_end_time"],
-        *["sku_name", "cloud", "billing_origin_product", "usage_quantity", "usage_unit"],
+        "workspace_id",
+        "usage_date",
+        "usage_start_time",
+        "usage_end_time",
+        "sku_name",
+        "cloud",
+        "billing_origin_product",
+        "usage_quantity",
+        "usage_unit",
         cost.alias("estimated_cost_usd"),
         *_ATTRIBUTION,
         "identity_metadata.run_as",

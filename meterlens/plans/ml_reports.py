@@ -89,9 +89,14 @@ def _experiment_report(experiments_summary: DataFrame, *columns) -> DataFrame:
 def v_mlflow_experiment_activity(experiments_summary: DataFrame, *, as_of: Day = None) -> DataFrame:
     return _experiment_report(
         experiments_summary,
-        *["lifecycle_stage", "total_runs", "successful_runs", "failed_runs"],
+        "lifecycle_stage",
+        "total_runs",
+        "successful_runs",
+        "failed_runs",
         percent("successful_runs", "total_runs").alias("success_rate_pct"),
-        *["distinct_users", "first_run", "last_run"],
+        "distinct_users",
+        "first_run",
+        "last_run",
         F.date_diff(day_of(as_of), F.to_date("last_run")).alias("days_since_last_run"),
     )
 
@@ -128,7 +133,9 @@ def v_top_experimenters(experiments_summary: DataFrame, *, as_of: Day = None, n:
     recent = experiments_summary.where(F.col("last_run") >= days_before(as_of, 30))
     report = _experiment_report(
         recent,
-        *["total_runs", "successful_runs", "distinct_users"],
+        "total_runs",
+        "successful_runs",
+        "distinct_users",
         percent("successful_runs", "total_runs").alias("success_rate_pct"),
         "last_run",
     )

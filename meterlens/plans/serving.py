@@ -122,11 +122,17 @@ def endpoint_inventory(
     )
     entities = served_current.select(
         *SCOPE,
-        *["endpoint_id", "endpoint_name", "served_entity_id", "served_entity_name"],
-        *["entity_type", "entity_name", "entity_version"],
+        "endpoint_id",
+        "endpoint_name",
+        "served_entity_id",
+        "served_entity_name",
+        "entity_type",
+        "entity_name",
+        "entity_version",
         F.col("task").alias("task_type"),
         F.col("endpoint_config_version").alias("config_version"),
-        *["created_by", "change_time"],
+        "created_by",
+        "change_time",
     )
     joined = entities.join(per_endpoint, endpoint, "left")
     return joined.select(*entities.columns, "total_cost_usd_30d", "last_billing_date")

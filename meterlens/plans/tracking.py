@@ -42,12 +42,14 @@ def mlflow_experiments_summary(experiments: DataFrame, runs: DataFrame) -> DataF
     or_zero = lambda c: F.coalesce(c, F.lit(0)).alias(c)
     return experiments.join(stats, "experiment_id", "left").select(
         *SCOPE,
-        *["experiment_id", "name"],
+        "experiment_id",
+        "name",
         F.col("create_time").alias("creation_time"),
         F.col("update_time").alias("last_update_time"),
         F.when(F.col("delete_time").isNull(), "active").otherwise("deleted").alias("lifecycle_stage"),
         *[or_zero(c) for c in counts],
-        *["first_run", "last_run"],
+        "first_run",
+        "last_run",
         or_zero("distinct_users"),
     )
 

@@ -4,15 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
-from functools import reduce
+from functools import partial, reduce
 
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from meterlens.functions import Day, days_before, stamp_identifiers
 from meterlens.schemas import feed_schema
+from meterlens.sources.failures import FAILURES, first_line
+from meterlens.sources.together import together
 
 
 def read_snapshot(
@@ -46,7 +47,7 @@ def union_evolving(*frames: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Probe:
-    """What to check of a feed: all rows, or those of the last ``days`` by ``date_col``."""
+    """What to check of a feed: count all rows, or those of the last ``days`` by ``date_col``."""
 
     read: Callable[[], DataFrame]
     date_col: str | None = None
@@ -54,23 +55,20 @@ class Probe:
 
 
 def source_probe(spark: SparkSession, probes: Mapping[str, Probe], *, as_of: Day = None) -> DataFrame:
-    """Row count and newest date per feed, one row each; an unreadable feed reports its error."""
-    rows = []
-    for name, probe in probes.items():
+    """Row count and newest date per feed, one row each; a feed that can't be read reports its error.
+
+    The newest date is that of all rows, so a feed without recent rows shows how old it
+    is. Each feed is its own job: one that fails leaves the others alone.
+    """
+
+    def one(name: str, probe: Probe) -> tuple:
         try:
-            df = probe.read()
+            recent = F.lit(True) if probe.days is None else F.col(probe.date_col) >= days_before(as_of, probe.days)
             newest = F.max(probe.date_col).cast("date") if probe.date_col else F.lit(None).cast("date")
-            if probe.days is not None:
-                df = df.where(F.col(probe.date_col) >= days_before(as_of, probe.days))
-            row = df.agg(F.count("*").alias("row_count"), newest.alias("newest_date"))
-            rows.append(row.select(F.lit(name).alias("feed"), "*", F.lit(None).cast("string").alias("error")))
-        except PySparkException as error:
-            rows.append(
-                spark.range(1).select(
-                    F.lit(name).alias("feed"),
-                    F.lit(None).cast("bigint").alias("row_count"),
-                    F.lit(None).cast("date").alias("newest_date"),
-                    F.lit(str(error).splitlines()[0]).alias("error"),
-                )
-            )
-    return reduce(DataFrame.unionByName, rows)
+            count, newest_date = probe.read().agg(F.count_if(recent), newest).first()
+            return name, count, newest_date, None
+        except FAILURES as error:
+            return name, None, None, first_line(error)
+
+    rows = together(partial(one, name, probe) for name, probe in probes.items())
+    return spark.createDataFrame(rows, "feed STRING, row_count BIGINT, newest_date DATE, error STRING")

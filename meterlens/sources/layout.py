@@ -5,13 +5,13 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterlens.functions import Day, days_before
+from meterlens.sources.failures import FAILURES, first_line
 from meterlens.sources.scratch import new_folder
-from meterlens.sources.tables import Table, only_dates
+from meterlens.sources.tables import Table, delete, only_dates
 
 TARGET_FILE_BYTES = 512 * 1024 * 1024
 
@@ -60,16 +60,27 @@ def compact_dates(
     """Rewrite only some dates of a table; the cost does not grow with its history.
 
     The dates are staged in the shared folder first, as a table cannot overwrite the
-    files it is being read from.
+    files it is being read from; the staged copy is removed afterwards.
     """
     staged = new_folder(table.spark, "compact")
     only_dates(table.read(), table.date_col, dates).write.partitionBy(table.date_col).parquet(staged)
     files = _planned_files(table.spark, staged, target_bytes)
     content = table.spark.read.schema(table.read().schema).parquet(staged)
     table.overwrite_dates(clustered(content, [table.date_col, *columns], files), laid_out=True)
+    delete(table.spark, staged)
     return files
 
 
+def refresh_clustered(copy: Table, content: DataFrame, columns: Sequence[str]) -> None:
+    """Write the given dates of a copy that is kept in cluster order, once.
+
+    Adaptive execution cuts a heavy date into even files and merges light ones; inside a
+    file rows are sorted, so its statistics let filters skip most row groups.
+    """
+    even = content.hint("rebalance", F.col(copy.date_col))
+    copy.overwrite_dates(even.sortWithinPartitions(copy.date_col, *columns), laid_out=True)
+
+
 def compact_all(
     spark: SparkSession, tables: Mapping[str, Table], dates: Sequence | None = None
 ) -> DataFrame:
@@ -83,8 +94,8 @@ def compact_all(
         try:
             whole = dates is None or table.date_col is None
             report.append((name, compact(table, columns) if whole else compact_dates(table, dates, columns), None))
-        except (PySparkException, FileNotFoundError) as error:
-            report.append((name, None, str(error).splitlines()[0]))
+        except FAILURES as error:
+            report.append((name, None, first_line(error)))
     return spark.createDataFrame(report, "table STRING, files INT, error STRING")
 
 

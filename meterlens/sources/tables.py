@@ -10,14 +10,54 @@ list it again.
 
 from __future__ import annotations
 
+import datetime as dt
 import json
+import operator
 from collections.abc import Iterable
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+def is_written(spark: SparkSession, path: str) -> bool:
+    """True for a folder whose write was committed."""
+    mark = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
+    return mark.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(mark)
+
+
+def has_files(spark: SparkSession, path: str) -> bool:
+    """True if there is any data file below a folder."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not system.exists(folder):
+        return False
+    files = system.listFiles(folder, True)
+    while files.hasNext():
+        if files.next().getPath().getName().endswith(".parquet"):
+            return True
+    return False
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder that this library has written."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@dataclass(frozen=True)
+class Stored:
+    """Something stored that isn't a ``Table``, with the column that it is partitioned by."""
+
+    df: DataFrame
+    date_col: str | None = None
+
+    def read(self) -> DataFrame:
+        return self.df
+
+
 _LOG = "version BIGINT, revision BIGINT, schema STRING"
 
 
@@ -102,12 +142,21 @@ def create_views(datasets: dict[str, DataFrame]) -> None:
 
 
 def only_dates(df: DataFrame, date_col: str, dates: Iterable | None) -> DataFrame:
-    """Rows of the given dates, as literals so the partitions are pruned.
+    """Rows of the given dates, as ranges of literals so the partitions are pruned.
 
     A None among the dates stands for rows without one; ``dates=None`` means all rows.
+    Dates in a row make one range, so a long backfill is a short condition.
     """
     if dates is None:
         return df
     days = list(dates)
-    wanted = F.col(date_col).isin([d for d in days if d is not None])
-    return df.where(wanted | F.col(date_col).isNull() if None in days else wanted)
+    ranges: list[list[dt.date]] = []
+    for d in sorted(x for x in days if x is not None):
+        if ranges and d - ranges[-1][1] <= dt.timedelta(days=1):
+            ranges[-1][1] = d
+        else:
+            ranges.append([d, d])
+    wanted = [F.col(date_col).between(F.lit(a), F.lit(b)) for a, b in ranges]
+    if None in days:
+        wanted.append(F.col(date_col).isNull())
+    return df.where(reduce(operator.or_, wanted, F.lit(False)))

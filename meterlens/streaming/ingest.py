@@ -16,6 +16,7 @@ from pyspark.sql.types import StructType
 
 from meterlens.functions import stamp_identifiers
 from meterlens.schemas import feed_schema
+from meterlens.sources.tables import has_files
 
 
 @dataclass(frozen=True)
@@ -72,13 +73,14 @@ def bronze_stream(stream: DataFrame, table: str, account: str | None = None, wor
     return rows
 
 
-def ingest(rows: DataFrame, table: str, target: str, checkpoint: str, *, partitioned: bool = True) -> None:
+def ingest(rows: DataFrame, table: str, target: str, checkpoint: str) -> None:
     """Append everything that has arrived, in batches of the source's file cap, then stop.
 
-    ``partitioned=False`` leaves out the date folders, for a feed so small that a day
-    of it does not fill a file.
+    Rows are gathered by date first, so a batch adds one file to a date, not one for each task.
     """
-    date_col = BRONZE[table].date_col if partitioned else None
+    date_col = BRONZE[table].date_col
+    if date_col:
+        rows = rows.repartition(date_col)
     writer = rows.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
     if date_col:
         writer = writer.partitionBy(date_col)
@@ -101,6 +103,25 @@ def ingest_feed(
     ingest(bronze_stream(stream, table, account, workspace), table, target, checkpoint)
 
 
-def read_bronze(spark: SparkSession, path: str, *, merge_schema: bool = False) -> DataFrame:
-    """A bronze table as a batch; ``merge_schema`` finds columns that only later files have."""
-    return spark.read.option("mergeSchema", merge_schema).parquet(path)
+def bronze_schema(spark: SparkSession, table: str) -> StructType:
+    """The documented columns of a bronze table: its feed's and the lineage columns."""
+    empty = spark.createDataFrame([], feed_schema(BRONZE[table].feed))
+    return bronze_stream(empty, table, "", "").schema
+
+
+def read_bronze(spark: SparkSession, path: str, table: str | None = None, *, merge_schema: bool = False) -> DataFrame:
+    """A bronze table as a batch.
+
+    With ``table`` its documented schema is taken, so an empty table, or one that isn't
+    there yet, is read as no rows. ``merge_schema`` also finds columns that files have
+    beyond it.
+    """
+    if table is None:
+        return spark.read.option("mergeSchema", merge_schema).parquet(path)
+    known = bronze_schema(spark, table)
+    if not has_files(spark, path):
+        return spark.createDataFrame([], known)
+    if merge_schema:
+        found = spark.read.option("mergeSchema", True).parquet(path).schema
+        known = StructType(known.fields + [f for f in found.fields if f.name not in known.names])
+    return spark.read.schema(known).parquet(path)

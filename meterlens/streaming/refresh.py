@@ -5,24 +5,20 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from meterlens.sources.tables import has_files
 from meterlens.streaming.ingest import BRONZE, read_bronze
 
-# Beyond this many distinct dates in one batch (a backfill) everything is rebuilt,
-# which also bounds what the driver is told.
-MAX_DATES = 1000
-
-# The dates to rebuild, in order, with None last for rows without a date; None for all dates.
-Dates = list[dt.date | None] | None
+# The dates to rebuild, in order, with None last for rows without a date. There is no limit: a calendar is short,
+# and dates in a row become one range (``only_dates``).
+Dates = list[dt.date | None]
 
 
 def distinct_dates(rows: DataFrame, date_col: str) -> Dates:
-    """The dates present, or None when they are too many."""
-    found = [r[0] for r in rows.select(date_col).distinct().limit(MAX_DATES + 1).collect()]
-    return None if len(found) > MAX_DATES else sorted(found, key=lambda d: (d is None, d))
+    """The dates present."""
+    return sorted((r[0] for r in rows.select(date_col).distinct().collect()), key=lambda d: (d is None, d or dt.date.min))
 
 
 def rebuild_on_new_rows(rows: DataFrame, date_col: str, checkpoint: str, rebuild: Callable[[Dates], None]) -> None:
@@ -34,7 +30,7 @@ def rebuild_on_new_rows(rows: DataFrame, date_col: str, checkpoint: str, rebuild
 
     def on_batch(batch: DataFrame, _batch_id: int) -> None:
         dates = distinct_dates(batch, date_col)
-        if dates is None or dates:
+        if dates:
             rebuild(dates)
 
     query = rows.select(date_col).writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
@@ -44,22 +40,39 @@ def rebuild_on_new_rows(rows: DataFrame, date_col: str, checkpoint: str, rebuild
 def rebuild_on_new_bronze(
     spark: SparkSession, table: str, bronze_path: str, checkpoint: str, rebuild: Callable[[Dates], None]
 ) -> None:
-    """``rebuild_on_new_rows`` over a bronze table, whose date column is its partition column."""
-    try:
-        schema = read_bronze(spark, bronze_path).schema
-    except AnalysisException as missing:
-        if missing.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return
-        raise
+    """``rebuild_on_new_rows`` over a bronze table, whose date column is its partition column; nothing for an empty one."""
+    if not has_files(spark, bronze_path):
+        return
+    schema = read_bronze(spark, bronze_path, table).schema
     rebuild_on_new_rows(spark.readStream.schema(schema).parquet(bronze_path), BRONZE[table].date_col, checkpoint, rebuild)
 
 
+def changed_intervals(changes: DataFrame) -> DataFrame:
+    """``_sku, _cloud, _from, _to``: for each changed price, the time in which it now prices otherwise.
+
+    A price that came, went or has another amount differs in its whole validity. One whose
+    end alone was moved, as when the next price is announced, differs between the two ends.
+    """
+    forever = F.timestamp_seconds(F.lit(253402214400))
+    end = F.coalesce("price_end_time", forever)
+    both = changes.groupBy("sku_name", "cloud", "currency_code", "price_start_time").agg(
+        F.min(end).alias("_first_end"),
+        F.max(end).alias("_to"),
+        F.count("*").alias("_rows"),
+        F.count_distinct(F.to_json("pricing")).alias("_amounts"),
+    )
+    moved = (F.col("_rows") == 2) & (F.col("_amounts") == 1)
+    start = F.when(moved, F.col("_first_end")).otherwise(F.col("price_start_time"))
+    return both.select(F.col("sku_name").alias("_sku"), F.col("cloud").alias("_cloud"), start.alias("_from"), "_to")
+
+
 def dates_of_price_changes(changes: DataFrame, usage: DataFrame) -> Dates:
-    """Usage dates inside the validity of any changed price."""
-    whole = changes.agg(
-        F.to_date(F.min("price_start_time")).alias("first"),
-        F.to_date(F.max(F.coalesce("price_end_time", F.timestamp_seconds(F.lit(253402214400))))).alias("last"),
-    ).first()
-    if whole["first"] is None:
-        return []
-    return distinct_dates(usage.where(F.col("usage_date").between(F.lit(whole["first"]), F.lit(whole["last"]))), "usage_date")
+    """Dates of the usage that a changed price bears on: same SKU and cloud, and within the changed time."""
+    changed = changed_intervals(changes)
+    touched = (
+        (F.col("sku_name") == F.col("_sku"))
+        & (F.col("cloud") == F.col("_cloud"))
+        & (F.col("usage_start_time") <= F.col("_to"))
+        & (F.coalesce("usage_end_time", "usage_start_time") >= F.col("_from"))
+    )
+    return distinct_dates(usage.join(changed, touched, "left_semi"), "usage_date")

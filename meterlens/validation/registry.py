@@ -37,6 +37,7 @@ from meterlens.plans import (
     serving,
     tracking,
 )
+from meterlens.sources.scratch import new_folder
 from meterlens.validation import oracle
 from meterlens.validation.fixtures import ACCOUNT, BILLING_DAY, CLOCK_GAP, EVENTS_DAY, MONTH_END, raw_feed
 from meterlens.validation.plain import plain
@@ -90,7 +91,7 @@ for _name, _relation, _options in (
     ("billing_summary_price_at_start", "billing_at_start", {"price_at": "start"}),
     ("billing_summary_with_corrections", "billing_net", {"corrections": True}),
     # the path for a price list too large to broadcast: salted shuffle join
-    ("billing_summary_salted", "billing_summary", {"max_broadcast_rows": 0}),
+    ("billing_summary_salted", "billing_summary", {"salted": True}),
 ):
     _add(
         _name,
@@ -475,10 +476,15 @@ _add(
     text="date last_seen",
     stat="avg_metric",
 )
-for _name, _limit in (("h_template_with_costs", {}), ("h_template_with_costs_broadcast", {"max_broadcast_rows": 100_000})):
+# The sums of the second are written first, so that Spark knows their size; the third has its keys salted.
+for _name, _options in (
+    ("h_template_with_costs", lambda w: {}),
+    ("h_template_with_costs_broadcast", lambda w: {"store_at": new_folder(w.spark, "costs")}),
+    ("h_template_with_costs_salted", lambda w: {"salted": True}),
+):
     _add(
         _name,
-        lambda w, limit=_limit: with_costs(w.jobs_current.select("workspace_id", "job_id", "name"), w.lines, **limit),
+        lambda w, options=_options: with_costs(w.jobs_current.select("workspace_id", "job_id", "name"), w.lines, **options(w)),
         "select * from h_template_with_costs",
         double="estimated_cost_usd",
         text="usage_date",

@@ -12,10 +12,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterlens.functions import SCOPE
-from meterlens.jobs import Lake, run_refresh
+from meterlens.jobs import Lake, register_reports, run_consolidate, run_daily, run_refresh
 from meterlens.operators import change_feed, extract_current_scd2
 from meterlens.sources.feeds import Probe, read_snapshot, source_probe, union_evolving
-from meterlens.sources.layout import CLUSTER_COLUMNS, clustered, compact, compact_dates, retained
+from meterlens.sources.layout import CLUSTER_COLUMNS, clustered, compact, compact_dates, retain
 from meterlens.sources.publish import Share, publish
 from meterlens.sources.scratch import new_folder
 from meterlens.sources.tables import Table, create_views
@@ -46,10 +46,8 @@ def _ingested(w: World, table: str) -> DataFrame:
     folder = new_folder(w.spark, table)
     stream = raw_feed(w.spark, w.sf_dir, BRONZE[table].feed, stream=True)
     rows = bronze_stream(stream, table, ACCOUNT, WORKSPACE)
-    # The test tables hold seven years of usage, a few rows per day.
-    by_day = table != "billing_usage_bronze" and table != "mlflow_runs_bronze"
-    ingest(rows, table, f"{folder}/table", f"{folder}/checkpoint", partitioned=by_day)
-    return read_bronze(w.spark, f"{folder}/table")
+    ingest(rows, table, f"{folder}/table", f"{folder}/checkpoint")
+    return read_bronze(w.spark, f"{folder}/table", table)
 
 
 def _checked(bronze: DataFrame, ids: str, time: str, number: str) -> DataFrame:
@@ -183,6 +181,124 @@ _add(
 )
 
 
+def _publish_report(w: World) -> DataFrame:
+    """One that is written, one written before, one whose read fails, one missing, and a view."""
+    target = new_folder(w.spark, "share")
+    broken = new_folder(w.spark, "broken")
+    w.spark.range(5).selectExpr("cast(id as string) as value").write.text(broken)
+    tables = {
+        "user_activity_summary": _stored_activity(w),
+        "cost_by_sku": w.by_product,
+        "cost_by_job": w.spark.read.schema("a INT").parquet(broken),
+    }
+    publish(w.spark, tables, target, [Share("cost_by_sku")])
+    shares = [Share(n) for n in ("user_activity_summary", "cost_by_sku", "cost_by_job", "jobs_current", "v_daily_spend_trend")]
+    report = publish(w.spark, tables, target, shares, views=["v_daily_spend_trend"])
+    return report.withColumn("detail", F.when(F.col("status") == "error", "failed").otherwise(F.col("detail")))
+
+
+_add(
+    "s_publish_report",
+    _publish_report,
+    """select * from (values ('user_activity_summary', 'user_activity_summary', 'added', null), ('cost_by_sku', 'cost_by_sku', 'skipped', 'already published'),
+ ('cost_by_job', 'cost_by_job', 'error', 'failed'), ('jobs_current', 'jobs_current', 'skipped', 'missing'),
+ ('v_daily_spend_trend', 'v_daily_spend_trend', 'skipped', 'view')) t(name, published_as, status, detail)""",
+)
+
+
+def _clustered_bronze(w: World) -> DataFrame:
+    """The daily job's copy after two loads; the second brings dates long before those of the first."""
+    folder = new_folder(w.spark, "clustered-bronze")
+    lake = Lake(w.spark, f"{folder}/lake", ACCOUNT, WORKSPACE)
+    audit = raw_feed(w.spark, w.sf_dir, "audit")
+    late = (F.col("event_date") < F.lit(EVENTS_DAY - dt.timedelta(days=20))) | F.col("event_date").isNull()
+    for part in (~late, late):
+        audit.where(part).write.mode("append").parquet(f"{folder}/in/audit")
+        run_refresh(lake, {"audit": f"{folder}/in/audit"})
+        run_daily(lake, as_of=EVENTS_DAY)
+    copy = lake.clustered("audit_logs_bronze").read()
+    return copy.select(*SCOPE, "event_time", "event_date", "service_name", "action_name", "source_ip_address")
+
+
+_add(
+    "s_clustered_bronze",
+    _clustered_bronze,
+    f"select {_STAMP_SQL}, workspace_id, event_time, event_date, service_name, action_name, source_ip_address from audit",
+    text="event_time event_date",
+)
+
+
+def _report_by_name(w: World) -> DataFrame:
+    """A report read by its name from a refreshed lake."""
+    register_reports(_recent_billing(w), as_of=BILLING_DAY, prefix="lake_")
+    return w.spark.sql("SELECT * FROM lake_v_daily_spend_trend")
+
+
+def _billing_lake(w: World, folder: str, part) -> Lake:
+    lake = Lake(w.spark, f"{folder}/lake", ACCOUNT, WORKSPACE)
+    recent = F.col("usage_date") >= F.lit(BILLING_DAY - dt.timedelta(days=40))
+    raw_feed(w.spark, w.sf_dir, "usage").where(recent & part).write.mode("append").parquet(f"{folder}/in/usage")
+    raw_feed(w.spark, w.sf_dir, "list_prices").write.mode("overwrite").parquet(f"{folder}/in/list_prices")
+    run_refresh(lake, {feed: f"{folder}/in/{feed}" for feed in ("usage", "list_prices")})
+    return lake
+
+
+def _recent_billing(w: World) -> Lake:
+    return _billing_lake(w, new_folder(w.spark, "reports"), F.lit(True))
+
+
+_add(
+    "s_report_by_name",
+    _report_by_name,
+    "select * from v_daily_spend_trend",
+    double=f"{_MONEY} cumulative_cost_usd",
+    text="usage_date",
+)
+
+
+def _refreshed_billing(w: World) -> DataFrame:
+    """Two loads of usage at other prices, then the right prices: the stored sums must follow."""
+    folder = new_folder(w.spark, "billing")
+    half = F.pmod(F.xxhash64("record_id"), F.lit(2)) == 0
+    lake = Lake(w.spark, f"{folder}/lake", ACCOUNT, WORKSPACE)
+    recent = F.col("usage_date") >= F.lit(BILLING_DAY - dt.timedelta(days=40))
+    prices = raw_feed(w.spark, w.sf_dir, "list_prices")
+    other = prices.withColumn("pricing", F.struct((F.col("pricing.default") * 2).cast("decimal(18,4)").alias("default")).cast(prices.schema["pricing"].dataType))
+    for part, price_list in ((half, other), (~half, other), (F.lit(False), prices)):
+        raw_feed(w.spark, w.sf_dir, "usage").where(recent & part).write.mode("append").parquet(f"{folder}/in/usage")
+        price_list.write.mode("overwrite").parquet(f"{folder}/in/list_prices")
+        run_refresh(lake, {feed: f"{folder}/in/{feed}" for feed in ("usage", "list_prices")})
+    return lake.gold("cost_by_product").read()
+
+
+_add(
+    "s_refresh_billing",
+    _refreshed_billing,
+    f"select * from cost_by_product where usage_date >= DATE '{BILLING_DAY}' - 40",
+    double=_MONEY,
+    text="usage_date",
+)
+
+
+def _consolidated(w: World) -> DataFrame:
+    """Two published folders as one dataset."""
+    target = new_folder(w.spark, "providers")
+    recent = w.by_product.where(F.col("usage_date") >= F.lit(BILLING_DAY - dt.timedelta(days=40)))
+    for name in ("east", "west"):
+        publish(w.spark, {"cost_by_product": recent}, f"{target}/{name}", [Share("cost_by_product")])
+    found = run_consolidate(w.spark, {name: f"{target}/{name}" for name in ("east", "west", "none_yet")}, as_of=BILLING_DAY)
+    return found["all_cost_by_product"]
+
+
+_add(
+    "s_consolidate",
+    _consolidated,
+    f"""select source, c.* from cost_by_product c, (values ('east'), ('west')) s(source)
+ where usage_date >= DATE '{BILLING_DAY}' - 40""",
+    double=_MONEY,
+    text="usage_date",
+)
+
 # Feeds probed, with a date column and a number of days where only recent rows count.
 _PROBED = {
     "usage": ("usage_date", 7, BILLING_DAY),
@@ -215,8 +331,8 @@ def _probe_sql() -> str:
     parts = []
     for feed, (date_col, days, clock) in _PROBED.items():
         newest = f"max({date_col})" if date_col else "cast(null as date)"
-        where = f" where {date_col} >= DATE '{clock}' - {days}" if days else ""
-        parts.append(f"select '{feed}' feed, count(*) row_count, {newest} newest_date, false error from {feed}{where}")
+        recent = f" filter (where {date_col} >= DATE '{clock}' - {days})" if days else ""
+        parts.append(f"select '{feed}' feed, count(*){recent} row_count, {newest} newest_date, false error from {feed}")
     parts.append("select 'no_such_feed', null, null, true")
     return "\nunion all ".join(parts)
 
@@ -267,9 +383,18 @@ _add(
     f"""select {_STAMP_SQL}, workspace_id, metric_id, metric_name, case when metric_name <> 'loss' then metric_value end metric_value
  from run_metrics_history""",
 )
+
+
+def _retained(w: World) -> DataFrame:
+    table = Table(w.spark, new_folder(w.spark, "retain"), "usage_date")
+    table.replace(w.by_product.where(F.col("usage_date") >= F.lit(BILLING_DAY - dt.timedelta(days=400))))
+    retain(table, 365, as_of=BILLING_DAY)
+    return table.read()
+
+
 _add(
     "s_retain",
-    lambda w: retained(w.by_product, "usage_date", 365, as_of=BILLING_DAY),
+    _retained,
     f"select * from cost_by_product where usage_date >= DATE '{BILLING_DAY}' - 365",
     double=_MONEY,
     text="usage_date",

@@ -6,7 +6,8 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from meterlens.jobs import Lake, run_daily, run_publish, run_refresh
+from meterlens.jobs import Lake, register_reports, run_consolidate, run_daily, run_publish, run_refresh
+from meterlens.operators import change_feed
 from meterlens.plans import billing
 from meterlens.schemas import FEEDS, feed_schema
 from meterlens.sources import layout
@@ -124,11 +125,64 @@ def test_refresh_follows_usage_and_prices(spark, tmp_path, lake, monkeypatch):
     assert lake.gold("billing_summary").read().count() == whole.count() == 3
 
 
-def test_a_backfill_rebuilds_everything(spark, monkeypatch):
-    monkeypatch.setattr(refresh, "MAX_DATES", 2)
-    days = spark.range(3).select(F.date_add(F.lit(dt.date(2024, 1, 1)), F.col("id").cast("int")).alias("d"))
-    assert refresh.distinct_dates(days, "d") is None
-    assert refresh.distinct_dates(days.limit(2), "d") == [dt.date(2024, 1, 1), dt.date(2024, 1, 2)]
+def test_a_long_backfill_is_a_short_range(spark):
+    days = spark.range(3000).select(F.date_add(F.lit(dt.date(2010, 1, 1)), F.col("id").cast("int")).alias("d"))
+    dates = refresh.distinct_dates(days, "d")
+    assert len(dates) == 3000 and dates[0] == dt.date(2010, 1, 1)
+    assert only_dates(days, "d", [*dates[:1000], *dates[1001:], None]).count() == 2999
+    assert only_dates(days, "d", []).count() == 0
+
+
+def test_only_dates_of_the_changed_price_are_rebuilt(spark):
+    """A price that ends where the next one begins changes only what lies after that, and only for its SKU."""
+    old = spark.createDataFrame([price(1, "2023-01-01")], PRICES)
+    new = spark.createDataFrame([price(1, "2023-01-01", "2024-01-03"), price(5, "2024-01-03")], PRICES)
+    other = usage_row("o", "2024-01-04 00:00:00", "2024-01-04 01:00:00", "OTHER")
+    across = usage_row("x", "2024-01-02 23:30:00", "2024-01-03 00:30:00")
+    used = spark.createDataFrame([day(1), across, day(3), day(5), other], USAGE)
+    keys = ["sku_name", "cloud", "currency_code", "price_start_time"]
+    dates = refresh.dates_of_price_changes(change_feed(old, new, keys), used)
+    assert [d.day for d in dates] == [2, 3, 5]
+    raised = spark.createDataFrame([price(2, "2023-01-01")], PRICES)
+    assert len(refresh.dates_of_price_changes(change_feed(old, raised, keys), used)) == 4
+    assert refresh.dates_of_price_changes(change_feed(old, old, keys), used) == []
+
+
+def test_refresh_of_empty_feeds(spark, tmp_path, lake):
+    """Every feed is there and none has rows: all datasets exist and are empty."""
+    sources = {}
+    for feed in FEEDS:
+        sources[feed] = str(tmp_path / feed)
+        spark.createDataFrame([], feed_schema(feed)).write.parquet(sources[feed])
+    run_refresh(lake, sources)
+    for name in ("billing_summary", "cost_by_user", "job_runs_summary", "endpoint_usage_summary", "endpoint_inventory", "user_activity_summary", "mlflow_experiments_summary"):
+        assert lake.gold(name).read().count() == 0
+    report = run_daily(lake, as_of=dt.date(2024, 1, 1))
+    assert {r.table for r in report.collect() if r.error} == set()
+    assert len(register_reports(lake, as_of=dt.date(2024, 1, 1))) == 24
+    assert all(spark.table(name).count() == 0 for name in ("v_daily_spend_trend", "v_aiml_complete_inventory"))
+
+
+def test_daily_job_without_some_feeds(spark, tmp_path, lake):
+    sources = {"usage": str(tmp_path / "usage"), "list_prices": str(tmp_path / "prices")}
+    set_prices(spark, sources["list_prices"], price(1, "2024-01-01"))
+    add_usage(spark, sources["usage"], day(1))
+    run_refresh(lake, sources)
+    failed = {r.table for r in run_daily(lake, as_of=dt.date(2024, 1, 2)).collect() if r.error}
+    assert failed == {"job_performance_trends", "user_activity_30d", "job_success_rate_weekly"}
+    assert lake.rollup("cost_weekly_rollup").read().count() == 1
+
+
+def test_clustered_copies_hold_all_dates(spark, tmp_path, lake):
+    sources = {"usage": str(tmp_path / "usage"), "list_prices": str(tmp_path / "prices")}
+    set_prices(spark, sources["list_prices"], price(1, "2023-01-01"))
+    columns = ["record_id", "usage_date"]
+    for rows in ([day(1), day(20)], [usage_row("late", "2023-05-01 00:00:00", "2023-05-01 01:00:00")]):
+        add_usage(spark, sources["usage"], *rows)
+        run_refresh(lake, sources)
+        run_daily(lake, as_of=dt.date(2024, 1, 20))
+        assert as_set(lake.clustered("billing_usage_bronze").read(), *columns) == as_set(lake.bronze("billing_usage_bronze"), *columns)
+    assert lake.clustered("billing_usage_bronze").read().count() == 3
 
 
 def test_rows_without_a_date_are_a_date_of_their_own(spark, tmp_path):
@@ -174,6 +228,11 @@ def test_all_jobs(spark, tmp_path, lake):
     published = run_publish(lake, target)
     statuses = {r.name: (r.status, r.detail) for r in published.collect()}
     assert set(statuses.values()) == {("added", None)} and len(statuses) == 40
+    assert run_publish(lake, str(tmp_path / "none"), []).count() == 0 and not (tmp_path / "none").exists()
+    assert (tmp_path / "share" / "audit_logs_bronze").glob("event_date=*")
+    whole = run_consolidate(spark, {"a": target, "b": target}, as_of=dt.date(2001, 7, 1))
+    assert whole["all_cost_by_product"].count() == 2 * lake.gold("cost_by_product").read().count()
+    assert set(whole) >= {"all_billing_summary", "account_comparison", "aiml_spend_comparison"}
     again = run_publish(lake, target, [Share("workspace_info"), Share("no_such_table")])
     assert [(r.status, r.detail) for r in again.collect()] == [("skipped", "already published"), ("skipped", "missing")]
     assert spark.read.parquet(f"{target}/cost_by_product").count() == lake.gold("cost_by_product").read().count()
@@ -203,6 +262,53 @@ def test_publish_reports_and_goes_on(spark, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/renamed").count() == 3
 
 
+def corrupt(folder):
+    """A folder whose footer can be read as Parquet by no job."""
+    folder.mkdir(parents=True)
+    (folder / "part-0.parquet").write_bytes(b"not a table" * 100)
+    return str(folder)
+
+
+def test_a_failing_job_is_one_row_of_a_report(spark, tmp_path):
+    bad = spark.read.schema("id LONG").parquet(corrupt(tmp_path / "bad"))
+    report = publish(spark, {"bad": bad, "good": spark.range(3)}, str(tmp_path / "share"), [Share("bad"), Share("good")])
+    assert [r.status for r in report.collect()] == ["error", "added"]
+    probes = {"bad": Probe(lambda: bad), "good": Probe(lambda: spark.range(3))}
+    assert [(r.row_count, r.error is None) for r in source_probe(spark, probes).collect()] == [(None, False), (3, True)]
+    good, broken = Table(spark, str(tmp_path / "t")), Table(spark, str(tmp_path / "u"))
+    for t in (good, broken):
+        t.replace(spark.range(10))
+    for f in (tmp_path / "u" / "slot1").glob("part-*"):
+        f.write_bytes(b"not a table" * 100)
+    assert [(r.table, r.error is None) for r in layout.compact_all(spark, {"broken": broken, "good": good}).collect()] == [("broken", False), ("good", True)]
+
+
+def test_a_half_written_share_is_written_again(spark, tmp_path):
+    goal = tmp_path / "share" / "good"
+    spark.range(1).write.parquet(str(goal))
+    (goal / "_SUCCESS").unlink()
+    assert [r.status for r in publish(spark, {"good": spark.range(3)}, str(tmp_path / "share"), [Share("good")]).collect()] == ["added"]
+    assert spark.read.parquet(str(goal)).count() == 3
+
+
+def test_the_newest_date_is_that_of_all_rows(spark):
+    rows = spark.createDataFrame([(dt.date(2024, 1, 1),), (dt.date(2023, 1, 1),)], "d DATE")
+    probe = {"old": Probe(lambda: rows, "d", 7)}
+    assert [(r.row_count, r.newest_date) for r in source_probe(spark, probe, as_of=dt.date(2024, 6, 1)).collect()] == [(0, dt.date(2024, 1, 1))]
+
+
+def test_a_run_whose_start_moved_is_counted_once(spark, tmp_path, lake):
+    sources = {f: str(tmp_path / f) for f in ("experiments_latest", "runs_latest")}
+    run = raw_feed(spark, SF_DIR, "runs_latest").where("run_id = '1'")
+    raw_feed(spark, SF_DIR, "experiments_latest").write.parquet(sources["experiments_latest"])
+    for start, updated in ((None, "2024-01-01"), ("2024-01-05", "2024-01-05"), ("2024-01-03", "2024-01-06")):
+        version = {"start_time": F.lit(at(start) if start else None).cast("timestamp"), "update_time": F.lit(at(updated))}
+        run.withColumns(version).write.mode("append").parquet(sources["runs_latest"])
+        run_refresh(lake, sources, latest_tracking=True)
+    summary = lake.gold("mlflow_runs_summary").read()
+    assert as_set(summary, "run_date", "run_count") == {(dt.date(2024, 1, 3), 1)}
+
+
 def test_table_replaced_from_itself(spark, tmp_path):
     table = Table(spark, str(tmp_path / "t"))
     assert not table.exists()

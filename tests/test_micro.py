@@ -6,12 +6,11 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from meterlens.functions import add_time_dimensions, add_workspace_identifiers, trailing
+from meterlens.functions import add_time_dimensions, add_workspace_identifiers, between_days, trailing
 from meterlens.operators import (
     change_feed,
     consolidate,
     extract_current_scd2,
-    fits_broadcast,
     period_compare,
     rolling_avg,
     tag_costs,
@@ -81,11 +80,11 @@ EDGES = [
 ]
 
 
-@pytest.mark.parametrize("limit", [100, 0])
+@pytest.mark.parametrize("salted", [False, True])
 @pytest.mark.parametrize("price_at, across", [("period", 0), ("start", 2)])
-def test_price_edges(spark, prices, limit, price_at, across):
+def test_price_edges(spark, prices, salted, price_at, across):
     rows = usage(spark, *[usage_row(name, start, end, sku) for name, start, end, sku in EDGES])
-    lines = billing.billing_summary(rows, prices, price_at=price_at, max_broadcast_rows=limit)
+    lines = billing.billing_summary(rows, prices, price_at=price_at, salted=salted)
     costs = {(r.usage_start_time, r.sku_name): float(r.estimated_cost_usd) for r in lines.collect()}
     assert [costs[at(start), sku] for _, start, _, sku in EDGES] == [2, across, 6, 0, 0]
 
@@ -307,21 +306,32 @@ def test_change_feed(spark):
     }
 
 
-@pytest.mark.parametrize("limit", [100, 0, None])
-def test_costs_do_not_multiply_rows(spark, prices, limit):
+@pytest.mark.parametrize("form", ["plain", "salted", "stored"])
+def test_costs_do_not_multiply_rows(spark, prices, form, tmp_path):
     rows = [usage_row(str(i), "2024-01-02", "2024-01-03") for i in range(3)]
     lines = billing.billing_summary(usage(spark, *rows), prices)
     runs = spark.createDataFrame(
         [("1", "j1", dt.date(2024, 1, 2), 1), ("1", "j1", dt.date(2024, 1, 2), 2), ("1", "none", dt.date(2024, 1, 2), 3)],
         "workspace_id STRING, job_id STRING, usage_date DATE, n INT",
     )
-    joined = with_costs(runs, lines, ["workspace_id", "job_id", "usage_date"], max_broadcast_rows=limit)
+    joined = with_costs(runs, lines, ["workspace_id", "job_id", "usage_date"], salted=form == "salted", store_at=str(tmp_path / "costs") if form == "stored" else None)
     costs = {r.n: r.estimated_cost_usd for r in joined.collect()}
     assert costs == {1: 6, 2: 6, 3: None} and joined.columns.count("usage_date") == 1
 
 
-def test_size_check(spark):
-    assert fits_broadcast(spark.range(5), 5) and not fits_broadcast(spark.range(6), 5)
+def test_changes_inside_nested_maps(spark):
+    """Maps have no order at any depth; only a value that differs is an update."""
+    frame = lambda *m: spark.sql(f"SELECT 1 AS id, named_struct('a', map({m[0]}), 'b', array(map('k', map({m[1]})))) AS s")
+    old = frame("'x', 1, 'y', 2", "'p', 1, 'q', 2")
+    assert change_feed(old, frame("'y', 2, 'x', 1", "'q', 2, 'p', 1"), ["id"]).count() == 0
+    assert change_feed(old, frame("'y', 2, 'x', 1", "'q', 2, 'p', 7"), ["id"]).count() == 2
+
+
+def test_windows_without_a_day_have_no_end(spark):
+    rows = spark.sql("SELECT date_add(current_date(), d) AS d FROM VALUES (-40), (-1), (0), (1) AS t(d)")
+    assert trailing(rows, "d", 30, None).count() == 3
+    assert trailing(rows, "d", 30, dt.date.today() - dt.timedelta(days=1)).count() >= 1
+    assert rows.where(between_days("d", None, 30, 0)).count() == 3 and rows.where(between_days("d", None, 30, 0) & (F.col("d") > F.current_date())).count() == 1
 
 
 def test_recipient_events_are_the_newest(spark):

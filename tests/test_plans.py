@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from compare import plan_of
-from meterlens.operators import extract_current_scd2, lookup_join, top_n
+from meterlens.operators import extract_current_scd2, lookup_join, top_n, with_costs
 from meterlens.plans import billing, billing_reports, ml_reports, ml_spend
 from meterlens.sources.tables import Table
 from meterlens.validation.world import World
@@ -32,7 +32,7 @@ def stored_lines(world, tmp_path_factory):
     return table.read()
 
 
-def test_prices_are_broadcast_and_usage_is_not_shuffled(spark, world, tmp_path, no_auto_broadcast):
+def test_prices_are_broadcast_and_usage_is_not_shuffled(spark, world, tmp_path):
     world.usage.limit(100).write.parquet(str(tmp_path / "usage"))
     usage = spark.read.parquet(str(tmp_path / "usage"))
     plan = plan_of(billing.billing_summary(usage, world.prices))
@@ -43,8 +43,31 @@ def test_prices_are_broadcast_and_usage_is_not_shuffled(spark, world, tmp_path,
 
 
 def test_a_large_price_list_is_joined_by_salted_shuffle(world, no_auto_broadcast):
-    plan = plan_of(billing.billing_summary(world.usage, world.prices, max_broadcast_rows=0))
+    plan = plan_of(billing.billing_summary(world.usage, world.prices, salted=True))
     assert "SortMergeJoin [sku_name" in plan and "_salt" in plan and "BroadcastNestedLoopJoin" not in plan
+    plain = plan_of(billing.billing_summary(world.usage, world.prices))
+    assert "SortMergeJoin [sku_name" in plain and "explode" not in plain
+
+
+def test_costs_are_joined_without_copies(world, no_auto_broadcast):
+    plan = plan_of(with_costs(world.jobs_current, world.lines))
+    assert "SortMergeJoin" in plan and "explode" not in plan
+
+
+def test_adaptive_execution_splits_one_hot_key(spark, no_auto_broadcast, tmp_path):
+    settings = {"skewJoin.skewedPartitionThresholdInBytes": "64k", "advisoryPartitionSizeInBytes": "64k", "skewJoin.skewedPartitionFactor": "2"}
+    for k, v in settings.items():
+        spark.conf.set(f"spark.sql.adaptive.{k}", v)
+    try:
+        left = spark.range(40_000).selectExpr("if(id % 4 = 0, 'k' || id, 'hot') k", "id", "uuid() u").repartition(4)
+        right = spark.range(40_000).selectExpr("if(id = 1, 'hot', 'k' || id) rk", "id v")
+        joined = lookup_join(left, right, {"k": "rk"})
+        joined.write.parquet(str(tmp_path / "out"))
+        rows = spark.read.parquet(str(tmp_path / "out")).where("k = 'hot'").groupBy(F.input_file_name().alias("f")).count().collect()
+        assert sum(r["count"] for r in rows) == 30_000 and len(rows) > 1
+    finally:
+        for k in settings:
+            spark.conf.unset(f"spark.sql.adaptive.{k}")
 
 
 def test_salting_spreads_one_hot_key(spark, no_auto_broadcast):
@@ -52,7 +75,7 @@ def test_salting_spreads_one_hot_key(spark, no_auto_broadcast):
     try:
         left = spark.range(4000).select(F.lit("hot").alias("k"), "id")
         right = spark.createDataFrame([("hot", 1)], "rk STRING, v INT")
-        joined = lookup_join(left, right, {"k": "rk"}, salt_on=["id"], max_broadcast_rows=0)
+        joined = lookup_join(left, right, {"k": "rk"}, salt_on=["id"])
         sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id().alias("p")).count().collect()]
         assert sum(sizes) == 4000 and len(sizes) == 4 and max(sizes) < 2000
     finally:
