@@ -22,6 +22,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from meterlens.llm.store import stored
+
 #: A subtree outside of an article is a template from so many different pages and this share of the host's.
 LEAST_PAGES, LEAST_SHARE = 3, 0.3
 #: The same for a subtree inside of an article.
@@ -258,11 +260,12 @@ def _subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def templates(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """``host, outer, inner``: the hashes that recur across the pages of each host, outside and inside of articles."""
     rows = pages.select(F.col(url), F.col(html)).mapInArrow(_subtrees, "host string, content long, inner boolean, hash long").distinct()
-    counts = rows.groupBy("host", "inner", "hash").agg(F.count("*").alias("n"))
+    counts = rows.groupBy("host", "inner", "hash").agg(F.count("*").alias("n")).where(f"hash is null or n >= {LEAST_PAGES}")
+    counts = stored(counts, "subtree-counts")
     total = counts.where("hash is null").select(F.col("host").alias("of"), F.col("n").alias("pages"))
     inner = F.col("inner")
     least = F.greatest(F.when(inner, INNER_PAGES).otherwise(LEAST_PAGES), F.col("pages") * F.when(inner, INNER_SHARE).otherwise(LEAST_SHARE))
-    often = counts.where(f"hash is not null and n >= {LEAST_PAGES}").join(total, F.col("host") == F.col("of")).where(F.col("n") >= least)
+    often = counts.where("hash is not null").join(total, F.col("host") == F.col("of")).where(F.col("n") >= least)
     lists = (F.collect_list(F.when(inner == flag, F.col("hash"))) for flag in (False, True))
     return often.groupBy("host").agg(*(x.alias(name) for x, name in zip(lists, ("outer", "inner"), strict=True)))
 
@@ -277,7 +280,9 @@ def extract(pages: DataFrame, url: str = "url", html: str = "html", out: str = "
     others = [c for c in pages.columns if c not in (html, out)]
     hosts = F.lower(F.regexp_extract(F.coalesce(F.col(url), F.lit("")), r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1))
     plain = pages.select(*[F.col(c).alias(f"_{i}") for i, c in enumerate(others)], F.col(html).alias("_html"), hosts.alias("_host"))
-    joined = plain.join(templates(pages, url, html), F.col("_host") == F.col("host"), "left")
+    # Written, the lists have a known size: Spark broadcasts them below its threshold, and pages then stay where
+    # they are; beyond it, the hosts are shuffled and adaptive execution splits a host of many pages.
+    joined = plain.join(stored(templates(pages, url, html), "templates"), F.col("_host") == F.col("host"), "left")
     schema = pages.select(*others).withColumn(out, F.lit("")).schema
     n = len(others)
 
