@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from meterlens.llm import textbytes
 from meterlens.llm.store import stored
 
-BLOCK_SETS = 1024
+BLOCK_SETS = 256
 BLOCK_ELEMENTS = 1 << 19
 FRAGMENTS = 4
 
