@@ -18,6 +18,7 @@ from meterlens.operators import (
     filtered_view,
     period_compare,
     pivot_sum,
+    rolling_avg,
     tag_costs,
     top_n,
     with_costs,
@@ -405,13 +406,15 @@ _add(
     lambda w: top_n(_job_totals(w), SCOPE, "total_cost_usd", 10, tiebreak=["job_id", "job_name", "run_as"]),
     double="total_cost_usd",
 )
+_SKU = [*SCOPE, "sku_name", "cloud", "usage_unit"]
 _add(
     "h_rolling_avg",
-    lambda w: rollups.cost_trend_analysis(w.by_product),
-    "select * from cost_trend_analysis",
-    double="total_cost_usd",
+    lambda w: rolling_avg(billing.cost_by_sku(w.lines), _SKU, "usage_date", {"cost_3_row_avg": "total_cost_usd", "usage_3_row_avg": "total_usage"}, 3),
+    f"""select *, avg(cast(total_cost_usd as double)) over w cost_3_row_avg, avg(cast(total_usage as double)) over w usage_3_row_avg from cost_by_sku
+ window w as (partition by {', '.join(_SKU)} order by usage_date rows between 2 preceding and current row)""",
+    double="total_usage total_cost_usd",
     text="usage_date",
-    stat="cost_7d_rolling_avg cost_30d_rolling_avg",
+    stat="cost_3_row_avg usage_3_row_avg",
 )
 _add(
     "h_zscore_anomalies",
