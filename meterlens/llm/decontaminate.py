@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from meterlens.llm import textbytes
 from meterlens.llm.store import fresh, row_key, stored
 
-SEGMENT_BYTES = 4 << 20
+SEGMENT_BYTES = 2 << 20
 BLOCK_BYTES = 4 << 20
 WIDTH = 13
 #: A document is contaminated if at least one word in so many is hit.
@@ -133,11 +133,14 @@ def _near(lists: list[np.ndarray], doc_of, near: int) -> tuple[np.ndarray, np.nd
 def _find(items: list[tuple[str | None, str]], width: int, near: int | None, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     vocabulary, groups = _windows(items, width)
     for b in batches:
-        for s in b.to_pylist():
-            terms, starts, positions = (np.frombuffer(s[c], t).astype(np.uint64 if c == "terms" else np.int64) for c, t in (("terms", np.uint64), ("starts", np.uint32), ("positions", np.uint32)))
+        for r in range(len(b)):
+            terms, starts, positions = (
+                np.frombuffer(b.column(c)[r].as_buffer(), t) for c, t in (("terms", np.uint64), ("starts", np.uint32), ("positions", np.uint32))
+            )
             if not len(terms):
                 continue
-            bounds = np.concatenate(([0], np.cumsum(s["n_words"])))
+            starts, segment = starts.astype(np.int64), b.column("segment")[r].as_py()
+            bounds = np.concatenate(([0], np.cumsum(b.column("n_words")[r].values.to_numpy())))
             doc_of = lambda p, bounds=bounds: np.searchsorted(bounds, p, "right") - 1
             at = np.minimum(np.searchsorted(terms, vocabulary), len(terms) - 1)
             held = terms[at] == vocabulary
@@ -148,7 +151,7 @@ def _find(items: list[tuple[str | None, str]], width: int, near: int | None, bat
                 counts = sizes[windows]
                 for w in np.flatnonzero(counts.min(axis=1) > 0):
                     rarest = np.argsort(counts[w], kind="stable")
-                    lists = [positions[starts[at[t]] : starts[at[t] + 1]] for t in windows[w][rarest]]
+                    lists = [positions[starts[at[t]] : starts[at[t] + 1]].astype(np.int64) for t in windows[w][rarest]]
                     first = lists[0] - rarest[0]
                     for k, other in zip(rarest[1:], lists[1:], strict=True):
                         first = first[_within(first + k, other)]
@@ -175,7 +178,7 @@ def _find(items: list[tuple[str | None, str]], width: int, near: int | None, bat
                 spans = defaultdict(list)
                 for d, x, y in zip(own[begin], low[begin], high[last], strict=True):
                     spans[int(d)].append({"start": int(x - bounds[d]), "end": int(y - bounds[d])})
-                rows += [{"segment": s["segment"], "ordinal": d, "item_id": items[item][0], "kind": kind, "spans": v} for d, v in spans.items()]
+                rows += [{"segment": segment, "ordinal": d, "item_id": items[item][0], "kind": kind, "spans": v} for d, v in spans.items()]
             yield pa.RecordBatch.from_pylist(rows, _schema())
 
 

@@ -12,10 +12,17 @@ from pyspark.sql import functions as F
 from meterlens.sources.scratch import new_folder
 
 _SHIPPED: set[str] = set()
+#: Rows of texts and arrays are large: batches are bounded by bytes, and row groups of written intermediates are small.
+_BATCH, BATCH_BYTES, ROW_GROUP_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20, 16 << 20
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this library to the executors, once in an application, so that their Python finds it."""
+    """Send this library to the executors, once in an application, so that their Python finds it.
+
+    Sets the session's bound on the bytes of an Arrow batch too, unless it has one.
+    """
+    if spark.conf.get(_BATCH, None) is None:
+        spark.conf.set(_BATCH, str(BATCH_BYTES))
     context = spark.sparkContext
     if context.applicationId in _SHIPPED:
         return
@@ -31,7 +38,7 @@ def ship(spark: SparkSession) -> None:
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a written table, so that later jobs neither compute it again nor lose it with an executor."""
     path = new_folder(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
