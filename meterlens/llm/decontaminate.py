@@ -73,6 +73,7 @@ def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 ],
                 ["segment", "doc_ids", "row_keys", "n_words", "terms", "starts", "positions"],
             )
+    textbytes.release()
 
 
 def build_index(df: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
@@ -180,6 +181,7 @@ def _find(items: list[tuple[str | None, str]], width: int, near: int | None, bat
                     spans[int(d)].append({"start": int(x - bounds[d]), "end": int(y - bounds[d])})
                 rows += [{"segment": segment, "ordinal": d, "item_id": items[item][0], "kind": kind, "spans": v} for d, v in spans.items()]
             yield pa.RecordBatch.from_pylist(rows, _schema())
+    textbytes.release()
 
 
 @functools.cache

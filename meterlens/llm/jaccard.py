@@ -113,6 +113,7 @@ def _first_pass(n_shards: int, width: int):
                 fits = np.floor(np.log(np.maximum(n, 1)) / np.log(100 / PERCENT) + 1e-9).astype(np.uint8)
                 packed = list(postings((grams % np.uint64(n_shards)).astype(np.int32), grams, row, cls, fits))
                 yield pa.RecordBatch.from_pylist(packed, schema)
+        textbytes.release()
 
     return run
 
@@ -136,6 +137,7 @@ def _whole_sets(width: int):
                 raw = [grams[x:y].tobytes() for x, y in zip(ends, ends[1:], strict=False)]
                 cls = textbytes.set_ids(grams, ends).view(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(cls), pa.array(np.diff(ends)), pa.array(raw, pa.binary())], ["cls", "n", "grams"])
+        textbytes.release()
 
     return run
 

@@ -220,6 +220,7 @@ def identify(
                 score[start + own] = np.clip(votes[own, best[own]], 0, 1)
             columns = [b.column(i) for i in range(n)]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(label, pa.string()), pa.array(score)], schema.names)
+        textbytes.release()
 
     inputs = [F.col(c).alias(f"_{i}") for i, c in enumerate(others)]
     return df.select(*inputs, F.col(text).alias("_text"), letters.alias("_known")).mapInArrow(predict, schema)

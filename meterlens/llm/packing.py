@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterlens.llm.store import stored
+from meterlens.llm.textbytes import release
 from meterlens.llm.token_counts import token_ids
 
 CAPACITY = 2048
@@ -62,6 +63,7 @@ def pieces(df: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = 0,
                 kept = [b.column(i + 1).take(pa.array(row, pa.int64())) for i in range(len(others))]
                 length = pa.array([len(x) // 4 for x in ids], pa.int64())
                 yield pa.RecordBatch.from_arrays([*kept, pa.array(piece, pa.int32()), pa.array(start, pa.int64()), length, pa.array(ids, pa.binary())], schema.names)
+        release()
 
     return df.select(F.col(text).alias("_text"), *[F.col(c).alias(f"_{i}") for i, c in enumerate(others)]).mapInArrow(cut, schema)
 
@@ -198,48 +200,28 @@ class Places:
         return self.sequence[at] + within // self.each[at], self.offset[at] + within % self.each[at] * length
 
 
-def _ranked(capacity: int, at: int, names: list[str]):
-    """Number the pieces of a length inside a task."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        seen = np.zeros(capacity + 1, np.int64)
-        for b in batches:
-            length = b.column(at).to_numpy()
-            order = np.argsort(length, kind="stable")
-            counts = np.bincount(length, minlength=capacity + 1)
-            rank = np.empty(len(length), np.int64)
-            rank[order] = np.arange(len(length)) - np.repeat(np.cumsum(counts) - counts, counts) + np.repeat(seen, counts)
-            seen += counts
-            task = pa.array(np.full(len(length), TaskContext.get().partitionId(), np.int32))
-            yield pa.RecordBatch.from_arrays([*b.columns, task, pa.array(rank)], names)
-
-    return run
-
-
 def pack(df: DataFrame, capacity: int = CAPACITY, length: str = "length") -> DataFrame:
     """``df`` with ``sequence_id`` and ``offset``: its pieces in as few sequences as it can, gapless from 0.
 
     ``length`` must be from 1 to ``capacity``. Columns of the two new names are replaced,
-    others and repeated rows stay. The pieces are written once with their rank in their
-    task, so that a task that runs again can't number them otherwise.
+    others and repeated rows stay. The pieces are written once with their task and place in
+    it, so that a task that runs again can't number them otherwise.
     """
     names = [c for c in df.columns if c not in ("sequence_id", "offset")]
     at = names.index(length)
     inner = [f"_{i}" for i in range(len(names))]
     plain = df.select(*[F.col(c).cast("long").alias(k) if c == length else F.col(c).alias(k) for c, k in zip(names, inner, strict=True)])
-    schema = plain.withColumns({"_task": F.lit(0), "_rank": F.lit(0).cast("long")}).schema
-    ranked = stored(plain.mapInArrow(_ranked(capacity, at, schema.names), schema), "pieces")
+    written = stored(plain.withColumns({"_task": F.spark_partition_id(), "_row": F.monotonically_increasing_id()}), "pieces")
+    ranked = written.withColumn("_rank", F.row_number().over(Window.partitionBy("_task", f"_{at}").orderBy("_row")) - 1)
 
-    by_task = stored(ranked.groupBy(F.col(f"_{at}").alias("_length"), F.col("_task").alias("_of")).agg(F.count("*").alias("_n")), "piece-counts")
+    by_task = stored(written.groupBy(F.col(f"_{at}").alias("_length"), F.col("_task").alias("_of")).agg(F.count("*").alias("_n")), "piece-counts")
     counts = np.zeros(capacity + 1, np.int64)
     for row in by_task.groupBy("_length").agg(F.sum("_n").alias("n")).collect():
         counts[row["_length"]] = row["n"]
     places = Places.of(plan(counts, capacity), capacity)
     earlier = Window.partitionBy("_length").orderBy("_of").rowsBetween(Window.unboundedPreceding, -1)
     bases = by_task.select("_length", "_of", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_base"))
-    numbered = ranked.join(bases, (F.col(f"_{at}") == F.col("_length")) & (F.col("_task") == F.col("_of")))
+    numbered = ranked.join(bases, (F.col("_task") == F.col("_of")) & (F.col(f"_{at}") == F.col("_length")))
 
     out = df.select(*names).withColumns({length: F.lit(0).cast("long"), "sequence_id": F.lit(0).cast("long"), "offset": F.lit(0).cast("long")}).schema
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,6 +38,13 @@ def _power(name: str, base: int, n: int) -> np.ndarray:
     return _powers[name][:n]
 
 
+def release() -> None:
+    """Give memory that a finished task has used back to the system; the Python worker lives on for other tasks."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError):  # a C library without it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit values that spreads each bit over all."""
     x = x ^ (x >> np.uint64(33))
