@@ -155,6 +155,13 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return paragraphs.repeats(docs).drop("row_key")
 
 
+@_query
+def op9_repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every span of words that is repeated in another document, wherever lines end, and whether it is a copy that goes."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return paragraphs.spans(docs).drop("row_key")
+
+
 @_query
 def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weak-label posterior, score and verdict of every document."""

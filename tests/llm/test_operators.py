@@ -399,3 +399,40 @@ def test_quality_edges(docs):
     assert got[203].toxic and not got[203].keep and got[None].keep
     assert got[204].quality == 0
     assert quality.fit(made.where("false")) is None and quality.classify(made.where("false"), None).count() == 0
+
+
+def covered(rows, n=50):
+    """By document, the words in runs of ``n`` words that another document holds too."""
+    holders, out = {}, {}
+    for d, t in rows:
+        w = brute.words(t)
+        for i in range(len(w) - n + 1):
+            holders.setdefault(tuple(w[i : i + n]), set()).add(d)
+    for d, t in rows:
+        w = brute.words(t)
+        for i in range(len(w) - n + 1):
+            if len(holders[tuple(w[i : i + n])]) > 1:
+                out.setdefault(d, set()).update(range(i, i + n))
+    return out
+
+
+def test_spans_across_lines(docs):
+    passage = rng_words(60, 55)
+    lines = lambda n: "\n".join(" ".join(passage[i : i + n]) for i in range(0, 55, n))
+    long = " ".join(rng_words(61, 40))
+    rows = [(1, f"{long} {' '.join(passage)} {' '.join(rng_words(62, 45))}"), (2, f"é {' '.join(rng_words(63, 9))}\n{lines(7)}\nthe end"), (3, lines(20)), (4, " ".join(passage[:49]))]
+    rows += [(5, "a " * 120), (6, "b a" + " a" * 60), (7, None), (8, ""), (None, lines(11)), (3, lines(20)), (9, " ".join(rng_words(64, 200)))]
+    made = docs(*rows).withColumn("_cut", F.lit(2))
+    got = paragraphs.spans(made).collect()
+    want = covered(rows)
+    words = {}
+    for r in got:
+        words.setdefault(r.doc_id, set()).update(range(r.word, r.word + r.n_words))
+        whole = dict(rows)[r.doc_id]
+        assert brute.words(whole[r.start : r.start + r.length]) == brute.words(whole)[r.word : r.word + r.n_words]
+    assert {d for d in want} == {1, 2, 3, 5, 6, None} and all(words[d] >= w for d, w in want.items())
+    assert not {7, 8, 9} & set(words)
+    assert {r.removed for r in got if r.doc_id == 1} == {False} and {r.removed for r in got if r.doc_id in (2, 3)} == {True}
+    left = {r.doc_id: r.text for r in paragraphs.remove_spans(made).collect()}
+    assert left[1] == rows[0][1] and brute.words(left[2]) == brute.words(rows[1][1])[:10] + ["the", "end"] and left[3].strip() == "" and left[7] is None
+    assert paragraphs.spans(made.where("false")).count() == 0

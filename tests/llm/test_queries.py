@@ -137,3 +137,17 @@ def test_stages_keep_the_columns(spark, docs):
 def test_digest_of_empty(run):
     empty = hashlib.sha256(b"").hexdigest()
     assert all((r.n_items > 0) or r.items_sha256 == empty for r in run("op6_decontamination"))
+
+
+def test_spans(run, table):
+    rows = [(d.doc_id, d.text) for d in table("documents")]
+    holders, n = {}, 50
+    tokens = {d: brute.words(t) for d, t in rows}
+    for d, w in tokens.items():
+        for i in range(len(w) - n + 1):
+            holders.setdefault(tuple(w[i : i + n]), set()).add(d)
+    words = {}
+    for r in run("op9_repeated_spans"):
+        words.setdefault(r.doc_id, set()).update(range(r.word, r.word + r.n_words))
+    missed = [(d, i) for d, w in tokens.items() for i in range(len(w) - n + 1) if len(holders[tuple(w[i : i + n])]) > 1 and not words.get(d, set()) >= set(range(i, i + n))]
+    assert not missed
