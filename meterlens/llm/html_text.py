@@ -2,9 +2,11 @@
 
 1. Every page is parsed into a tree, and each block element's subtree is hashed (its tag
    and its text).
-2. Spark counts on how many pages of a host each hash occurs. Copies of a page count once:
-   an article that is published at many addresses isn't a template. Only the hashes that
-   recur often enough are kept; for a host they are bounded by the size of a page.
+2. Spark counts on how many different pages of a host each hash occurs: the same number
+   is enough on a host of any size. Pages are told apart by the longest blocks of the
+   article beside the subtree, so an article that is published at many addresses, or with
+   small changes, isn't a template. A short subtree counts at one place in the tree only:
+   short paragraphs that many articles have stay.
 3. Every page meets its host's hashes; the subtrees with these are deleted. What a page
    marks as no part of its article (navigation, forms, adverts, comments, and so on) goes
    as well, and the blocks that remain are joined.
@@ -24,10 +26,10 @@ from pyspark.sql import functions as F
 
 from meterlens.llm.store import stored
 
-#: A subtree outside of an article is a template from so many different pages and this share of the host's.
-LEAST_PAGES, LEAST_SHARE = 3, 0.3
-#: The same for a subtree inside of an article.
-INNER_PAGES, INNER_SHARE = 10, 0.8
+#: A subtree outside of an article is a template from so many different pages of the host, and one inside of an article.
+LEAST_PAGES, INNER_PAGES = 3, 10
+#: A subtree of fewer words counts by its place; so many of the longest blocks beside a subtree tell pages apart.
+SHORT_WORDS, BESIDE = 8, 3
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCKS = frozenset(
@@ -60,7 +62,7 @@ _WORD = re.compile(r"[a-z0-9]+")
 class Node:
     __slots__ = ("children", "main", "marked", "tag")
 
-    def __init__(self, tag: str, marked: bool):
+    def __init__(self, tag: str, marked: int):
         self.tag, self.marked, self.main = tag, marked, False
         self.children: list[Node | str] = []
 
@@ -82,7 +84,7 @@ class Tree(HTMLParser):
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.root = Node("html", False)
+        self.root = Node("html", 0)
         self.open = [self.root]
         self.count: Counter[str] = Counter()  # of the open elements
 
@@ -111,7 +113,7 @@ class Tree(HTMLParser):
                 if node.main:
                     break
                 node.main = True
-        node = Node(tag, bool(attrs) and _marked(tag, attrs))
+        node = Node(tag, _marked(tag, attrs) if attrs else 0)
         self.open[-1].children.append(node)
         if tag not in VOID:
             self.open.append(node)
@@ -168,7 +170,7 @@ def subtrees(root: Node) -> Iterator[tuple[Node, bool, int]]:
             child = node.children[k]
             if isinstance(child, str):
                 parts.append(child)
-            elif child.tag not in ("script", "style"):
+            elif child.tag not in DROPPED or child.tag == "form":
                 own = child.tag in BLOCKS or child.tag in DROPPED
                 stack.append([child, inner or child.tag in MAIN, 0, [] if own else parts])
             continue
@@ -183,6 +185,73 @@ def subtrees(root: Node) -> Iterator[tuple[Node, bool, int]]:
                     yield node, inner, h
 
 
+def _longest(own: dict[int, list[str]], n: int) -> tuple[list[tuple], list[tuple]]:
+    """The longest blocks before each of ``n`` nodes, and from each on."""
+    leaf: list[tuple] = [()] * n
+    for k, texts in own.items():
+        if text := _SPACE.sub(" ", "".join(texts)).strip():
+            leaf[k] = ((-len(text), text),)
+    before, after = [()], [()]
+    for k in range(n):
+        before.append(tuple(sorted({*before[-1], *leaf[k]})[:BESIDE]) if leaf[k] else before[-1])
+        other = leaf[n - 1 - k]
+        after.append(tuple(sorted({*after[-1], *other})[:BESIDE]) if other else after[-1])
+    after.reverse()
+    return before, after
+
+
+def evidence(root: Node, mains: list[Node] | None) -> Iterator[tuple[Node, bool, int, int]]:
+    """The subtrees, whether each is inside of an article, their keys (one or two each), and a hash of what is beside each in ``mains``."""
+    nodes: list[Node] = []
+    at: dict[int, int] = {}
+    end: list[int] = []
+    count: list[int] = []
+    place: list[tuple[int, int]] = []
+    up: list[int] = []
+    held = {id(m) for m in mains or ()}
+    inside: list[bool] = []
+    own: dict[int, list[str]] = {}
+    stack: list[tuple] = [(root, -1, -1, (0, 0))]
+    while stack:
+        x, parent, block, path = stack.pop()
+        if isinstance(x, str):
+            count[parent] += len(x.split())
+            if inside[parent]:
+                own.setdefault(block, []).append(x)
+            continue
+        k = len(nodes)
+        at[id(x)] = k
+        nodes.append(x)
+        up.append(parent)
+        end.append(k + 1)
+        count.append(0)
+        place.append(path)
+        inside.append(id(x) in held or (parent >= 0 and inside[parent]))
+        block = k if x.tag in BLOCKS or block < 0 else block
+        front, back = (0, 0) if x.tag in MAIN else path
+        kin = [c for c in x.children if isinstance(c, Node) and (c.tag not in DROPPED or c.tag == "form")]
+        order = {id(c): n for n, c in enumerate(kin)}
+        for c in reversed(x.children):
+            if isinstance(c, str):
+                stack.append((c, k, block, path))
+            elif (n := order.get(id(c))) is not None:
+                stack.append((c, k, block, (hash((front, n)), hash((back, len(kin) - n)))))
+    for k in range(len(nodes) - 1, 0, -1):
+        count[up[k]] += count[k]
+        end[up[k]] = max(end[up[k]], end[k])
+    before = after = [()] * (len(nodes) + 1)
+    if own:
+        before, after = _longest(own, len(nodes))
+    digests: dict[tuple, int] = {}
+    for node, inner, h in subtrees(root):
+        k = at[id(node)]
+        beside = tuple(sorted({*before[k], *after[end[k]]})[:BESIDE])
+        if beside not in digests:
+            digests[beside] = _digest("\n".join(text for _, text in beside))
+        for key in (h,) if count[k] >= SHORT_WORDS else (hash((h, 1, place[k][0])), hash((h, 2, place[k][1]))):
+            yield node, inner, key, digests[beside]
+
+
 def _mains(root: Node) -> list[Node]:
     """The outermost articles, else main elements, else the page."""
     for tag in ("article", "main"):
@@ -200,7 +269,8 @@ def _mains(root: Node) -> list[Node]:
 
 def main_text(root: Node, templates: frozenset[tuple[bool, int]] = frozenset()) -> str:
     """The blocks of the article, joined by line feeds, without subtrees that are templates."""
-    gone = {id(node) for node, inner, h in subtrees(root) if (inner, h) in templates} if templates else set()
+    mains = _mains(root)
+    gone = {id(node) for node, inner, key, _ in evidence(root, None) if (inner, key) in templates} if templates else set()
     blocks: list[str] = []
     parts: list[str] = []
 
@@ -210,7 +280,7 @@ def main_text(root: Node, templates: frozenset[tuple[bool, int]] = frozenset())
         if text:
             blocks.append(text)
 
-    for main in _mains(root):
+    for main in mains:
         stack: list = [(main, False)]
         while stack:
             x, heads_only = stack.pop()
@@ -248,24 +318,19 @@ def _subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hosts, contents, inners, hashes = [], [], [], []
         for url, html in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
             root = parse(html or "")
-            content = _digest(" ".join(_text(m) for m in _mains(root)))
-            own = {(inner, h) for _, inner, h in subtrees(root)}
-            hosts += [_host(url)] * (len(own) + 1)
-            contents += [content] * (len(own) + 1)
-            inners += [None, *(inner for inner, _ in own)]  # a row without a hash counts the page
-            hashes += [None, *(h for _, h in own)]
+            own = {(inner, key, content) for _, inner, key, content in evidence(root, _mains(root))}
+            hosts += [_host(url)] * len(own)
+            inners += [x[0] for x in own]
+            hashes += [x[1] for x in own]
+            contents += [x[2] for x in own]
         yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(contents, pa.int64()), pa.array(inners, pa.bool_()), pa.array(hashes, pa.int64())], ["host", "content", "inner", "hash"])
 
 
 def templates(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """``host, outer, inner``: the hashes that recur across the pages of each host, outside and inside of articles."""
+    """``host, outer, inner``: the keys that recur across the pages of each host, outside and inside of articles."""
     rows = pages.select(F.col(url), F.col(html)).mapInArrow(_subtrees, "host string, content long, inner boolean, hash long").distinct()
-    counts = rows.groupBy("host", "inner", "hash").agg(F.count("*").alias("n")).where(f"hash is null or n >= {LEAST_PAGES}")
-    counts = stored(counts, "subtree-counts")
-    total = counts.where("hash is null").select(F.col("host").alias("of"), F.col("n").alias("pages"))
     inner = F.col("inner")
-    least = F.greatest(F.when(inner, INNER_PAGES).otherwise(LEAST_PAGES), F.col("pages") * F.when(inner, INNER_SHARE).otherwise(LEAST_SHARE))
-    often = counts.where("hash is not null").join(total, F.col("host") == F.col("of")).where(F.col("n") >= least)
+    often = rows.groupBy("host", "inner", "hash").agg(F.count("*").alias("n")).where(F.col("n") >= F.when(inner, INNER_PAGES).otherwise(LEAST_PAGES))
     lists = (F.collect_list(F.when(inner == flag, F.col("hash"))) for flag in (False, True))
     return often.groupBy("host").agg(*(x.alias(name) for x, name in zip(lists, ("outer", "inner"), strict=True)))
 

@@ -211,6 +211,19 @@ def test_templates_go_and_copies_stay(spark):
     assert set(html_text.extract(pages).columns) == {"page_id", "url", "host", "inner", "text"}
 
 
+def test_templates_at_every_host_size(spark):
+    side = "<div><p>Read all about our many offers of this week</p><p>Buy now</p></div>"
+    note = "<p>Write to the editors of this paper with your own story</p>"
+    story = lambda i: f"<p>{' '.join(rng_words(i, 20))}</p>" + "<p>So it goes</p>" * (i % 3 == 0)
+    rows = [(i, "http://big.example/", f"{side if i < 20 else ''}<article><h1>t{i}</h1>{'<p>x</p>' * (i % 7)}{story(i)}{note if i % 5 == 0 else ''}<p>end {i}</p></article>") for i in range(300)]
+    rows += [(1000 + i, "http://copies.example/", f"<article><p>{' '.join(rng_words(5, 20))}</p><p>{' '.join(rng_words(6, 20))}</p><p>{' '.join(rng_words(7, 21))}</p><p>{' '.join(rng_words(8, 22))}</p><p>on day {i}</p></article>") for i in range(30)]
+    rows += [(2000 + i, "http://plain.example/", f"<div>{story(i)}</div>{side if i < 4 else ''}") for i in range(1, 200)]
+    got = {r.page_id: r.text for r in html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert not any("Write to" in t or "Read all" in t for t in got.values())
+    assert all(len(got[1000 + i].split("\n")) == 5 for i in range(30))
+    assert all(f"end {i}" in got[i] and rng_words(i, 20)[0] in got[i] for i in range(300))
+
+
 def test_deep_pages():
     deep = html_text.parse("<div>" * 20_000 + "x" + "</p>" * 50 + "</div>" * 20_000 + "y")
     assert html_text.main_text(deep) == "x\ny" and len(list(html_text.subtrees(deep))) == 20_000
@@ -420,7 +433,7 @@ def test_spans_across_lines(docs):
     passage = rng_words(60, 55)
     lines = lambda n: "\n".join(" ".join(passage[i : i + n]) for i in range(0, 55, n))
     long = " ".join(rng_words(61, 40))
-    rows = [(1, f"{long} {' '.join(passage)} {' '.join(rng_words(62, 45))}"), (2, f"é {' '.join(rng_words(63, 9))}\n{lines(7)}\nthe end"), (3, lines(20)), (4, " ".join(passage[:49]))]
+    rows = [(1, f"{long} {' '.join(passage)} {' '.join(rng_words(62, 45))}"), (2, f"é {' '.join(rng_words(63, 39))}\n{lines(7)}\n{' '.join(rng_words(65, 40))}"), (3, lines(20)), (4, " ".join(passage[:49]))]
     rows += [(5, "a " * 120), (6, "b a" + " a" * 60), (7, None), (8, ""), (None, lines(11)), (3, lines(20)), (9, " ".join(rng_words(64, 200)))]
     made = docs(*rows).withColumn("_cut", F.lit(2))
     got = paragraphs.spans(made).collect()
@@ -434,5 +447,5 @@ def test_spans_across_lines(docs):
     assert not {7, 8, 9} & set(words)
     assert {r.removed for r in got if r.doc_id == 1} == {False} and {r.removed for r in got if r.doc_id in (2, 3)} == {True}
     left = {r.doc_id: r.text for r in paragraphs.remove_spans(made).collect()}
-    assert left[1] == rows[0][1] and brute.words(left[2]) == brute.words(rows[1][1])[:10] + ["the", "end"] and left[3].strip() == "" and left[7] is None
+    assert left[1] == rows[0][1] and brute.words(left[2]) == brute.words(rows[1][1])[:40] + rng_words(65, 40) and left[3].strip() == "" and left[7] is None
     assert paragraphs.spans(made.where("false")).count() == 0
