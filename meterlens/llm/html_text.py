@@ -53,6 +53,10 @@ MARKS = frozenset(
     "commentlist reply replies respond disqus discussion cookie cookies consent gdpr notice notices notification alert popup modal overlay "
     "newsletter subscribe subscription signup login search share sharing social related recommended recommendations widget skip form hidden".split()
 )
+NEUTRAL = frozenset("site list box container wrapper wrap area block left right top bottom global bar".split())
+#: The elements whose names count.
+HOLDERS = frozenset("address article body center dd details div dl fieldset figure header li main ol section table td tr ul".split())
+NAMED, HIDDEN = 1, 2
 MAIN = frozenset(("article", "main"))
 WHOLE = frozenset(("html", "body"))
 _SPACE = re.compile(r"\s+")
@@ -60,23 +64,32 @@ _WORD = re.compile(r"[a-z0-9]+")
 
 
 class Node:
-    __slots__ = ("children", "main", "marked", "tag")
+    __slots__ = ("children", "main", "marked", "names", "tag")
 
     def __init__(self, tag: str, marked: int):
         self.tag, self.marked, self.main = tag, marked, False
+        self.names = False  # of the root: whether names or forms are inside of an article
         self.children: list[Node | str] = []
 
 
-def _marked(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
+def _marked(tag: str, attrs: list[tuple[str, str | None]]) -> int:
+    """Whether an element is named as no part of the article, or hidden; names count on containers only, an id not on a section."""
+    named = 0
     for name, value in attrs:
-        if name in ("class", "id", "role"):
-            if not MARKS.isdisjoint(_WORD.findall((value or "").lower())):
-                return True
+        if name in ("class", "role") or (name == "id" and tag not in ("section", "article", "main")):
+            if tag in HOLDERS and any(_names(token) for token in (value or "").lower().split()):
+                named = NAMED
         elif name == "hidden" or (name == "aria-hidden" and value == "true"):
-            return True
+            return HIDDEN
         elif name == "style" and value and "display:none" in value.replace(" ", "").lower():
-            return True
-    return False
+            return HIDDEN
+    return named
+
+
+def _names(token: str) -> bool:
+    """A token that is a mark, or joined of marks and words that say nothing of what is inside."""
+    words = _WORD.findall(token)
+    return not MARKS.isdisjoint(words) and all(x in MARKS or x in NEUTRAL for x in words)
 
 
 class Tree(HTMLParser):
@@ -114,6 +127,8 @@ class Tree(HTMLParser):
                     break
                 node.main = True
         node = Node(tag, _marked(tag, attrs) if attrs else 0)
+        if (node.marked or tag == "form") and (self.count["article"] or self.count["main"]):
+            self.root.names = True
         self.open[-1].children.append(node)
         if tag not in VOID:
             self.open.append(node)
@@ -252,15 +267,40 @@ def evidence(root: Node, mains: list[Node] | None) -> Iterator[tuple[Node, bool,
             yield node, inner, key, digests[beside]
 
 
+def _holding(root: Node, page: bool) -> frozenset[int]:
+    """The marked elements and forms that hold most of the text, or the main heading of an article; not lists of other articles."""
+    nodes, stack = [], [root]
+    while stack:
+        node = stack.pop()
+        nodes.append(node)
+        stack.extend(x for x in node.children if isinstance(x, Node) and (x.tag not in DROPPED or x.tag == "form"))
+    if not any(x.marked or x.tag == "form" for x in nodes):
+        return frozenset()
+    size: dict[int, tuple[int, int, int]] = {}
+    for node in reversed(nodes):
+        below = [size[id(x)] for x in node.children if not isinstance(x, str) and id(x) in size]
+        own = sum(len(x.strip()) for x in node.children if isinstance(x, str))
+        size[id(node)] = (own + sum(x[0] for x in below), sum(x[1] for x in below) + (node.tag == "article"), sum(x[2] for x in below) + (node.tag == "h1"))
+    total = size[id(root)][0]
+    may = (x for x in nodes if x.marked == NAMED or (x.tag == "form" and not x.marked))
+    return frozenset(id(x) for x in may if size[id(x)][1] < 2 and (2 * size[id(x)][0] > total or (not page and size[id(x)][2])))
+
+
 def _mains(root: Node) -> list[Node]:
     """The outermost articles, else main elements, else the page."""
+    held = None
     for tag in ("article", "main"):
         found, stack = [], [root]
         while stack:
             node = stack.pop()
-            if node.tag == tag and not node.marked:
+            if node.tag in DROPPED or (node.marked and node.tag not in WHOLE):
+                if held is None and (node.main or node.tag == tag):
+                    held = _holding(root, True)
+                if id(node) not in (held or ()):
+                    continue  # an article in here is another's teaser
+            if node.tag == tag:
                 found.append(node)
-            elif not (node.marked and not node.main):
+            else:
                 stack.extend(x for x in reversed(node.children) if isinstance(x, Node))
         if found:
             return found
@@ -281,6 +321,7 @@ def main_text(root: Node, templates: frozenset[tuple[bool, int]] = frozenset())
             blocks.append(text)
 
     for main in mains:
+        held = _holding(main, main is root) if main is root or root.names else ()
         stack: list = [(main, False)]
         while stack:
             x, heads_only = stack.pop()
@@ -289,7 +330,7 @@ def main_text(root: Node, templates: frozenset[tuple[bool, int]] = frozenset())
             elif isinstance(x, str):
                 if not heads_only:
                     parts.append(x)
-            elif id(x) in gone or (x is not main and (x.tag in DROPPED or (x.marked and not x.main and x.tag not in WHOLE))):
+            elif id(x) in gone or (x is not main and id(x) not in held and (x.tag in DROPPED or (x.marked and x.tag not in WHOLE))):
                 parts.append(" ")
             elif x.tag == "br":
                 parts.append(" ")

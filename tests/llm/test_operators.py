@@ -211,6 +211,20 @@ def test_templates_go_and_copies_stay(spark):
     assert set(html_text.extract(pages).columns) == {"page_id", "url", "host", "inner", "text"}
 
 
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("<article><h2 id='search-methods'>S</h2><p id='comment-on-the-law'>c</p><section id='related-work'><p>r</p></section><div class='post-header'><h1>T</h1></div></article>", "S\nc\nr\nT"),
+        ("<article><p>t and more</p><div class='x comment-list'>no</div><p class='related'>yes</p><div class='header'><h1>H</h1></div></article>", "t and more\nyes\nH"),
+        ("<div><p>The main text of it</p></div><aside><article>one</article></aside><div class='related-posts'>x</div><div class='related'><article>two</article><article>a teaser of great length</article></div>", "The main text of it\nx"),
+        ("<form><article><p>All of the page is a form</p></article></form>", "All of the page is a form"),
+        ("<article><p>text</p><div class='related'><article>card</article><article>card</article></div></article>", "text"),
+    ],
+)
+def test_marks_on_containers(page, text):
+    assert html_text.main_text(html_text.parse(page)) == text
+
+
 def test_templates_at_every_host_size(spark):
     side = "<div><p>Read all about our many offers of this week</p><p>Buy now</p></div>"
     note = "<p>Write to the editors of this paper with your own story</p>"
