@@ -27,10 +27,13 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a language. The network learns from the labelled ones among ``docs``."""
+    """Documents with a language. The network learns from the labelled ones among ``docs``; without any, what has a letter stays."""
     ship(spark)
+    net = langid.fit(docs)
+    if net is None:
+        return docs.where(langid.has_letter("text"))
     lang, score = fresh(docs, "lang_pred"), fresh(docs, "score")
-    named = langid.identify(docs, langid.fit(docs), keep_text=True, lang_out=lang, score_out=score)
+    named = langid.identify(docs, net, keep_text=True, lang_out=lang, score_out=score)
     return named.where(F.col(lang) != langid.UNKNOWN).select(*docs.columns)
 
 

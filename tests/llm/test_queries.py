@@ -151,3 +151,8 @@ def test_spans(run, table):
         words.setdefault(r.doc_id, set()).update(range(r.word, r.word + r.n_words))
     missed = [(d, i) for d, w in tokens.items() for i in range(len(w) - n + 1) if len(holders[tuple(w[i : i + n])]) > 1 and not words.get(d, set()) >= set(range(i, i + n))]
     assert not missed
+
+
+def test_language_stage_without_labels(spark, docs):
+    made = docs((1, "a text", None), (2, None, None), (3, "12 34", None), (4, "é", None))
+    assert {r.doc_id for r in corpus_pipeline.language_id(spark, made, SF).collect()} == {1, 4}
