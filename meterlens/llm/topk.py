@@ -183,9 +183,11 @@ def search(items: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
     ``weights`` (array of long); other columns are left out. Rows with a null in any of
     these take no part; an empty list has the score 0 with everything. Ties go to the
     smaller id. An id that occurs twice is two items, neither found by a query of that id.
+    Equal query rows are one query; rows of one id with other vectors share its ranks.
     A score beyond the range of a long becomes that range's end.
     """
     items, queries = (x.select("id", "terms", "weights").dropna() for x in (items, queries))
+    queries = queries.dropDuplicates()
     n_shards = max(1, -(-items.count() // SHARD))
     n_blocks = max(1, -(-queries.count() // BLOCK))
     index = (

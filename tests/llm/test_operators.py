@@ -178,6 +178,13 @@ def test_search_edges(spark):
     assert topk.search(items.where("false"), items, 3).count() == 0
 
 
+def test_repeated_queries(spark):
+    frame = spark.createDataFrame([(i, [0, 1], [i, 1]) for i in range(10)], "id long, terms array<long>, weights array<long>")
+    asks = frame.where("id = 0")
+    got = topk.search(frame, asks.union(asks), 4).collect()
+    assert sorted((r.rank, r.vec_id) for r in got) == [(1, 1), (2, 2), (3, 3), (4, 4)]
+
+
 # --- HTML
 PAGES = [
     ("<p>a &amp;  b</p><script>x<y</script><p>c<p>d", "a & b\nc\nd"),
