@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 import zlib
 from collections import defaultdict
@@ -107,3 +108,79 @@ def check_packed(rows, capacity=2048):
             at += length
         assert at <= capacity
     return len(by)
+
+
+def periodic_runs(tokens, least_words=6, least_periods=4):
+    """(start, length, period) of every run, by start and period."""
+    n, out = len(tokens), []
+    for q in range(1, n // least_periods + 1):
+        i = q
+        while i < n:
+            if tokens[i] != tokens[i - q]:
+                i += 1
+                continue
+            j = i
+            while j < n and tokens[j] == tokens[j - q]:
+                j += 1
+            start, length = i - q, j - i + q
+            smaller = any(all(tokens[k] == tokens[k - p] for k in range(start + p, j)) for p in range(1, q))
+            if length >= max(least_words, least_periods * q) and not smaller:
+                out.append((start, length, q))
+            i = j
+    return sorted(out, key=lambda r: (r[0], r[2]))
+
+
+def collapsed(tokens, runs):
+    gone = {k for start, length, q in runs for k in range(start + q, start + length)}
+    return [t for k, t in enumerate(tokens) if k not in gone]
+
+
+def cycled(doc_id, tokens):
+    """The words that the run query takes for a document."""
+    h = zlib.crc32(str(doc_id).encode()) if doc_id is not None else 1
+    n, g = len(tokens), h // 10
+    if h % 10 or not n:
+        return tokens
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [tokens[i] if i < a else tokens[a + (i - a) % p] for i in range(n)]
+
+
+def trie(conversations):
+    """The nodes of the prefix trie of {id: [(role, text)]}, by prefix."""
+    members = defaultdict(list)
+    for c, turns in conversations.items():
+        for d in range(len(turns) + 1):
+            members[tuple(turns[:d])].append(c)
+    children = defaultdict(int)
+    for k in members:
+        if k:
+            children[k[:-1]] += 1
+    leaves, saved = defaultdict(int), defaultdict(int)
+    for k, own in members.items():
+        for d in range(len(k) + 1):
+            leaves[k[:d]] += children[k] == 0
+            saved[k[:d]] += (len(own) - 1) * len(k[-1][1].encode()) if k else 0
+    out = set()
+    for k, own in members.items():
+        ends = ",".join(str(c) for c in sorted(own) if len(conversations[c]) == len(k))
+        parent = min(members[k[:-1]]) if k else None
+        out.add((min(own), len(k), parent, len(own), children[k], leaves[k], saved[k], hashlib.sha256(ends.encode()).hexdigest()))
+    return out
+
+
+def rebuilt(conversations):
+    """Each conversation on the head of another, as the trie query takes them."""
+    out = {}
+    for c, own in conversations.items():
+        h = zlib.crc32(str(c).encode()) % 9
+        out[c] = conversations.get(c - c % 5, [])[:h] + own[h:]
+    return out
+
+
+def equal_texts(rows):
+    """By normalised text: the ids that hold it, and the largest, a null id being the smallest."""
+    holders = defaultdict(list)
+    for doc, text in rows:
+        holders[(text or "").translate(_LOWER)].append(doc)
+    return {t: (ids, max(ids, key=lambda x: (x is not None, x or 0))) for t, ids in holders.items()}

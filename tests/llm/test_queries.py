@@ -33,7 +33,7 @@ def run(spark):
 
 def test_all_registered():
     names = contract.queries()
-    assert {int(n[2:].split("_")[0]) for n in names if re.match(r"op\d+_", n)} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in names if re.match(r"op\d+_", n)} == set(range(1, 14))
     assert "pipeline" in names
 
 
