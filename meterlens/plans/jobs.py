@@ -9,14 +9,18 @@ from meterlens.functions import SCOPE, count_if, seconds_between
 from meterlens.operators.current_state import extract_current_scd2
 
 
+JOB_KEY = ["workspace_id", "job_id"]
+#: What tells one run of a job from another.
+RUN_KEY = [*SCOPE, "job_id", "run_id", "run_type"]
+
+
 def jobs_current(jobs: DataFrame) -> DataFrame:
-    return extract_current_scd2(jobs, ["workspace_id", "job_id"], tiebreak=["name"])
+    return extract_current_scd2(jobs, JOB_KEY, tiebreak=["name"])
 
 
 def merge_run_slices(slices: DataFrame) -> DataFrame:
     """One row per run from its hourly slices: whole period, final state of the latest slice."""
-    run = [*SCOPE, "job_id", "run_id", "run_type"]
-    return slices.groupBy(*run).agg(
+    return slices.groupBy(*RUN_KEY).agg(
         F.min("period_start_time").alias("period_start_time"),
         F.max("period_end_time").alias("period_end_time"),
         F.max(F.when(F.col("result_state").isNotNull(), F.struct("period_end_time", "result_state")))
@@ -54,8 +58,8 @@ def job_runs_daily(runs: DataFrame, *, merge_slices: bool = False) -> DataFrame:
 
 def with_job_names(daily: DataFrame, jobs_current: DataFrame) -> DataFrame:
     """Add the current name; the left side has one row per job and day, so no key is hot."""
-    names = jobs_current.select("workspace_id", "job_id", F.col("name").alias("job_name"))
-    return daily.join(names, ["workspace_id", "job_id"], "left")
+    names = jobs_current.select(*JOB_KEY, F.col("name").alias("job_name"))
+    return daily.join(names, JOB_KEY, "left")
 
 
 def job_runs_summary(runs: DataFrame, jobs_current: DataFrame, *, merge_slices: bool = False) -> DataFrame:

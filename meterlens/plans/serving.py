@@ -7,19 +7,28 @@ from pyspark.sql import functions as F
 
 from meterlens.functions import SCOPE, Day, spend, trailing
 from meterlens.operators.current_state import extract_current_scd2, latest_by
+from meterlens.operators.partials import Partials
 
 # What marks a foundation model in entity types and endpoint names.
 FOUNDATION_TYPES = ["FOUNDATION_MODEL_API", "FOUNDATION_MODEL"]
 FOUNDATION_ENDPOINTS = "^databricks-(meta-llama|mixtral|dbrx|bge|gte|mpnet)"
 FOUNDATION_PRODUCTS = ["MODEL_SERVING", "FOUNDATION_MODEL_TRAINING"]
 
+ENTITY_KEY = ["workspace_id", "served_entity_id"]
+#: What a served entity gives to the usage of its dates.
+ENTITY_ATTRIBUTES = ["endpoint_id", "endpoint_name", "served_entity_name", "entity_type", "entity_name"]
+ENDPOINT_KEY = ["workspace_id", "endpoint_name"]
+ENDPOINT_ATTRIBUTES = ["entity_type", "entity_name"]
+#: The cost of an endpoint and the last date that has some.
+ENDPOINT_COSTS = Partials(keys=ENDPOINT_KEY, sums={"total_cost_usd_30d": "total_cost_usd"}, highest={"last_billing_date": "usage_date"})
+
 _TOKENS = ["total_input_tokens", "total_output_tokens", "total_tokens", "request_count"]
 
 
 def served_entities_current(served_entities: DataFrame) -> DataFrame:
     return extract_current_scd2(
         served_entities,
-        ["workspace_id", "served_entity_id"],
+        ENTITY_KEY,
         delete_col="endpoint_delete_time",
         tiebreak=["endpoint_name", "entity_name"],
     )
@@ -43,10 +52,8 @@ def endpoint_usage_daily(endpoint_usage: DataFrame) -> DataFrame:
 
 def with_entities(daily: DataFrame, served_current: DataFrame) -> DataFrame:
     """Add the current attributes of the served entity; NULL for one that is gone."""
-    key = ["workspace_id", "served_entity_id"]
-    attributes = ["endpoint_id", "endpoint_name", "served_entity_name", "entity_type", "entity_name"]
-    joined = daily.join(served_current.select(*key, *attributes), key, "left")
-    return joined.select(*daily.columns, *attributes)
+    joined = daily.join(served_current.select(*ENTITY_KEY, *ENTITY_ATTRIBUTES), ENTITY_KEY, "left")
+    return joined.select(*daily.columns, *ENTITY_ATTRIBUTES)
 
 
 def endpoint_usage_summary(endpoint_usage: DataFrame, served_current: DataFrame) -> DataFrame:
@@ -63,16 +70,20 @@ def serving_costs_daily(lines: DataFrame) -> DataFrame:
     return _billing_by_endpoint(lines.where("billing_origin_product = 'MODEL_SERVING'"))
 
 
-def with_endpoint_entity(costs: DataFrame, served_current: DataFrame) -> DataFrame:
-    """Add one entity served at the endpoint.
+def endpoint_entities(served_current: DataFrame) -> DataFrame:
+    """One entity served at each endpoint.
 
     An endpoint can serve several; the most recently changed one is taken (then the
     greatest id), so reruns agree.
     """
-    endpoint = ["workspace_id", "endpoint_name"]
-    entity = latest_by(served_current, endpoint, "change_time", ["served_entity_id"])
-    joined = costs.join(entity.select(*endpoint, "entity_type", "entity_name"), endpoint, "left")
-    return joined.select(*costs.columns, "entity_type", "entity_name")
+    entity = latest_by(served_current, ENDPOINT_KEY, "change_time", ["served_entity_id"])
+    return entity.select(*ENDPOINT_KEY, *ENDPOINT_ATTRIBUTES)
+
+
+def with_endpoint_entity(costs: DataFrame, served_current: DataFrame) -> DataFrame:
+    """Add one entity served at the endpoint (``endpoint_entities``)."""
+    joined = costs.join(endpoint_entities(served_current), ENDPOINT_KEY, "left")
+    return joined.select(*costs.columns, *ENDPOINT_ATTRIBUTES)
 
 
 def model_serving_costs(lines: DataFrame, served_current: DataFrame) -> DataFrame:
@@ -116,10 +127,16 @@ def endpoint_inventory(
     ``days=30`` limits it to the trailing days.
     """
     costs = model_serving_costs if days is None else trailing(model_serving_costs, "usage_date", days, as_of)
-    endpoint = ["workspace_id", "endpoint_name"]
-    per_endpoint = costs.groupBy(*endpoint).agg(
-        F.sum("total_cost_usd").alias("total_cost_usd_30d"), F.max("usage_date").alias("last_billing_date")
-    )
+    return with_endpoint_costs(served_current, ENDPOINT_COSTS.states(costs))
+
+
+def endpoint_cost_states(costs: DataFrame) -> DataFrame:
+    """The cost states of each date, to be merged later."""
+    return ENDPOINT_COSTS.states(costs, "usage_date")
+
+
+def with_endpoint_costs(served_current: DataFrame, cost_states: DataFrame) -> DataFrame:
+    """Every current entity with the merged costs of its endpoint."""
     entities = served_current.select(
         *SCOPE,
         "endpoint_id",
@@ -134,5 +151,5 @@ def endpoint_inventory(
         "created_by",
         "change_time",
     )
-    joined = entities.join(per_endpoint, endpoint, "left")
+    joined = entities.join(ENDPOINT_COSTS.merge(cost_states), ENDPOINT_KEY, "left")
     return joined.select(*entities.columns, "total_cost_usd_30d", "last_billing_date")

@@ -2,18 +2,27 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import math
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from meterlens.functions import Day, days_before
 from meterlens.sources.failures import FAILURES, first_line
 from meterlens.sources.scratch import new_folder
-from meterlens.sources.tables import Table, delete, only_dates
+from meterlens.sources.files import data_files, delete, exists, move, names, read_text, write_text
+from meterlens.sources.tables import LOAD, Table, balanced, date_of, folder_of, folders_by_date, only_dates
 
 TARGET_FILE_BYTES = 512 * 1024 * 1024
+#: A date of a bronze table with more files is merged.
+MOST_FILES = 8
+_MERGING, _COMPLETE = "_merging", "_complete"
+#: Days that bronze tables and aggregates are kept.
+BRONZE_DAYS, AGGREGATE_DAYS = 90, 365
 
 # Clustering columns per stored table.
 CLUSTER_COLUMNS = {
@@ -99,11 +108,89 @@ def compact_all(
     return spark.createDataFrame(report, "table STRING, files INT, error STRING")
 
 
+def _files_by_date(spark: SparkSession, path: str, date_col: str | None) -> dict[str, list[tuple[int, str]]]:
+    """Load number and path of every file of a bronze table, by the name of its date's folder ("" without dates)."""
+    found: dict[str, list[tuple[int, str]]] = {}
+    for file in data_files(spark, path):
+        parts = file.rsplit("/", 3 if date_col else 2)
+        if parts[-2].startswith(f"{LOAD}="):  # not what is staged
+            found.setdefault(parts[-3] if date_col else "", []).append((int(parts[-2].partition("=")[2]), file))
+    return found
+
+
+def merge_loads(
+    spark: SparkSession, path: str, date_col: str | None, schema: StructType, upto: int, *, most_files: int = MOST_FILES
+) -> list[str]:
+    """Rewrite the dates of a bronze table that have many files of loads up to ``upto`` into even ones.
+
+    Loads that a consumer hasn't read yet must be newer than ``upto``. The new files are
+    staged in a hidden folder; once that is complete, the old ones of each date go and the
+    new ones come into its load 0, under a name that streams pass over. A run that broke off
+    is finished by the next one. Returns the folders of the dates; readers in between may
+    miss a date, so this belongs into the daily job.
+    """
+    _finish_merge(spark, path)
+    many = [d for d, found in _files_by_date(spark, path, date_col).items() if sum(load <= upto for load, _ in found) > most_files]
+    if not many:
+        return []
+    loads = spark.read.schema(StructType([*schema.fields, StructField(LOAD, IntegerType())])).parquet(path)
+    rows = loads.where(F.col(LOAD) <= upto).drop(LOAD)
+    staged = f"{path}/{_MERGING}"
+    if date_col:
+        dates = [date_of(d) for d in many]
+        balanced(only_dates(rows, date_col, dates), date_col, dates).write.mode("overwrite").partitionBy(date_col).parquet(staged)
+    else:
+        balanced(rows, None).write.mode("overwrite").parquet(staged)
+    write_text(spark, f"{staged}/{_COMPLETE}", f"{upto} {uuid.uuid4().hex}")
+    _finish_merge(spark, path)
+    return many
+
+
+def _finish_merge(spark: SparkSession, path: str) -> None:
+    """Put staged files in place of the loads that they were made of; again, after a failure, from where it stopped."""
+    staged = f"{path}/{_MERGING}"
+    if not exists(spark, f"{staged}/{_COMPLETE}"):
+        delete(spark, staged)
+        return
+    upto, merge = read_text(spark, f"{staged}/{_COMPLETE}").split()
+    for folder in [n for n in names(spark, staged) if "=" in n] or [""]:
+        live = f"{path}/{folder}".rstrip("/")
+        for load in names(spark, live):
+            if load.startswith(f"{LOAD}=") and int(load.partition("=")[2]) <= int(upto):
+                for file in names(spark, f"{live}/{load}"):
+                    if not file.startswith(f"merged-{merge}"):
+                        delete(spark, f"{live}/{load}/{file}")
+        for file in data_files(spark, f"{staged}/{folder}".rstrip("/")):
+            move(spark, file, f"{live}/{LOAD}=0/merged-{merge}-{file.rsplit('/', 1)[1]}")
+    delete(spark, staged)
+
+
 def retained(df: DataFrame, date_col: str, days: int, *, as_of: Day = None) -> DataFrame:
-    """Rows no older than ``days`` before ``as_of``."""
-    return df.where(F.col(date_col) >= days_before(as_of, days))
+    """Rows no older than ``days`` before ``as_of``, and those without a date."""
+    return df.where((F.col(date_col) >= days_before(as_of, days)) | F.col(date_col).isNull())
+
 
+def _too_old(spark: SparkSession, folders: list[str], days: int, as_of: Day) -> list[dt.date]:
+    first = spark.range(1).select(days_before(as_of, days)).first()[0]
+    return [d for d in map(date_of, folders) if d is not None and d < first]
 
-def retain(table: Table, days: int, *, as_of: Day = None) -> None:
-    """Drop the dates older than ``days`` from a table partitioned by date."""
-    table.replace(retained(table.read(), table.date_col, days, as_of=as_of))
+
+def retain(table: Table, days: int, *, as_of: Day = None) -> list[dt.date]:
+    """Drop the dates older than ``days`` from a table partitioned by date, and return them.
+
+    Their folders are removed and no row is rewritten; rows without a date stay.
+    """
+    old = _too_old(table.spark, folders_by_date(table.spark, table.path(), table.date_col), days, as_of)
+    table.drop_dates(old)
+    return old
+
+
+def retain_bronze(spark: SparkSession, path: str, date_col: str, days: int, *, as_of: Day = None) -> list[dt.date]:
+    """``retain`` for a bronze table.
+
+    A row that comes later for a date that is gone makes its datasets anew from that row alone.
+    """
+    old = _too_old(spark, folders_by_date(spark, path, date_col), days, as_of)
+    for d in old:
+        delete(spark, f"{path}/{folder_of(date_col, d)}")
+    return old

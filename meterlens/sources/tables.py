@@ -1,50 +1,33 @@
 """Stored datasets: Parquet with atomic replacement.
 
 A table has two slots below its root. A replacement fills the slot not in use and then
-appends one line, with the schema, to ``versions``; readers go to the slot of the
-highest version. So a table can be rewritten from its own content, a failed rewrite
-leaves readers where they were, and at most two copies exist. One writer per table is
-assumed. Overwriting dates works in place: a reader that listed the table before should
-list it again.
+moves a small file, the pointer, into place that names the slot and the schema; the one
+before it goes. So a table can be rewritten from its own content, a failed rewrite leaves
+readers where they were, and at most two copies exist. One writer per table is assumed.
+Overwriting dates works in place: a reader that listed the table before should list it
+again.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import json
-import operator
-from collections.abc import Iterable
+from collections.abc import Iterable, Sized
 from dataclasses import dataclass
-from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-def is_written(spark: SparkSession, path: str) -> bool:
-    """True for a folder whose write was committed."""
-    mark = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
-    return mark.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(mark)
+from meterlens.sources import files
 
-
-def has_files(spark: SparkSession, path: str) -> bool:
-    """True if there is any data file below a folder."""
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not system.exists(folder):
-        return False
-    files = system.listFiles(folder, True)
-    while files.hasNext():
-        if files.next().getPath().getName().endswith(".parquet"):
-            return True
-    return False
-
-
-def delete(spark: SparkSession, path: str) -> None:
-    """Remove a folder that this library has written."""
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+_POINTER = "current-"
+#: The folder of a load of a bronze table.
+LOAD = "_load"
+#: More dates at once are a backfill.
+MANY_DATES = 64
+#: The name of the folder of rows without a date.
+_UNDATED = "__HIVE_DEFAULT_PARTITION__"
 
 
 @dataclass(frozen=True)
@@ -58,83 +41,113 @@ class Stored:
         return self.df
 
 
-_LOG = "version BIGINT, revision BIGINT, schema STRING"
-
-
 class Table:
+    """Parquet files below ``root``, by date if there is a ``date_col``."""
+
     def __init__(self, spark: SparkSession, root: str, date_col: str | None = None):
         self.spark, self.root, self.date_col = spark, root.rstrip("/"), date_col
 
-    def _latest(self) -> tuple[int, StructType] | None:
-        """Version and schema of the newest line of the log."""
-        try:
-            log = self.spark.read.schema(_LOG).json(f"{self.root}/versions")
-        except AnalysisException as missing:
-            if missing.getCondition() == "PATH_NOT_FOUND":
-                return None
-            raise
-        newest = log.agg(F.max(F.struct("version", "revision", "schema"))).first()[0]
-        return None if newest is None else (newest.version, StructType.fromJson(json.loads(newest.schema)))
+    def _latest(self) -> tuple[int, dict] | None:
+        """The number and content of the newest pointer."""
+        numbers = [int(n[len(_POINTER) :]) for n in files.names(self.spark, self.root) if n.startswith(_POINTER)]
+        return (max(numbers), json.loads(files.read_text(self.spark, f"{self.root}/{_POINTER}{max(numbers)}"))) if numbers else None
 
     def exists(self) -> bool:
-        return self._latest() is not None
+        return any(n.startswith(_POINTER) for n in files.names(self.spark, self.root))
 
     def path(self) -> str:
-        return self._slot(self._current()[0])
+        return self._current()[0]
 
-    def _current(self) -> tuple[int, StructType]:
+    def _current(self) -> tuple[str, StructType]:
         latest = self._latest()
         if latest is None:
             raise FileNotFoundError(f"no table at {self.root}")
-        return latest
-
-    def _slot(self, version: int) -> str:
-        return f"{self.root}/slot{version % 2}"
+        return f"{self.root}/{latest[1]['slot']}", StructType.fromJson(latest[1]["schema"])
 
     def read(self) -> DataFrame:
         """The current content; no file is opened to learn its schema. A column added later is NULL in older files."""
-        version, schema = self._current()
-        return self.spark.read.schema(schema).parquet(self._slot(version))
+        path, schema = self._current()
+        return self.spark.read.schema(schema).parquet(path)
 
     def replace(self, df: DataFrame, *, laid_out: bool = False) -> None:
         """Replace the whole content. ``laid_out`` keeps the partitioning ``df`` comes with."""
         latest = self._latest()
-        version = latest[0] + 1 if latest else 1
-        self._write(df if laid_out else self._balanced(df)).mode("overwrite").parquet(self._slot(version))
-        self._log(version, 0, df.schema)
+        slot = "slot0" if latest and latest[1]["slot"] == "slot1" else "slot1"
+        self._write(df if laid_out else balanced(df, self.date_col)).mode("overwrite").parquet(f"{self.root}/{slot}")
+        self._point(latest, slot, df.schema)
+
+    def overwrite_dates(self, df: DataFrame, dates: Iterable | None = None, *, emptied: bool = False, laid_out: bool = False) -> None:
+        """Replace the dates present in ``df`` and keep all others; running it again changes nothing.
 
-    def overwrite_dates(self, df: DataFrame, *, laid_out: bool = False) -> None:
-        """Replace the dates present in ``df`` and keep all others; running it again changes nothing."""
+        ``dates`` are those that ``df`` was made for. With ``emptied``, the ones among them
+        that ``df`` has no row of any more are dropped; else they stay as they are.
+        """
         if self.date_col is None:
             raise ValueError(f"{self.root} is not partitioned by date")
         latest = self._latest()
         if latest is None:
-            self.replace(df, laid_out=laid_out)
+            self.replace(df if laid_out else balanced(df, self.date_col, dates), laid_out=True)
             return
-        version, schema = latest
-        writer = self._write(df if laid_out else self._balanced(df)).mode("overwrite")
-        writer.option("partitionOverwriteMode", "dynamic").parquet(self._slot(version))
+        path, schema = self._current()
+        dates = None if dates is None else list(dates)
+        writer = self._write(df if laid_out else balanced(df, self.date_col, dates)).mode("overwrite")
+        writer.option("partitionOverwriteMode", "dynamic").parquet(path)
+        if emptied and dates:
+            found = {r[0] for r in df.select(self.date_col).distinct().collect()}
+            self.drop_dates(d for d in dates if d not in found)
         added = [f for f in df.schema.fields if f.name not in schema.names]
         if added:
-            wider = StructType(schema.fields + added)
-            self._log(version, len(wider.fields), wider)
+            self._point(latest, latest[1]["slot"], StructType(schema.fields + added))
 
-    def _log(self, version: int, revision: int, schema: StructType) -> None:
-        line = self.spark.range(1).select(
-            F.lit(version).cast("bigint").alias("version"),
-            F.lit(revision).cast("bigint").alias("revision"),
-            F.lit(schema.json()).alias("schema"),
-        )
-        line.write.mode("append").json(f"{self.root}/versions")
+    def dates(self) -> list[dt.date | None]:
+        """The dates that have a folder, None last; nothing is read."""
+        return sorted(map(date_of, folders_by_date(self.spark, self.path(), self.date_col)), key=lambda d: (d is None, d or dt.date.min))
 
-    def _balanced(self, df: DataFrame) -> DataFrame:
-        """Even output files: adaptive execution splits a heavy date over tasks and merges light ones."""
-        return df.hint("rebalance", F.col(self.date_col)) if self.date_col else df.hint("rebalance")
+    def drop_dates(self, dates: Iterable) -> None:
+        """Remove the folders of dates; no row is rewritten."""
+        path = self.path()
+        for d in dates:
+            files.delete(self.spark, f"{path}/{folder_of(self.date_col, d)}")
+
+    def _point(self, latest: tuple[int, dict] | None, slot: str, schema: StructType) -> None:
+        number = latest[0] + 1 if latest else 1
+        files.write_text(self.spark, f"{self.root}/{_POINTER}{number}", json.dumps({"slot": slot, "schema": schema.jsonValue()}))
+        if latest:
+            files.delete(self.spark, f"{self.root}/{_POINTER}{latest[0]}")
 
     def _write(self, df: DataFrame):
         return df.write.partitionBy(self.date_col) if self.date_col else df.write
 
 
+def balanced(df: DataFrame, date_col: str | None, dates: Sized | None = None) -> DataFrame:
+    """Even output files: adaptive execution splits a heavy date over tasks and merges light ones.
+
+    Merged to one task, thousands of light dates would be written one after the other. So a
+    backfill of many ``dates`` is cut by ranges of dates instead, heavy ones through their
+    middle; that reads the date column once more.
+    """
+    if date_col is None:
+        return df.hint("rebalance")
+    if dates is None or len(dates) <= MANY_DATES:
+        return df.hint("rebalance", F.col(date_col))
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartitionByRange(parts, F.col(date_col), F.monotonically_increasing_id())
+
+
+def folder_of(date_col: str, date: dt.date | None) -> str:
+    """The name of a date's folder; rows without one have a folder too."""
+    return f"{date_col}={_UNDATED if date is None else date}"
+
+
+def date_of(folder: str) -> dt.date | None:
+    value = folder.partition("=")[2]
+    return None if value == _UNDATED else dt.date.fromisoformat(value)
+
+
+def folders_by_date(spark: SparkSession, path: str, date_col: str) -> list[str]:
+    return [n for n in files.names(spark, path) if n.startswith(f"{date_col}=")]
+
+
 def create_views(datasets: dict[str, DataFrame]) -> None:
     """Register datasets or reports as temporary views, to be queried by name."""
     for name, df in datasets.items():
@@ -145,7 +158,7 @@ def only_dates(df: DataFrame, date_col: str, dates: Iterable | None) -> DataFram
     """Rows of the given dates, as ranges of literals so the partitions are pruned.
 
     A None among the dates stands for rows without one; ``dates=None`` means all rows.
-    Dates in a row make one range, so a long backfill is a short condition.
+    Dates in a row make one range, so a long backfill is a short condition; others are listed.
     """
     if dates is None:
         return df
@@ -156,7 +169,12 @@ def only_dates(df: DataFrame, date_col: str, dates: Iterable | None) -> DataFram
             ranges[-1][1] = d
         else:
             ranges.append([d, d])
-    wanted = [F.col(date_col).between(F.lit(a), F.lit(b)) for a, b in ranges]
+    col = f"`{date_col}`"
+    single = [f"DATE '{a}'" for a, b in ranges if a == b]
+    wanted = [f"{col} BETWEEN DATE '{a}' AND DATE '{b}'" for a, b in ranges if a < b]
+    if single:
+        wanted.append(f"{col} IN ({', '.join(single)})")
     if None in days:
-        wanted.append(F.col(date_col).isNull())
-    return df.where(reduce(operator.or_, wanted, F.lit(False)))
+        wanted.append(f"{col} IS NULL")
+    # As SQL: the parser balances a long chain of ORs, where columns would nest one in the other.
+    return df.where(" OR ".join(wanted) or "false")

@@ -1,13 +1,16 @@
 """Append-only ingestion of source feeds into bronze tables with Structured Streaming.
 
-The file source hands over each new file once and the file sink logs what it
-committed, so a rerun adds nothing and a retried batch writes nothing twice. Nothing
-here keeps state: late rows are simply new rows, and the datasets of their date are
-rebuilt (see ``refresh``).
+The file source hands over each new file once. A batch is a load: it writes folders of
+its own below each date, ``_load=<number>``, and a retried one replaces them, so nothing
+is there twice. Loads that all consumers have read are merged (``sources.layout``) into
+``_load=0``, in files of another name that streams pass over. Nothing here keeps state:
+late rows are simply new rows, and the datasets of their date are rebuilt (see
+``refresh``).
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +19,15 @@ from pyspark.sql.types import StructType
 
 from meterlens.functions import stamp_identifiers
 from meterlens.schemas import feed_schema
-from meterlens.sources.tables import has_files
+from meterlens.sources import files
+from meterlens.sources.files import has_files
+from meterlens.sources.tables import LOAD, balanced
+
+#: The hidden file that holds the number of the last load, and the names of files that streams take.
+NEWEST, NEW_FILES = "_newest", "part-*"
+# The dates to rebuild, in order, with None last for rows without a date. There is no limit: a calendar is short,
+# and dates in a row become one range (``only_dates``).
+Dates = list[dt.date | None]
 
 
 @dataclass(frozen=True)
@@ -76,15 +87,30 @@ def bronze_stream(stream: DataFrame, table: str, account: str | None = None, wor
 def ingest(rows: DataFrame, table: str, target: str, checkpoint: str) -> None:
     """Append everything that has arrived, in batches of the source's file cap, then stop.
 
-    Rows are gathered by date first, so a batch adds one file to a date, not one for each task.
+    A batch adds even files to each of its dates: a heavy date is split over tasks.
     """
     date_col = BRONZE[table].date_col
-    if date_col:
-        rows = rows.repartition(date_col)
-    writer = rows.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
-    if date_col:
-        writer = writer.partitionBy(date_col)
-    writer.trigger(availableNow=True).start(target).awaitTermination()
+
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        dates = distinct_dates(batch, date_col) if date_col else None
+        loaded = balanced(batch, date_col, dates).withColumn(LOAD, F.lit(batch_id + 1))
+        by = [date_col, LOAD] if date_col else [LOAD]
+        loaded.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(target)
+        files.replace_text(batch.sparkSession, f"{target}/{NEWEST}", str(batch_id + 1))
+
+    query = rows.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
+    query.trigger(availableNow=True).start().awaitTermination()
+
+
+def newest_load(spark: SparkSession, path: str) -> int:
+    """The number of the last load of a bronze table, 0 without any."""
+    mark = f"{path}/{NEWEST}"
+    return int(files.read_text(spark, mark)) if files.exists(spark, mark) else 0
+
+
+def distinct_dates(rows: DataFrame, date_col: str) -> Dates:
+    """The dates present."""
+    return sorted((r[0] for r in rows.select(date_col).distinct().collect()), key=lambda d: (d is None, d or dt.date.min))
 
 
 def ingest_feed(
@@ -117,11 +143,11 @@ def read_bronze(spark: SparkSession, path: str, table: str | None = None, *, mer
     beyond it.
     """
     if table is None:
-        return spark.read.option("mergeSchema", merge_schema).parquet(path)
+        return spark.read.option("mergeSchema", merge_schema).parquet(path).drop(LOAD)
     known = bronze_schema(spark, table)
     if not has_files(spark, path):
         return spark.createDataFrame([], known)
     if merge_schema:
         found = spark.read.option("mergeSchema", True).parquet(path).schema
-        known = StructType(known.fields + [f for f in found.fields if f.name not in known.names])
-    return spark.read.schema(known).parquet(path)
+        known = StructType(known.fields + [f for f in found.fields if f.name not in (*known.names, LOAD)])
+    return spark.read.schema(known).parquet(path).drop(LOAD)

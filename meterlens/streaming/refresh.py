@@ -8,17 +8,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlens.sources.tables import has_files
-from meterlens.streaming.ingest import BRONZE, read_bronze
+from meterlens.sources import files
+from meterlens.sources.files import has_files
+from meterlens.streaming.ingest import BRONZE, LOAD, NEW_FILES, Dates, distinct_dates, newest_load, read_bronze
 
-# The dates to rebuild, in order, with None last for rows without a date. There is no limit: a calendar is short,
-# and dates in a row become one range (``only_dates``).
-Dates = list[dt.date | None]
-
-
-def distinct_dates(rows: DataFrame, date_col: str) -> Dates:
-    """The dates present."""
-    return sorted((r[0] for r in rows.select(date_col).distinct().collect()), key=lambda d: (d is None, d or dt.date.min))
+#: The hidden file in a consumer's checkpoint folder that holds the number of the last load it has read.
+CONSUMED = "_consumed"
 
 
 def rebuild_on_new_rows(rows: DataFrame, date_col: str, checkpoint: str, rebuild: Callable[[Dates], None]) -> None:
@@ -43,8 +38,21 @@ def rebuild_on_new_bronze(
     """``rebuild_on_new_rows`` over a bronze table, whose date column is its partition column; nothing for an empty one."""
     if not has_files(spark, bronze_path):
         return
-    schema = read_bronze(spark, bronze_path, table).schema
-    rebuild_on_new_rows(spark.readStream.schema(schema).parquet(bronze_path), BRONZE[table].date_col, checkpoint, rebuild)
+    newest = newest_load(spark, bronze_path)
+    schema = read_bronze(spark, bronze_path, table).schema.add(LOAD, "integer")
+    new = spark.readStream.schema(schema).option("pathGlobFilter", NEW_FILES).parquet(bronze_path)
+    rebuild_on_new_rows(new, BRONZE[table].date_col, checkpoint, rebuild)
+    files.replace_text(spark, f"{checkpoint}/{CONSUMED}", str(newest))
+
+
+def consumed(spark: SparkSession, checkpoints: str, table: str, bronze_path: str) -> int:
+    """The last load that every consumer of a bronze table has read; of one without consumers, the newest."""
+    loads = [newest_load(spark, bronze_path)]
+    for name in files.names(spark, checkpoints):
+        if name.endswith(f"_from_{table}"):
+            mark = f"{checkpoints}/{name}/{CONSUMED}"
+            loads.append(int(files.read_text(spark, mark)) if files.exists(spark, mark) else 0)
+    return min(loads)
 
 
 def changed_intervals(changes: DataFrame) -> DataFrame:
@@ -59,7 +67,7 @@ def changed_intervals(changes: DataFrame) -> DataFrame:
         F.min(end).alias("_first_end"),
         F.max(end).alias("_to"),
         F.count("*").alias("_rows"),
-        F.count_distinct(F.to_json("pricing")).alias("_amounts"),
+        F.count_distinct(F.coalesce(F.to_json("pricing"), F.lit(""))).alias("_amounts"),
     )
     moved = (F.col("_rows") == 2) & (F.col("_amounts") == 1)
     start = F.when(moved, F.col("_first_end")).otherwise(F.col("price_start_time"))
@@ -69,6 +77,14 @@ def changed_intervals(changes: DataFrame) -> DataFrame:
 def dates_of_price_changes(changes: DataFrame, usage: DataFrame) -> Dates:
     """Dates of the usage that a changed price bears on: same SKU and cloud, and within the changed time."""
     changed = changed_intervals(changes)
+    bounds = changed.agg(F.to_date(F.min("_from")).alias("first"), F.to_date(F.max("_to")).alias("last")).first()
+    if bounds["first"] is None:
+        return []
+    # As literals on the date column, so that partitions are pruned; a row may run over midnight, or have no date.
+    day = dt.timedelta(days=1)
+    last = min(bounds["last"], dt.date.max - day) + day
+    near = F.col("usage_date").between(F.lit(bounds["first"] - day), F.lit(last))
+    usage = usage.where(near | F.col("usage_date").isNull())
     touched = (
         (F.col("sku_name") == F.col("_sku"))
         & (F.col("cloud") == F.col("_cloud"))

@@ -15,11 +15,11 @@ from meterlens.functions import SCOPE
 from meterlens.jobs import Lake, register_reports, run_consolidate, run_daily, run_refresh
 from meterlens.operators import change_feed, extract_current_scd2
 from meterlens.sources.feeds import Probe, read_snapshot, source_probe, union_evolving
-from meterlens.sources.layout import CLUSTER_COLUMNS, clustered, compact, compact_dates, retain
+from meterlens.sources.layout import CLUSTER_COLUMNS, clustered, compact, compact_dates, merge_loads, retain, retain_bronze
 from meterlens.sources.publish import Share, publish
 from meterlens.sources.scratch import new_folder
 from meterlens.sources.tables import Table, create_views
-from meterlens.streaming.ingest import BRONZE, bronze_stream, ingest, read_bronze
+from meterlens.streaming.ingest import BRONZE, bronze_stream, ingest, ingest_feed, newest_load, read_bronze
 from meterlens.validation.fixtures import ACCOUNT, BILLING_DAY, EVENTS_DAY, WORKSPACE, raw_feed
 from meterlens.validation.registry import _MONEY, _add
 from meterlens.validation.world import World
@@ -96,6 +96,89 @@ _add(
 )
 
 
+# Entity feeds before the second load: older versions with other attributes.
+_BEFORE = {
+    "jobs": {"name": "concat('old ', name)"},
+    "served_entities": {"entity_type": "if(entity_type = 'EXTERNAL_MODEL', 'CUSTOM', 'EXTERNAL_MODEL')", "entity_name": "'old'"},
+}
+_WHOLE = {"list_prices", "experiments_latest"}  # there from the start
+
+
+def _changing_entities(w: World, feeds: list[str], early: str, **options) -> Lake:
+    """Two loads that share dates, each followed by a refresh; entities have other attributes after the first.
+
+    ``early`` tells which rows of the other feeds come first.
+    """
+    folder = new_folder(w.spark, "loads")
+    lake = Lake(w.spark, f"{folder}/lake", ACCOUNT, WORKSPACE)
+    for first in (True, False):
+        for feed in feeds:
+            rows = raw_feed(w.spark, w.sf_dir, feed)
+            if feed in _BEFORE:
+                if first:
+                    older = {"change_time": "change_time - interval 5000 days"} | _BEFORE[feed]
+                    rows = rows.withColumns({c: F.expr(e).cast(rows.schema[c].dataType) for c, e in older.items()})
+            elif feed in _WHOLE:
+                rows = rows if first else rows.where("false")
+            else:
+                rows = rows.where(F.expr(early) if first else ~F.expr(early))
+            rows.write.mode("append").parquet(f"{folder}/in/{feed}")
+        run_refresh(lake, {feed: f"{folder}/in/{feed}" for feed in feeds}, **options)
+    return lake
+
+
+_EARLY = "workspace_id in ('0', '1')"
+_ODD_HOURS = "hour(period_start_time) % 2 = 1"
+_RUN_CASTS = {"text": "run_date", "count": "total_runs successful_runs failed_runs canceled_runs p95_duration_seconds", "stat": "avg_duration_seconds"}
+_JOB_FEEDS = ["jobs", "job_run_timeline"]
+_SERVING_FEEDS = ["served_entities", "endpoint_usage"]
+_COST_FEEDS = ["usage", "list_prices", *_SERVING_FEEDS]
+_TOKENS = "total_input_tokens total_output_tokens total_tokens request_count"
+_INVENTORY = ["served_entity_id", "endpoint_name", "entity_type", "entity_name", "change_time", "total_cost_usd_30d", "last_billing_date"]
+_add("s_refresh_jobs", lambda w: _changing_entities(w, _JOB_FEEDS, _EARLY).gold("job_runs_summary").read(), "select * from job_runs_summary", **_RUN_CASTS)
+_add(
+    "s_refresh_jobs_merged",
+    lambda w: _changing_entities(w, _JOB_FEEDS, _ODD_HOURS, merge_slices=True).gold("job_runs_summary").read(),
+    "select * from job_runs_merged",
+    **_RUN_CASTS,
+)
+_add(
+    "s_refresh_serving",
+    lambda w: _changing_entities(w, _SERVING_FEEDS, _EARLY).gold("endpoint_usage_summary").read().drop("endpoint_id", "served_entity_name"),
+    "select * from endpoint_usage_summary",
+    count=_TOKENS,
+    text="usage_date first_request last_request",
+)
+_add(
+    "s_refresh_external_usage",
+    lambda w: _changing_entities(w, _SERVING_FEEDS, _EARLY).gold("external_model_usage").read(),
+    "select * from external_model_usage",
+    count=_TOKENS,
+    text="usage_date",
+)
+_add(
+    "s_refresh_serving_costs",
+    lambda w: _changing_entities(w, _COST_FEEDS, _EARLY, datasets=["serving_costs_daily"]).gold("model_serving_costs").read(),
+    "select * from model_serving_costs",
+    double=_MONEY,
+    text="usage_date",
+)
+_add(
+    "s_refresh_inventory",
+    lambda w: _changing_entities(w, _COST_FEEDS, _EARLY, datasets=["endpoint_cost_states"]).gold("endpoint_inventory").read().select(*SCOPE, *_INVENTORY),
+    "select * from endpoint_inventory",
+    double="total_cost_usd_30d",
+    text="change_time last_billing_date",
+    drop="endpoint_delete_time",
+)
+_add(
+    "s_refresh_tracking",
+    lambda w: _changing_entities(w, ["experiments_latest", "runs_latest"], _EARLY).gold("mlflow_experiments_summary").read(),
+    "select * from mlflow_experiments_summary",
+    text="creation_time last_update_time first_run last_run",
+)
+
+
 def _snapshot(w: World) -> DataFrame:
     folder = new_folder(w.spark, "snapshot")
     raw_feed(w.spark, w.sf_dir, "workspaces_latest").write.parquet(folder)
@@ -230,23 +313,19 @@ _add(
 
 def _report_by_name(w: World) -> DataFrame:
     """A report read by its name from a refreshed lake."""
-    register_reports(_recent_billing(w), as_of=BILLING_DAY, prefix="lake_")
+    register_reports(_billing_lake(w), as_of=BILLING_DAY, prefix="lake_")
     return w.spark.sql("SELECT * FROM lake_v_daily_spend_trend")
 
 
-def _billing_lake(w: World, folder: str, part) -> Lake:
+def _billing_lake(w: World) -> Lake:
+    folder = new_folder(w.spark, "reports")
     lake = Lake(w.spark, f"{folder}/lake", ACCOUNT, WORKSPACE)
-    recent = F.col("usage_date") >= F.lit(BILLING_DAY - dt.timedelta(days=40))
-    raw_feed(w.spark, w.sf_dir, "usage").where(recent & part).write.mode("append").parquet(f"{folder}/in/usage")
-    raw_feed(w.spark, w.sf_dir, "list_prices").write.mode("overwrite").parquet(f"{folder}/in/list_prices")
-    run_refresh(lake, {feed: f"{folder}/in/{feed}" for feed in ("usage", "list_prices")})
+    for feed in ("usage", "list_prices"):
+        raw_feed(w.spark, w.sf_dir, feed).write.parquet(f"{folder}/in/{feed}")
+    run_refresh(lake, {feed: f"{folder}/in/{feed}" for feed in ("usage", "list_prices")}, datasets=[])
     return lake
 
 
-def _recent_billing(w: World) -> Lake:
-    return _billing_lake(w, new_folder(w.spark, "reports"), F.lit(True))
-
-
 _add(
     "s_report_by_name",
     _report_by_name,
@@ -261,20 +340,19 @@ def _refreshed_billing(w: World) -> DataFrame:
     folder = new_folder(w.spark, "billing")
     half = F.pmod(F.xxhash64("record_id"), F.lit(2)) == 0
     lake = Lake(w.spark, f"{folder}/lake", ACCOUNT, WORKSPACE)
-    recent = F.col("usage_date") >= F.lit(BILLING_DAY - dt.timedelta(days=40))
     prices = raw_feed(w.spark, w.sf_dir, "list_prices")
     other = prices.withColumn("pricing", F.struct((F.col("pricing.default") * 2).cast("decimal(18,4)").alias("default")).cast(prices.schema["pricing"].dataType))
     for part, price_list in ((half, other), (~half, other), (F.lit(False), prices)):
-        raw_feed(w.spark, w.sf_dir, "usage").where(recent & part).write.mode("append").parquet(f"{folder}/in/usage")
+        raw_feed(w.spark, w.sf_dir, "usage").where(part).write.mode("append").parquet(f"{folder}/in/usage")
         price_list.write.mode("overwrite").parquet(f"{folder}/in/list_prices")
-        run_refresh(lake, {feed: f"{folder}/in/{feed}" for feed in ("usage", "list_prices")})
+        run_refresh(lake, {feed: f"{folder}/in/{feed}" for feed in ("usage", "list_prices")}, datasets=["cost_by_product"])
     return lake.gold("cost_by_product").read()
 
 
 _add(
     "s_refresh_billing",
     _refreshed_billing,
-    f"select * from cost_by_product where usage_date >= DATE '{BILLING_DAY}' - 40",
+    "select * from cost_by_product",
     double=_MONEY,
     text="usage_date",
 )
@@ -283,9 +361,8 @@ _add(
 def _consolidated(w: World) -> DataFrame:
     """Two published folders as one dataset."""
     target = new_folder(w.spark, "providers")
-    recent = w.by_product.where(F.col("usage_date") >= F.lit(BILLING_DAY - dt.timedelta(days=40)))
     for name in ("east", "west"):
-        publish(w.spark, {"cost_by_product": recent}, f"{target}/{name}", [Share("cost_by_product")])
+        publish(w.spark, {"cost_by_product": w.by_product}, f"{target}/{name}", [Share("cost_by_product")])
     found = run_consolidate(w.spark, {name: f"{target}/{name}" for name in ("east", "west", "none_yet")}, as_of=BILLING_DAY)
     return found["all_cost_by_product"]
 
@@ -293,8 +370,7 @@ def _consolidated(w: World) -> DataFrame:
 _add(
     "s_consolidate",
     _consolidated,
-    f"""select source, c.* from cost_by_product c, (values ('east'), ('west')) s(source)
- where usage_date >= DATE '{BILLING_DAY}' - 40""",
+    "select source, c.* from cost_by_product c, (values ('east'), ('west')) s(source)",
     double=_MONEY,
     text="usage_date",
 )
@@ -399,3 +475,41 @@ _add(
     double=_MONEY,
     text="usage_date",
 )
+
+
+_AUDIT_COLUMNS = ["event_time", "event_date", "service_name", "action_name", "source_ip_address"]
+_AUDIT_SQL = f"select {_STAMP_SQL}, workspace_id, {', '.join(_AUDIT_COLUMNS)} from audit"
+
+
+def _merged_bronze(w: World) -> DataFrame:
+    """Audit events in ten loads that share all dates, merged after the eighth and after the last."""
+    folder, table = new_folder(w.spark, "merged"), "audit_logs_bronze"
+    audit = raw_feed(w.spark, w.sf_dir, "audit").withColumn("_part", F.pmod(F.xxhash64("event_time", "action_name"), F.lit(10)))
+    for part in range(10):
+        audit.where(F.col("_part") == part).drop("_part").write.mode("append").parquet(f"{folder}/in")
+        ingest_feed(w.spark, table, f"{folder}/in", f"{folder}/table", f"{folder}/checkpoint", account=ACCOUNT, workspace=WORKSPACE)
+        if part in (7, 9):
+            merge_loads(w.spark, f"{folder}/table", "event_date", read_bronze(w.spark, f"{folder}/table", table).schema, newest_load(w.spark, f"{folder}/table"), most_files=2)
+    return read_bronze(w.spark, f"{folder}/table", table).select(*SCOPE, *_AUDIT_COLUMNS)
+
+
+_add("s_bronze_compacted", _merged_bronze, _AUDIT_SQL, text="event_time event_date")
+
+
+def _retained_lake(w: World) -> DataFrame:
+    """Audit events, some of them without a date, with 20 days of bronze kept."""
+    folder, table = new_folder(w.spark, "retained"), "audit_logs_bronze"
+    undated = F.when(F.col("action_name") != "getTable", F.col("event_date"))
+    raw_feed(w.spark, w.sf_dir, "audit").withColumn("event_date", undated).write.parquet(f"{folder}/in")
+    ingest_feed(w.spark, table, f"{folder}/in", f"{folder}/table", f"{folder}/checkpoint", account=ACCOUNT, workspace=WORKSPACE)
+    retain_bronze(w.spark, f"{folder}/table", "event_date", 20, as_of=EVENTS_DAY)
+    return read_bronze(w.spark, f"{folder}/table", table).select(*SCOPE, *_AUDIT_COLUMNS)
+
+
+_add(
+    "s_retain_lake",
+    _retained_lake,
+    f"""select * replace (case when action_name <> 'getTable' then event_date end as event_date) from ({_AUDIT_SQL})
+ where action_name = 'getTable' or event_date >= DATE '{EVENTS_DAY}' - 20""",
+    text="event_time event_date",
+)

@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 
 from meterlens.jobs import Lake, register_reports, run_consolidate, run_daily, run_publish, run_refresh
 from meterlens.operators import change_feed
-from meterlens.plans import billing
+from compare import plan_of
+from meterlens.plans import billing, tracking
 from meterlens.schemas import FEEDS, feed_schema
-from meterlens.sources import layout
+from meterlens.sources import files, layout
 from meterlens.sources.feeds import Probe, evolved_schema, read_snapshot, source_probe
 from meterlens.sources.publish import Share, publish
 from meterlens.sources.scratch import new_folder, shared_folder
@@ -131,6 +132,8 @@ def test_a_long_backfill_is_a_short_range(spark):
     assert len(dates) == 3000 and dates[0] == dt.date(2010, 1, 1)
     assert only_dates(days, "d", [*dates[:1000], *dates[1001:], None]).count() == 2999
     assert only_dates(days, "d", []).count() == 0
+    assert only_dates(days, "d", dates[::2]).count() == 1500
+    assert only_dates(days, "d", [d for i, d in enumerate(dates) if i % 3]).count() == 2000
 
 
 def test_only_dates_of_the_changed_price_are_rebuilt(spark):
@@ -378,3 +381,248 @@ def test_a_cluster_needs_a_shared_folder():
     with pytest.raises(RuntimeError):
         shared_folder(Session(spark_master="yarn"))
     assert shared_folder(Session(spark_master="local[2]")) == shared_folder(Session(spark_master="local[2]"))
+
+
+# --- entities that change, and states that are merged
+def arrive(spark, folder, feed, *rows):
+    """Rows given as dicts, written to a feed's folder with its documented columns."""
+    schema = feed_schema(feed)
+    whole = [tuple(r.get(f.name) for f in schema.fields) for r in rows]
+    spark.createDataFrame(whole, schema).coalesce(1).write.mode("append").parquet(folder)
+
+
+def recorded(monkeypatch, table_class=Table):
+    """The dates that each overwriting names, by table."""
+    written, overwrite = {}, table_class.overwrite_dates
+
+    def wrapped(self, df, dates=None, **options):
+        if dates is not None:
+            written.setdefault(self.root.rsplit("/", 1)[1], []).append([d and d.day for d in dates])
+        return overwrite(self, df, dates, **options)
+
+    monkeypatch.setattr(table_class, "overwrite_dates", wrapped)
+    return written
+
+
+def slice_of(n, job="1", run="r", state="SUCCEEDED", hour=0, **more):
+    start = f"2024-01-{n:02} {hour:02}:00:00"
+    return {"workspace_id": "w", "job_id": job, "run_id": f"{run}{n}", "run_type": "JOB_RUN", "period_start_time": at(start),
+            "period_end_time": at(f"2024-01-{n:02} {hour:02}:30:00"), "result_state": state} | more
+
+
+def job(name, changed, key="1"):
+    return {"account_id": "a", "workspace_id": "w", "job_id": key, "name": name, "change_time": at(changed)}
+
+
+def test_a_renamed_job_rebuilds_its_dates_only(spark, tmp_path, lake, monkeypatch):
+    sources = {f: str(tmp_path / f) for f in ("jobs", "job_run_timeline")}
+    arrive(spark, sources["jobs"], "jobs", job("old", "2024-01-01"), job("other", "2024-01-01", "2"))
+    arrive(spark, sources["job_run_timeline"], "job_run_timeline", slice_of(1), slice_of(3), slice_of(4, job="2"))
+    run_refresh(lake, sources)
+    written = recorded(monkeypatch)
+    run_refresh(lake, sources)
+    assert written == {}
+    arrive(spark, sources["jobs"], "jobs", job("new", "2024-02-01"))
+    run_refresh(lake, sources)
+    assert written == {"job_runs_summary": [[1, 3]]}
+    arrive(spark, sources["job_run_timeline"], "job_run_timeline", slice_of(4, run="late"))
+    run_refresh(lake, sources)
+    assert written["job_runs_summary"][1:] == [[4]] and written["job_runs_daily"] == [[4]]
+    got = as_set(lake.gold("job_runs_summary").read(), "run_date", "job_name", "total_runs")
+    assert {(d.day, n, c) for d, n, c in got} == {(1, "new", 1), (3, "new", 1), (4, "other", 1), (4, "new", 1)}
+
+
+def test_a_failed_rebuild_of_names_is_made_up_for(spark, tmp_path, lake, monkeypatch):
+    sources = {f: str(tmp_path / f) for f in ("jobs", "job_run_timeline")}
+    arrive(spark, sources["jobs"], "jobs", job("old", "2024-01-01"))
+    arrive(spark, sources["job_run_timeline"], "job_run_timeline", slice_of(1))
+    run_refresh(lake, sources)
+    arrive(spark, sources["jobs"], "jobs", job("new", "2024-02-01"))
+    with monkeypatch.context() as broken:
+        broken.setattr(Table, "overwrite_dates", lambda *a, **k: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            run_refresh(lake, sources)
+    run_refresh(lake, sources)
+    assert as_set(lake.gold("job_runs_summary").read(), "job_name") == {("new",)}
+
+
+def test_a_run_over_midnight_counts_on_its_first_date(spark, tmp_path, lake):
+    sources = {f: str(tmp_path / f) for f in ("jobs", "job_run_timeline")}
+    arrive(spark, sources["jobs"], "jobs", job("n", "2024-01-01"))
+    first = slice_of(1, hour=23, state=None) | {"run_id": "x", "period_end_time": at("2024-01-02")}
+    second = slice_of(2, state="FAILED") | {"run_id": "x"}
+    for rows in ([first, slice_of(2)], [second]):
+        arrive(spark, sources["job_run_timeline"], "job_run_timeline", *rows)
+        run_refresh(lake, sources, merge_slices=True)
+    got = lake.gold("job_runs_summary").read().select("run_date", "total_runs", "failed_runs", "max_duration_seconds").collect()
+    assert {(r[0].day, *r[1:]) for r in got} == {(1, 1, 1, 5400), (2, 1, 0, 1800)}
+
+
+def entity(kind, changed, key="e", endpoint="p", **more):
+    return {"served_entity_id": key, "account_id": "a", "workspace_id": "1", "endpoint_name": endpoint, "endpoint_id": "1", "entity_type": kind,
+            "entity_name": f"{kind}-model", "change_time": at(changed)} | more
+
+
+def request(n, key="e"):
+    return {"account_id": "a", "workspace_id": "1", "served_entity_id": key, "request_time": at(f"2024-01-{n:02} 10:00:00"),
+            "input_token_count": 10, "output_token_count": 1}
+
+
+def test_a_changed_entity_leaves_the_reports_of_its_old_kind(spark, tmp_path, lake, monkeypatch):
+    sources = {f: str(tmp_path / f) for f in ("usage", "list_prices", "served_entities", "endpoint_usage")}
+    set_prices(spark, sources["list_prices"], price(1, "2023-01-01"))
+
+    def serving_day(n, rid):
+        row = usage_row(rid, f"2024-01-{n:02} 00:00:00", f"2024-01-{n:02} 01:00:00", product="MODEL_SERVING")
+        return tuple((None,) * 7 + ("p",) if f == "usage_metadata" else v for f, v in zip(feed_schema("usage").names, row, strict=True))
+
+    add_usage(spark, sources["usage"], serving_day(1, "a"), serving_day(6, "b"), day(7))
+    arrive(spark, sources["served_entities"], "served_entities", entity("EXTERNAL_MODEL", "2024-01-01"), entity("CUSTOM", "2024-01-01", "f", "q"))
+    arrive(spark, sources["endpoint_usage"], "endpoint_usage", request(1), request(2), request(5, "f"))
+    run_refresh(lake, sources)
+    days = lambda name: {d.day for (d,) in as_set(lake.gold(name).read(), "usage_date")}
+    assert days("external_model_usage") == {1, 2} and days("foundation_model_usage") == set()
+    written = recorded(monkeypatch)
+    arrive(spark, sources["served_entities"], "served_entities", entity("FOUNDATION_MODEL", "2024-01-09"))
+    run_refresh(lake, sources)
+    assert days("external_model_usage") == set() and days("foundation_model_usage") == {1, 2}
+    assert written == {
+        **dict.fromkeys(["endpoint_usage_summary", "foundation_model_usage", "external_model_usage"], [[1, 2]]),
+        "model_serving_costs": [[1, 6]],
+    }
+    assert as_set(lake.gold("model_serving_costs").read(), "entity_type") == {("FOUNDATION_MODEL",)}
+    add_usage(spark, sources["usage"], serving_day(6, "c"), serving_day(8, "d"))
+    run_refresh(lake, sources)
+    assert written["model_serving_costs"][1:] == [[6, 8]]
+    inventory = lake.gold("endpoint_inventory").read()
+    assert as_set(inventory, "endpoint_name", "entity_type", "total_cost_usd_30d", "last_billing_date") == {
+        ("p", "FOUNDATION_MODEL", Decimal(8), dt.date(2024, 1, 8)),
+        ("q", "CUSTOM", None, None),
+    }
+
+
+def run_of(n, user, status="FINISHED", run=None):
+    return {"account_id": "a", "workspace_id": "w", "run_id": run or f"r{n}{user}", "experiment_id": "x", "created_by": user, "status": status,
+            "start_time": at(f"2024-01-{n:02} 01:00:00"), "update_time": at(f"2024-01-{n:02} 01:00:00")}
+
+
+def test_experiments_are_merged_from_states_of_touched_dates(spark, tmp_path, lake, monkeypatch):
+    sources = {f: str(tmp_path / f) for f in ("experiments_latest", "runs_latest")}
+    experiment = {"account_id": "a", "workspace_id": "w", "experiment_id": "x", "name": "n"}
+    arrive(spark, sources["experiments_latest"], "experiments_latest", experiment)
+    arrive(spark, sources["runs_latest"], "runs_latest", run_of(1, "ann"), run_of(2, "ann", "FAILED"), run_of(2, None))
+    run_refresh(lake, sources)
+    read, states = [], tracking.daily_run_states
+
+    def seen(runs):
+        read.append(({d.day for (d,) in as_set(runs, "_day")}, plan_of(runs)))
+        return states(runs)
+
+    monkeypatch.setattr(tracking, "daily_run_states", seen)
+    arrive(spark, sources["runs_latest"], "runs_latest", run_of(2, "bob"), run_of(2, "ann"))
+    run_refresh(lake, sources)
+    assert [days for days, _ in read] == [{2}]
+    assert "PartitionFilters: [isnotnull(_day" in read[0][1] and "2024-01-02" in read[0][1]
+    got = lake.gold("mlflow_experiments_summary").read().select("total_runs", "successful_runs", "failed_runs", "first_run", "last_run", "distinct_users")
+    assert [tuple(r) for r in got.collect()] == [(5, 4, 1, at("2024-01-01 01:00:00"), at("2024-01-02 01:00:00"), 2)]
+
+
+# --- bronze: merged loads, retention
+def test_merged_loads_are_not_new_rows(spark, tmp_path, lake, monkeypatch):
+    """After ten refreshes a closed date has few files, and no row is read or rebuilt twice."""
+    sources = {"audit": str(tmp_path / "audit")}
+    event = lambda n, action: {"account_id": "a", "workspace_id": "w", "event_time": at(f"2024-01-{n:02}"), "event_date": dt.date(2024, 1, n),
+                               "service_name": "s", "action_name": action, "user_identity": ("u@x", "u")}
+    for i in range(10):
+        arrive(spark, sources["audit"], "audit", event(1, f"a{i}"), *([event(2, "b")] if i == 3 else []))
+        run_refresh(lake, sources)
+    path = lake.bronze_path("audit_logs_bronze")
+    on = lambda day: [f for f in files.data_files(spark, path) if f"event_date=2024-01-{day:02}" in f]
+    assert len(on(1)) == 10 and len(on(2)) == 1
+    assert {r.error for r in run_daily(lake, as_of=dt.date(2024, 1, 9)).collect() if r.table == "audit_logs_bronze"} == set()
+    assert len(on(1)) == 1 and len(on(2)) == 1
+    actions = {(f"a{i}",) for i in range(10)} | {("b",)}
+    assert lake.bronze("audit_logs_bronze").count() == 11 and as_set(lake.bronze("audit_logs_bronze"), "action_name") == actions
+    written = recorded(monkeypatch)
+    run_refresh(lake, sources)
+    assert written == {}
+    arrive(spark, sources["audit"], "audit", event(1, "late"))
+    run_refresh(lake, sources)
+    assert written["user_activity_summary"] == [[1]]
+    counts = {(d.day, n) for d, n in as_set(lake.gold("user_activity_summary").read(), "event_date", "event_count")}
+    assert counts == {(1, 11), (2, 1)}
+
+
+def test_loads_that_a_consumer_has_not_read_are_kept(spark, tmp_path, lake):
+    source = str(tmp_path / "usage")
+    for n in range(4):
+        add_usage(spark, source, day(1, f"r{n}"))
+        ingest_feed(spark, "billing_usage_bronze", source, lake.bronze_path("billing_usage_bronze"), lake.checkpoint("billing_usage_bronze"))
+        if n == 1:
+            refresh.rebuild_on_new_bronze(spark, "billing_usage_bronze", lake.bronze_path("billing_usage_bronze"), lake.checkpoint("x_from_billing_usage_bronze"), lambda dates: None)
+    path = lake.bronze_path("billing_usage_bronze")
+    upto = refresh.consumed(spark, f"{lake.root}/checkpoints", "billing_usage_bronze", path)
+    assert upto == 2
+    merge = lambda: layout.merge_loads(spark, path, "usage_date", lake.bronze("billing_usage_bronze").schema, upto, most_files=1)
+    assert merge() == ["usage_date=2024-01-01"] and merge() == []
+    assert sorted(f.rsplit("/", 2)[1] for f in files.data_files(spark, path)) == ["_load=0", "_load=3", "_load=4"]
+    assert lake.bronze("billing_usage_bronze").count() == 4
+
+
+@pytest.mark.parametrize("broken_at", [0, 1])
+def test_a_merge_that_broke_off_is_finished(spark, tmp_path, monkeypatch, broken_at):
+    source, path, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    for n in range(3):
+        add_usage(spark, source, day(1, f"r{n}"), day(2, f"s{n}"))
+        ingest_feed(spark, "billing_usage_bronze", source, path, state)
+    bronze = lambda: read_bronze(spark, path, "billing_usage_bronze")
+    move, calls = layout.move, []
+
+    def failing(*args):
+        calls.append(args)
+        if len(calls) > broken_at:
+            raise RuntimeError("lost")
+        move(*args)
+
+    with monkeypatch.context() as broken:
+        broken.setattr(layout, "move", failing)
+        with pytest.raises(RuntimeError):
+            layout.merge_loads(spark, path, "usage_date", bronze().schema, 3, most_files=1)
+    layout.merge_loads(spark, path, "usage_date", bronze().schema, 3, most_files=1)
+    assert as_set(bronze(), "record_id") == {(f"{x}{n}",) for x in "rs" for n in range(3)} and bronze().count() == 6
+    assert len(list(files.data_files(spark, path))) == 2
+
+
+def test_a_retried_batch_adds_nothing(spark, tmp_path):
+    source, path, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    add_usage(spark, source, day(1), day(2))
+    ingest_feed(spark, "billing_usage_bronze", source, path, state)
+    (tmp_path / "state" / "commits" / "0").unlink()
+    ingest_feed(spark, "billing_usage_bronze", source, path, state)
+    assert read_bronze(spark, path, "billing_usage_bronze").count() == 2
+
+
+def test_retention_drops_dates_and_keeps_undated_rows(spark, tmp_path, lake):
+    rows = spark.createDataFrame([(None, 1), (dt.date(2024, 1, 1), 2), (dt.date(2024, 1, 9), 3)], "d DATE, v INT")
+    assert as_set(layout.retained(rows, "d", 3, as_of=dt.date(2024, 1, 10)), "v") == {(1,), (3,)}
+    table = Table(spark, str(tmp_path / "t"), "d")
+    table.replace(rows)
+    kept = [f for f in files.data_files(spark, table.path()) if "2024-01-01" not in f]
+    assert layout.retain(table, 3, as_of=dt.date(2024, 1, 10)) == [dt.date(2024, 1, 1)]
+    assert as_set(table.read(), "v") == {(1,), (3,)} and sorted(files.data_files(spark, table.path())) == sorted(kept)
+    sources = {"usage": str(tmp_path / "usage"), "list_prices": str(tmp_path / "prices")}
+    set_prices(spark, sources["list_prices"], price(1, "2023-01-01"))
+    add_usage(spark, sources["usage"], day(1), day(20))
+    run_refresh(lake, sources)
+    run_daily(lake, as_of=dt.date(2024, 1, 21), bronze_days=5, aggregate_days=30)
+    assert lake.bronze("billing_usage_bronze").count() == 1 and lake.gold("cost_by_product").read().count() == 2
+    run_daily(lake, as_of=dt.date(2024, 1, 21), bronze_days=5, aggregate_days=5)
+    assert lake.gold("cost_by_product").read().count() == 1
+
+
+def test_a_price_that_was_null_prices_its_dates(spark):
+    keys = ["sku_name", "cloud", "currency_code", "price_start_time"]
+    old = spark.createDataFrame([(*price(1, "2024-01-01")[:4], None, at("2024-01-01"), at("2024-01-31"))], PRICES)
+    new = spark.createDataFrame([price(2, "2024-01-01", "2024-01-31")], PRICES)
+    used = spark.createDataFrame([day(1), day(3), usage_row("u", "2024-02-20 00:00:00", "2024-02-20 01:00:00")], USAGE)
+    assert [d.day for d in refresh.dates_of_price_changes(change_feed(old, new, keys), used)] == [1, 3]
