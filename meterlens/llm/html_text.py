@@ -5,8 +5,9 @@
 2. Spark counts on how many different pages of a host each hash occurs: the same number
    is enough on a host of any size. Pages are told apart by the longest blocks of the
    article beside the subtree, so an article that is published at many addresses, or with
-   small changes, isn't a template. A short subtree counts at one place in the tree only:
-   short paragraphs that many articles have stay.
+   small changes, isn't a template. A short subtree counts at one place in the tree only.
+   Inside of an article texts stay that many articles share: what the site puts there has
+   one place, from the start or the end, on nearly all pages that have its text at all.
 3. Every page meets its host's hashes; the subtrees with these are deleted. What a page
    marks as no part of its article (navigation, forms, adverts, comments, and so on) goes
    as well, and the blocks that remain are joined.
@@ -28,6 +29,8 @@ from meterlens.llm.store import stored
 
 #: A subtree outside of an article is a template from so many different pages of the host, and one inside of an article.
 LEAST_PAGES, INNER_PAGES = 3, 10
+#: The share of a subtree's pages that have it in one place, if it is a template inside of an article.
+SAME_PLACE = 0.8
 #: A subtree of fewer words counts by its place; so many of the longest blocks beside a subtree tell pages apart.
 SHORT_WORDS, BESIDE = 8, 3
 
@@ -152,26 +155,12 @@ def parse(html: str) -> Node:
     return tree.root
 
 
-def _text(node: Node) -> str:
-    """All text below a node, without depth limits."""
-    out, stack = [], [node]
-    while stack:
-        x = stack.pop()
-        if isinstance(x, str):
-            out.append(x)
-        elif x.tag not in ("script", "style"):
-            if x.tag in BLOCKS:
-                out.append(" ")
-            stack.extend(reversed(x.children))
-    return _SPACE.sub(" ", "".join(out)).strip()
-
-
 def _digest(text: str) -> int:
     return xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
 
 
-def subtrees(root: Node) -> Iterator[tuple[Node, bool, int]]:
-    """The block elements that hold text but not the article, whether each is inside of an article, and their hashes.
+def subtrees(root: Node) -> Iterator[tuple[Node, bool, int, int]]:
+    """The block elements that hold text but not the article, whether each is inside of an article, their hashes, and those of the text alone.
 
     An element's hash is of its tag, its own text and the hashes of the blocks in it, so
     each text is read once however deep it is.
@@ -197,7 +186,7 @@ def subtrees(root: Node) -> Iterator[tuple[Node, bool, int]]:
                 if stack:
                     stack[-1][3].append(f" \x00{h}\x00 ")
                 if not (node.main or node.tag in WHOLE or node.tag in MAIN):
-                    yield node, inner, h
+                    yield node, inner, h, _digest(text) if inner else h
 
 
 def _longest(own: dict[int, list[str]], n: int) -> tuple[list[tuple], list[tuple]]:
@@ -208,15 +197,26 @@ def _longest(own: dict[int, list[str]], n: int) -> tuple[list[tuple], list[tuple
             leaf[k] = ((-len(text), text),)
     before, after = [()], [()]
     for k in range(n):
-        before.append(tuple(sorted({*before[-1], *leaf[k]})[:BESIDE]) if leaf[k] else before[-1])
-        other = leaf[n - 1 - k]
-        after.append(tuple(sorted({*after[-1], *other})[:BESIDE]) if other else after[-1])
+        before.append(_with(before[-1], leaf[k]))
+        after.append(_with(after[-1], leaf[n - 1 - k]))
     after.reverse()
     return before, after
 
 
-def evidence(root: Node, mains: list[Node] | None) -> Iterator[tuple[Node, bool, int, int]]:
-    """The subtrees, whether each is inside of an article, their keys (one or two each), and a hash of what is beside each in ``mains``."""
+def _with(best: tuple, other: tuple) -> tuple:
+    """The longest blocks with another one; most change nothing."""
+    if not other or (len(best) == BESIDE and other[0] >= best[-1]):
+        return best
+    return tuple(sorted({*best, *other})[:BESIDE])
+
+
+def evidence(root: Node, mains: list[Node] | None) -> Iterator[tuple[Node, bool, int, int, int]]:
+    """The subtrees, whether each is inside of an article, its hash, its keys, and a hash of what is beside each in ``mains``.
+
+    A key is the hash alone, or the hash with the place from the start or from the end.
+    A short subtree counts by its places, one inside of an article by places and, whatever
+    its tag, alone.
+    """
     nodes: list[Node] = []
     at: dict[int, int] = {}
     end: list[int] = []
@@ -258,13 +258,16 @@ def evidence(root: Node, mains: list[Node] | None) -> Iterator[tuple[Node, bool,
     if own:
         before, after = _longest(own, len(nodes))
     digests: dict[tuple, int] = {}
-    for node, inner, h in subtrees(root):
+    for node, inner, h, text in subtrees(root):
         k = at[id(node)]
         beside = tuple(sorted({*before[k], *after[end[k]]})[:BESIDE])
         if beside not in digests:
             digests[beside] = _digest("\n".join(text for _, text in beside))
-        for key in (h,) if count[k] >= SHORT_WORDS else (hash((h, 1, place[k][0])), hash((h, 2, place[k][1]))):
-            yield node, inner, key, digests[beside]
+        keys = (text,) if inner or count[k] >= SHORT_WORDS else ()
+        if inner or not keys:
+            keys += (hash((h, 1, place[k][0])), hash((h, 2, place[k][1])))
+        for key in keys:
+            yield node, inner, text, key, digests[beside]
 
 
 def _holding(root: Node, page: bool) -> frozenset[int]:
@@ -310,7 +313,7 @@ def _mains(root: Node) -> list[Node]:
 def main_text(root: Node, templates: frozenset[tuple[bool, int]] = frozenset()) -> str:
     """The blocks of the article, joined by line feeds, without subtrees that are templates."""
     mains = _mains(root)
-    gone = {id(node) for node, inner, key, _ in evidence(root, None) if (inner, key) in templates} if templates else set()
+    gone = {id(node) for node, inner, _, key, _ in evidence(root, None) if (inner, key) in templates} if templates else set()
     blocks: list[str] = []
     parts: list[str] = []
 
@@ -356,23 +359,29 @@ def _host(url: str | None) -> str:
 
 def _subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        hosts, contents, inners, hashes = [], [], [], []
+        hosts, rows = [], []
         for url, html in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
             root = parse(html or "")
-            own = {(inner, key, content) for _, inner, key, content in evidence(root, _mains(root))}
+            own = {x[1:] for x in evidence(root, _mains(root))}
             hosts += [_host(url)] * len(own)
-            inners += [x[0] for x in own]
-            hashes += [x[1] for x in own]
-            contents += [x[2] for x in own]
-        yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(contents, pa.int64()), pa.array(inners, pa.bool_()), pa.array(hashes, pa.int64())], ["host", "content", "inner", "hash"])
+            rows += own
+        kinds = (pa.bool_(), pa.int64(), pa.int64(), pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), *(pa.array([x[k] for x in rows], kinds[k]) for k in range(4))], ["host", "inner", "hash", "key", "content"])
 
 
 def templates(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """``host, outer, inner``: the keys that recur across the pages of each host, outside and inside of articles."""
-    rows = pages.select(F.col(url), F.col(html)).mapInArrow(_subtrees, "host string, content long, inner boolean, hash long").distinct()
-    inner = F.col("inner")
-    often = rows.groupBy("host", "inner", "hash").agg(F.count("*").alias("n")).where(F.col("n") >= F.when(inner, INNER_PAGES).otherwise(LEAST_PAGES))
-    lists = (F.collect_list(F.when(inner == flag, F.col("hash"))) for flag in (False, True))
+    rows = pages.select(F.col(url), F.col(html)).mapInArrow(_subtrees, "host string, inner boolean, hash long, key long, content long").distinct()
+    often = rows.groupBy("host", "inner", "hash", "key").agg(F.count("*").alias("n"))
+    outer = often.where(~F.col("inner") & (F.col("n") >= LEAST_PAGES))
+    # Inside of articles a text of their own may recur; what a site puts there has one place, here and elsewhere.
+    inner = often.where("inner")
+    everywhere = inner.groupBy("hash", "key").agg(F.sum("n").alias("placed"))
+    anywhere = everywhere.where("key = hash").select("hash", F.col("placed").alias("anywhere"))
+    inner = inner.where((F.col("n") >= INNER_PAGES) & (F.col("key") != F.col("hash"))).join(everywhere, ["hash", "key"]).join(anywhere, "hash")
+    inner = inner.where(F.col("placed") >= SAME_PLACE * F.col("anywhere"))
+    often = outer.select("host", "inner", "key").unionByName(inner.select("host", "inner", "key"))
+    lists = (F.collect_list(F.when(F.col("inner") == flag, F.col("key"))) for flag in (False, True))
     return often.groupBy("host").agg(*(x.alias(name) for x, name in zip(lists, ("outer", "inner"), strict=True)))
 
 

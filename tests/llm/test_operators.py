@@ -1,6 +1,8 @@
 """The operators on small tables: nulls, empty and long texts, ties, repeated rows, empty tables, clashing names."""
 
+import html
 import random
+import re
 
 import brute
 import numpy as np
@@ -250,6 +252,27 @@ def test_deep_pages():
     assert html_text.main_text(deep) == "x\ny" and len(list(html_text.subtrees(deep))) == 20_000
 
 
+@pytest.mark.parametrize("n", [12, 300])
+def test_templates_inside_of_articles(spark, n):
+    """What the site puts at the end of each article goes on hosts of any size; a sentence that articles share stays, wherever it is."""
+    shared, notice = "A sentence that very many of the articles here have.", "<div class='x7'>Read on at our other place <a href='/y'>here</a></div>"
+    last = lambda i: [f"More of it, number {i}.", shared] if i % 3 else [shared, f"More of it, number {i}."]
+    text = lambda i: [f"Article {i} has its own words {i * i}.", *last(i)]
+    rows = [(i, f"http://h/{i}", f"<article><h1>T{i}</h1>{''.join(f'<p>{x}</p>' for x in text(i))}{notice}</article>") for i in range(n)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in html_text.extract(pages).collect()} == {i: "\n".join([f"T{i}", *text(i)]) for i in range(n)}
+
+
+def test_articles_at_scale_are_whole(spark):
+    """No page of the largest test table loses a block of its marked article."""
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
+    got = {r.page_id: r.text for r in html_text.extract(pages).collect()}
+    for p in pages.collect():
+        inner = re.search(r"<article>(.*?)</article>", p.html, re.S)[1]
+        blocks = [html.unescape(re.sub(r"<[^>]*>", "", x)) for x in re.split(r"</?(?:p|h1|li|ul)>", inner)]
+        assert got[p.page_id] == "\n".join(x for x in (re.sub(r"\s+", " ", b).strip() for b in blocks) if x)
+
+
 # --- decontamination
 def test_contamination(spark, docs):
     item = " ".join(rng_words(2, 30))
