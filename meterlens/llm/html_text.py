@@ -62,7 +62,6 @@ HOLDERS = frozenset("address article body center dd details div dl fieldset figu
 NAMED, HIDDEN = 1, 2
 MAIN = frozenset(("article", "main"))
 WHOLE = frozenset(("html", "body"))
-_SPACE = re.compile(r"\s+")
 _WORD = re.compile(r"[a-z0-9]+")
 
 
@@ -180,7 +179,7 @@ def subtrees(root: Node) -> Iterator[tuple[Node, bool, int, int]]:
             continue
         stack.pop()
         if node.tag in BLOCKS or node.tag in DROPPED:
-            text = _SPACE.sub(" ", "".join(parts)).strip()
+            text = " ".join("".join(parts).split())
             if text:
                 h = _digest(f"{node.tag} {text}")
                 if stack:
@@ -193,7 +192,7 @@ def _longest(own: dict[int, list[str]], n: int) -> tuple[list[tuple], list[tuple
     """The longest blocks before each of ``n`` nodes, and from each on."""
     leaf: list[tuple] = [()] * n
     for k, texts in own.items():
-        if text := _SPACE.sub(" ", "".join(texts)).strip():
+        if text := " ".join("".join(texts).split()):
             leaf[k] = ((-len(text), text),)
     before, after = [()], [()]
     for k in range(n):
@@ -318,7 +317,7 @@ def main_text(root: Node, templates: frozenset[tuple[bool, int]] = frozenset())
     parts: list[str] = []
 
     def flush() -> None:
-        text = _SPACE.sub(" ", "".join(parts)).strip()
+        text = " ".join("".join(parts).split())
         parts.clear()
         if text:
             blocks.append(text)
