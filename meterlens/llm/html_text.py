@@ -371,7 +371,7 @@ def _subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def templates(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """``host, outer, inner``: the keys that recur across the pages of each host, outside and inside of articles."""
     rows = pages.select(F.col(url), F.col(html)).mapInArrow(_subtrees, "host string, inner boolean, hash long, key long, content long").distinct()
-    often = rows.groupBy("host", "inner", "hash", "key").agg(F.count("*").alias("n"))
+    often = stored(rows.groupBy("host", "inner", "hash", "key").agg(F.count("*").alias("n")), "subtree-counts")
     outer = often.where(~F.col("inner") & (F.col("n") >= LEAST_PAGES))
     # Inside of articles a text of their own may recur; what a site puts there has one place, here and elsewhere.
     inner = often.where("inner")
