@@ -259,7 +259,7 @@ def evidence(root: Node, mains: list[Node] | None) -> Iterator[tuple[Node, bool,
     digests: dict[tuple, int] = {}
     for node, inner, h, text in subtrees(root):
         k = at[id(node)]
-        beside = tuple(sorted({*before[k], *after[end[k]]})[:BESIDE])
+        beside = _with(before[k], after[end[k]]) if own else ()
         if beside not in digests:
             digests[beside] = _digest("\n".join(text for _, text in beside))
         keys = (text,) if inner or count[k] >= SHORT_WORDS else ()
