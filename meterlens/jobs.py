@@ -7,8 +7,8 @@ are safe to run again after a failure.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Collection, Iterable, Iterator, Mapping
-from dataclasses import dataclass
+from collections.abc import Callable, Collection, Iterable, Iterator, Mapping, Sequence
+from dataclasses import dataclass, field
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -140,6 +140,8 @@ class Lake:
     root: str
     account: str | None = None
     workspace: str | None = None
+    #: Tables whose changes streams may follow, with the columns that tell their rows apart.
+    change_keys: Mapping[str, Sequence[str]] = field(default_factory=dict)
 
     def bronze_path(self, name: str) -> str:
         return f"{self.root}/bronze/{name}"
@@ -155,7 +157,7 @@ class Lake:
         if name in _MERGED:
             build, parts = _MERGED[name]
             return Merged(build, tuple(self.gold(x) for x in parts))
-        return Table(self.spark, f"{self.root}/gold/{name}", _DATED.get(name))
+        return Table(self.spark, f"{self.root}/gold/{name}", _DATED.get(name), self.change_keys.get(name, ()))
 
     def clustered(self, name: str) -> Table:
         return Table(self.spark, f"{self.root}/clustered/{name}", BRONZE[name].date_col)

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType
 
+from meterlens.operators.current_state import latest_by
+
 
 def _ordered(col: Column, dtype: DataType) -> Column:
     """``col`` with each map at any depth as its entries sorted by key."""
@@ -50,3 +52,9 @@ def change_feed(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFram
         .when(~same, F.array(change("update_preimage", "_before"), change("update_postimage", "_after")))
     )
     return pairs.select(F.explode(changes).alias("_change")).select("_change._change_type", "_change._row.*")
+
+
+def replayed(changes: DataFrame, keys: Sequence[str], order_col: str = "_change") -> DataFrame:
+    """The rows that changes lead to: for each key the last one told, without those that were deleted."""
+    told = changes.where("_change_type <> 'update_preimage'")
+    return latest_by(told, keys, order_col).where("_change_type <> 'delete'").drop("_change_type", order_col)

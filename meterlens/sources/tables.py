@@ -12,18 +12,21 @@ from __future__ import annotations
 
 import datetime as dt
 import json
-from collections.abc import Iterable, Sized
+from collections.abc import Iterable, Sequence, Sized
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from meterlens.operators.changes import change_feed
 from meterlens.sources import files
 
 _POINTER = "current-"
 #: The folder of a load of a bronze table.
 LOAD = "_load"
+#: The hidden folder of an overwriting that isn't finished, and the column of its number among the changes.
+_CHANGING, _COMPLETE, CHANGE = "_changing", "_complete", "_change"
 #: More dates at once are a backfill.
 MANY_DATES = 64
 #: The name of the folder of rows without a date.
@@ -42,10 +45,14 @@ class Stored:
 
 
 class Table:
-    """Parquet files below ``root``, by date if there is a ``date_col``."""
+    """Parquet files below ``root``, by date if there is a ``date_col``.
 
-    def __init__(self, spark: SparkSession, root: str, date_col: str | None = None):
-        self.spark, self.root, self.date_col = spark, root.rstrip("/"), date_col
+    With ``change_keys``, the columns that tell rows apart, each overwriting of dates also
+    appends what it changes to a folder that streams can read (``read_changes``).
+    """
+
+    def __init__(self, spark: SparkSession, root: str, date_col: str | None = None, change_keys: Sequence[str] = ()):
+        self.spark, self.root, self.date_col, self.change_keys = spark, root.rstrip("/"), date_col, list(change_keys)
 
     def _latest(self) -> tuple[int, dict] | None:
         """The number and content of the newest pointer."""
@@ -84,12 +91,18 @@ class Table:
         """
         if self.date_col is None:
             raise ValueError(f"{self.root} is not partitioned by date")
+        dates = None if dates is None else list(dates)
+        if self.change_keys:
+            self._overwrite_and_tell(df, dates, emptied)
+        else:
+            self._overwrite(df, dates, emptied, laid_out)
+
+    def _overwrite(self, df: DataFrame, dates: list | None, emptied: bool, laid_out: bool) -> None:
         latest = self._latest()
         if latest is None:
             self.replace(df if laid_out else balanced(df, self.date_col, dates), laid_out=True)
             return
         path, schema = self._current()
-        dates = None if dates is None else list(dates)
         writer = self._write(df if laid_out else balanced(df, self.date_col, dates)).mode("overwrite")
         writer.option("partitionOverwriteMode", "dynamic").parquet(path)
         if emptied and dates:
@@ -99,6 +112,49 @@ class Table:
         if added:
             self._point(latest, latest[1]["slot"], StructType(schema.fields + added))
 
+    def _overwrite_and_tell(self, df: DataFrame, dates: list | None, emptied: bool) -> None:
+        """Stage the new rows and what they change, then put both in their places.
+
+        An overwriting that broke off is finished by the next one, so changes are told
+        once, and after the table has them.
+        """
+        self._finish_change()
+        if not self.exists():
+            self.replace(df.where("false"))
+        rows, changes = f"{self.root}/{_CHANGING}/rows", f"{self.root}/{_CHANGING}/changes"
+        self._write(balanced(df, self.date_col, dates)).mode("overwrite").parquet(rows)
+        staged = self.spark.read.schema(df.schema).parquet(rows)
+        found = [date_of(d) for d in folders_by_date(self.spark, rows, self.date_col)]
+        gone = [d for d in dates or () if d not in found] if emptied else []
+        before = only_dates(self.read(), self.date_col, [*found, *gone])
+        change_feed(before, staged.select(*before.columns), self.change_keys).write.mode("overwrite").parquet(changes)
+        marker = {"gone": [d and str(d) for d in gone], "found": [d and str(d) for d in found], "schema": df.schema.jsonValue()}
+        files.write_text(self.spark, f"{self.root}/{_CHANGING}/{_COMPLETE}", json.dumps(marker))
+        self._finish_change()
+
+    def _finish_change(self) -> None:
+        staging = f"{self.root}/{_CHANGING}"
+        if files.exists(self.spark, f"{staging}/{_COMPLETE}"):
+            marker = json.loads(files.read_text(self.spark, f"{staging}/{_COMPLETE}"))
+            dates = {k: [d and dt.date.fromisoformat(d) for d in marker[k]] for k in ("found", "gone")}
+            if dates["found"]:
+                rows = self.spark.read.schema(StructType.fromJson(marker["schema"])).parquet(f"{staging}/rows")
+                self._overwrite(rows, dates["found"], emptied=False, laid_out=False)
+            self.drop_dates(dates["gone"])
+            if files.has_files(self.spark, f"{staging}/changes"):
+                told = [int(n.partition("=")[2]) for n in files.names(self.spark, self.changes()) if n.startswith(f"{CHANGE}=")]
+                files.move(self.spark, f"{staging}/changes", f"{self.changes()}/{CHANGE}={max(told, default=0) + 1}")
+        files.delete(self.spark, staging)
+
+    def changes(self) -> str:
+        """The folder of the changes, one below it for each overwriting."""
+        return f"{self.root}/changes"
+
+    def read_changes(self) -> DataFrame:
+        """A stream of the changes: ``_change_type``, the columns of the table, and ``_change``, the number of the overwriting."""
+        schema = StructType([StructField("_change_type", StringType()), *self._current()[1].fields, StructField(CHANGE, LongType())])
+        return self.spark.readStream.schema(schema).parquet(self.changes())
+
     def dates(self) -> list[dt.date | None]:
         """The dates that have a folder, None last; nothing is read."""
         return sorted(map(date_of, folders_by_date(self.spark, self.path(), self.date_col)), key=lambda d: (d is None, d or dt.date.min))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from meterlens.functions import SCOPE
 from meterlens.jobs import Lake, register_reports, run_consolidate, run_daily, run_refresh
 from meterlens.operators import change_feed, extract_current_scd2
+from meterlens.operators.changes import replayed
 from meterlens.sources.feeds import Probe, read_snapshot, source_probe, union_evolving
 from meterlens.sources.layout import CLUSTER_COLUMNS, clustered, compact, compact_dates, merge_loads, retain, retain_bronze
 from meterlens.sources.publish import Share, publish
@@ -513,3 +514,22 @@ _add(
  where action_name = 'getTable' or event_date >= DATE '{EVENTS_DAY}' - 20""",
     text="event_time event_date",
 )
+
+
+_ACTIVITY_KEYS = [*SCOPE, "event_date", "user_email", "service_name"]
+
+
+def _followed(w: World) -> DataFrame:
+    """User activity refreshed from two loads, as a stream of its changes tells it."""
+    folder = new_folder(w.spark, "followed")
+    lake = Lake(w.spark, f"{folder}/lake", ACCOUNT, WORKSPACE, {"user_activity_summary": _ACTIVITY_KEYS})
+    early = F.col("workspace_id").isin("0", "1") | (F.col("action_name") == "getTable")
+    for part in (early, ~early):
+        raw_feed(w.spark, w.sf_dir, "audit").where(part).write.mode("append").parquet(f"{folder}/in")
+        run_refresh(lake, {"audit": f"{folder}/in"})
+        told = lake.gold("user_activity_summary").read_changes().writeStream.format("parquet").option("checkpointLocation", f"{folder}/checkpoint")
+        told.trigger(availableNow=True).start(f"{folder}/told").awaitTermination()
+    return replayed(w.spark.read.parquet(f"{folder}/told"), _ACTIVITY_KEYS)
+
+
+_add("s_change_stream", _followed, "select * from user_activity_summary", text="event_date first_activity last_activity")

@@ -8,10 +8,12 @@ from pyspark.sql import functions as F
 
 from meterlens.jobs import Lake, register_reports, run_consolidate, run_daily, run_publish, run_refresh
 from meterlens.operators import change_feed
+from meterlens.operators.changes import replayed
 from compare import plan_of
 from meterlens.plans import billing, tracking
 from meterlens.schemas import FEEDS, feed_schema
 from meterlens.sources import files, layout
+from meterlens.sources.files import move as files_move
 from meterlens.sources.feeds import Probe, evolved_schema, read_snapshot, source_probe
 from meterlens.sources.publish import Share, publish
 from meterlens.sources.scratch import new_folder, shared_folder
@@ -626,3 +628,33 @@ def test_a_price_that_was_null_prices_its_dates(spark):
     new = spark.createDataFrame([price(2, "2024-01-01", "2024-01-31")], PRICES)
     used = spark.createDataFrame([day(1), day(3), usage_row("u", "2024-02-20 00:00:00", "2024-02-20 01:00:00")], USAGE)
     assert [d.day for d in refresh.dates_of_price_changes(change_feed(old, new, keys), used)] == [1, 3]
+
+
+# --- changes that streams follow
+def test_changes_are_told_once(spark, tmp_path, monkeypatch):
+    rows = lambda *r: spark.createDataFrame(list(r), "d DATE, k STRING, v INT")
+    one, two = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
+    table = Table(spark, str(tmp_path / "t"), "d", ["d", "k"])
+    told = lambda: {tuple(r) for r in spark.read.parquet(table.changes()).select("_change", "_change_type", "d", "k", "v").collect()}
+    table.overwrite_dates(rows((one, "a", 1), (two, "a", 1), (None, "n", 0)), [one, two, None])
+    first = {(1, "insert", one, "a", 1), (1, "insert", two, "a", 1), (1, "insert", None, "n", 0)}
+    assert told() == first
+    for broken_at in ("overwrite", "move"):
+        with monkeypatch.context() as broken:
+            if broken_at == "move":
+                broken.setattr(files, "move", lambda s, a, b: (_ for _ in ()).throw(RuntimeError("lost")) if a.endswith("/changes") else files_move(s, a, b))
+            else:
+                broken.setattr(Table, "_overwrite", lambda *a, **k: (_ for _ in ()).throw(RuntimeError("lost")))
+            with pytest.raises(RuntimeError):
+                table.overwrite_dates(rows((two, "a", 2), (two, "b", 1)) if broken_at == "overwrite" else rows((two, "b", 3)), [one, two], emptied=True)
+        assert len(told()) == (3 if broken_at == "overwrite" else 7)
+        table.overwrite_dates(rows((None, "n", 0)), [None])
+    assert told() == first | {
+        (2, "delete", one, "a", 1), (2, "update_preimage", two, "a", 1), (2, "update_postimage", two, "a", 2), (2, "insert", two, "b", 1),
+        (4, "delete", two, "a", 2), (4, "update_preimage", two, "b", 1), (4, "update_postimage", two, "b", 3),
+    }
+    same = replayed(spark.read.parquet(table.changes()), ["d", "k"])
+    assert as_set(same, "d", "k", "v") == as_set(table.read(), "d", "k", "v") == {(two, "b", 3), (None, "n", 0)}
+    stream = table.read_changes().writeStream.format("memory").queryName("told_once").trigger(availableNow=True)
+    stream.option("checkpointLocation", str(tmp_path / "c")).start().awaitTermination()
+    assert spark.table("told_once").count() == 10
