@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Callable, Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterlens.functions import SCOPE, spend, sum_if
@@ -25,6 +27,10 @@ _ATTRIBUTION = [
 ]
 _FEATURES = [f"product_features.{field}" for field in ("is_serverless", "is_photon", "jobs_tier", "sql_tier")]
 
+_PRICE_KEY = {"sku_name": "_price_sku", "cloud": "_price_cloud"}
+#: What tells records apart, for salting.
+_RECORD = ["record_id", "workspace_id", "usage_start_time", "usage_quantity"]
+
 
 def billing_summary(
     usage: DataFrame,
@@ -33,6 +39,7 @@ def billing_summary(
     corrections: bool = False,
     price_at: str = "period",
     salted: bool = False,
+    bucketed: bool = False,
 ) -> DataFrame:
     """One row per original usage record with its list-price cost, nested fields flattened.
 
@@ -42,6 +49,8 @@ def billing_summary(
     record's start, which prices such records too. ``corrections=True`` also keeps
     retractions and restatements, so that sums are net of them. ``salted`` is for a price
     list too large to broadcast where adaptive execution is off: see ``lookup_join``.
+    ``bucketed`` is for SKUs with very many price versions: records meet only those of
+    their own month; it first looks up the months of the usage, in a job of one column.
     """
     if price_at not in ("period", "start"):
         raise ValueError(f"price_at must be 'period' or 'start', not {price_at!r}")
@@ -63,13 +72,15 @@ def billing_summary(
         )
         return (F.col("_price_from") <= F.col("usage_start_time")) & (still_open | ends_in_time)
 
-    priced = lookup_join(
-        lines,
-        price_list,
-        {"sku_name": "_price_sku", "cloud": "_price_cloud"},
-        also=in_force,
-        salt_on=["record_id", "workspace_id", "usage_start_time", "usage_quantity"] if salted else (),
-    )
+    def join(rows: DataFrame) -> DataFrame:
+        return lookup_join(rows, price_list, _PRICE_KEY, also=in_force, salt_on=_RECORD if salted else ())
+
+    if bucketed:
+        backwards = F.coalesce(F.col("usage_end_time") < F.col("usage_start_time"), F.lit(False))
+        rows = _meet_by_month(lines.where(~backwards), price_list, in_force, _RECORD if salted else ())
+        priced = rows.unionByName(join(lines.where(backwards)), allowMissingColumns=True)
+    else:
+        priced = join(lines)
     free = F.lit(0).cast("decimal(18,4)")
     cost = F.col("usage_quantity") * F.coalesce("_unit_price", free)
     lineage = ["_ingested_at"] if "_ingested_at" in usage.columns else []
@@ -96,6 +107,25 @@ def billing_summary(
     )
 
 
+def _month(time: str) -> Column:
+    return F.year(time) * 12 + F.month(time)
+
+
+def price_months(price_list: DataFrame, first: int, last: int) -> DataFrame:
+    """Each price once for every month from ``first`` to ``last`` in which it is in force, in ``_price_month``."""
+    begin = F.greatest(_month("_price_from"), F.lit(first))
+    end = F.least(F.coalesce(_month("_price_to"), F.lit(last)), F.lit(last))
+    return price_list.where(begin <= end).withColumn("_price_month", F.explode(F.sequence(begin, end)))
+
+
+def _meet_by_month(lines: DataFrame, price_list: DataFrame, in_force: Callable[[], Column], salt_on: Sequence[str]) -> DataFrame:
+    """``lookup_join`` on the month too. A record starts in a month in which its price is in force, if it doesn't end before it starts."""
+    months = lines.agg(F.min(_month("usage_start_time")).alias("first"), F.max(_month("usage_start_time")).alias("last")).first()
+    by_month = price_months(price_list, months["first"] or 0, months["last"] or 0)
+    keyed = lines.withColumn("_usage_month", _month("usage_start_time"))
+    return lookup_join(keyed, by_month, _PRICE_KEY | {"_usage_month": "_price_month"}, also=in_force, salt_on=salt_on)
+
+
 def overlapping_prices(prices: DataFrame) -> DataFrame:
     """Prices whose interval runs into the next one of the same SKU and cloud.
 

@@ -95,6 +95,7 @@ for _name, _relation, _options in (
     ("billing_summary_with_corrections", "billing_net", {"corrections": True}),
     # the path for a price list too large to broadcast: salted shuffle join
     ("billing_summary_salted", "billing_summary", {"salted": True}),
+    ("billing_summary_bucketed", "billing_summary", {"bucketed": True}),
 ):
     _add(
         _name,

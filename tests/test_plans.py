@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from compare import plan_of
+from test_micro import usage, usage_row
 from meterlens.operators import extract_current_scd2, lookup_join, top_n, with_costs
 from meterlens.plans import billing, billing_reports, ml_reports, ml_spend
 from meterlens.sources.tables import Table
@@ -122,3 +123,21 @@ def test_nested_columns_are_pruned(spark, world, tmp_path):
     plan = plan_of(billing.cost_by_job(billing.billing_summary(usage, world.prices)))
     schema = plan[plan.index("ReadSchema") :].splitlines()[0]
     assert "warehouse_id" not in schema and "custom_tags" not in schema
+
+
+def test_bucketed_prices_meet_few_records(spark):
+    """With a price a day for a thousand days, a record meets those of its month, not all; the result is that of the plain join."""
+    start = F.expr("timestamp'2020-01-01' + make_interval(0, 0, 0, cast(id as int))")
+    price_list = spark.range(1000).select(
+        F.lit("S").alias("sku_name"), F.lit("AWS").alias("cloud"), F.lit("USD").alias("currency_code"), F.lit("DBU").alias("usage_unit"),
+        F.struct((F.col("id") + 1).cast("decimal(18,4)").alias("default")).alias("pricing"), start.alias("price_start_time"),
+        F.when(F.col("id") < 999, start + F.expr("interval 1 day")).alias("price_end_time"),
+    )
+    rows = [usage_row(f"r{i}", f"20{20 + i % 3}-0{1 + i % 9}-1{i % 10} 0{i % 9}:00:00", f"20{20 + i % 3}-0{1 + i % 9}-1{i % 10} {i % 9 + 1:02}:00:00") for i in range(200)]
+    rows += [usage_row("back", "2021-03-02 05:00:00", "2021-01-01 00:00:00"), usage_row("late", "2031-01-01 00:00:00", "2031-01-01 01:00:00")]
+    used = usage(spark, *rows)
+    priced = lambda **o: sorted(map(str, billing.billing_summary(used, price_list, **o).select("usage_start_time", "estimated_cost_usd").collect()))
+    assert priced(bucketed=True) == priced() and len(priced()) > 202
+    renamed = price_list.selectExpr("sku_name as _price_sku", "price_start_time as _price_from", "price_end_time as _price_to")
+    met = used.join(billing.price_months(renamed, 2020 * 12 + 1, 2022 * 12 + 9), F.expr("sku_name = _price_sku and year(usage_start_time) * 12 + month(usage_start_time) = _price_month"))
+    assert met.count() <= 33 * used.count() < 1000 * used.count() / 20
