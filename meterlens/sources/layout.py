@@ -7,7 +7,7 @@ import math
 import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
@@ -18,6 +18,8 @@ from meterlens.sources.files import data_files, delete, exists, move, names, rea
 from meterlens.sources.tables import LOAD, Table, balanced, date_of, folder_of, folders_by_date, only_dates
 
 TARGET_FILE_BYTES = 512 * 1024 * 1024
+#: Rows that the bounds of a layout are taken from.
+SAMPLE = 10_000
 #: A date of a bronze table with more files is merged.
 MOST_FILES = 8
 _MERGING, _COMPLETE = "_merging", "_complete"
@@ -49,16 +51,55 @@ def clustered(df: DataFrame, columns: Sequence[str], files: int) -> DataFrame:
     return ranged.sortWithinPartitions(*columns)
 
 
+def range_rank(column: str, bounds: Sequence) -> Column:
+    """How many of the ascending bounds a value reaches; 0 for NULL."""
+    reached = (F.when(F.col(column) >= F.lit(b), 1).otherwise(0) for b in bounds)
+    return sum(reached, F.lit(0))
+
+
+def interleaved(ranks: Sequence[Column], bits: int) -> Column:
+    """One number whose bits are those of the ranks in turn, the first bits first."""
+    taken = ((F.shiftright(rank.cast("bigint"), bit).bitwiseAND(F.lit(1)), bit * len(ranks) + len(ranks) - 1 - i) for i, rank in enumerate(ranks) for bit in range(bits))
+    return sum((F.shiftleft(value, place) for value, place in taken), F.lit(0).cast("bigint"))
+
+
+def zordered(df: DataFrame, columns: Sequence[str], files: int, bits: int = 4) -> DataFrame:
+    """Lay rows out by all columns alike, so that file statistics skip files of a filter on any one of them.
+
+    Each column is cut into 2^bits ranges of about equal size, by bounds from a sample of
+    ``SAMPLE`` rows or so (it moves no row out of the result, only between files), and rows
+    are range-partitioned by the interleaved bits of their ranges. A row hash after these
+    cuts through a single heavy cell.
+    """
+    share = min(1.0, SAMPLE / max(1, df.count()))
+    sampled = df.select(*columns).sample(share, seed=17).collect()
+    ranks = []
+    for i, column in enumerate(columns):
+        values = sorted(r[i] for r in sampled if r[i] is not None)
+        steps = range(1, 1 << bits) if values else ()
+        ranks.append(range_rank(column, sorted({values[len(values) * k >> bits] for k in steps})))
+    cell = interleaved(ranks, bits)
+    hashable = [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    return df.repartitionByRange(files, cell, F.xxhash64(*hashable)).sortWithinPartitions(cell, *columns)
+
+
 def _planned_files(spark: SparkSession, path: str, target_bytes: int) -> int:
     return max(1, math.ceil(stored_bytes(spark, path) / target_bytes))
 
 
-def compact(table: Table, columns: Sequence[str] = (), target_bytes: int = TARGET_FILE_BYTES) -> int:
-    """Rewrite a whole table into files of about ``target_bytes`` in cluster order; returns their planned number."""
+def compact(table: Table, columns: Sequence[str] = (), target_bytes: int = TARGET_FILE_BYTES, *, interleave: bool = False) -> int:
+    """Rewrite a whole table into files of about ``target_bytes`` in cluster order; returns their planned number.
+
+    ``interleave`` lays a table without a date column out by all ``columns`` alike
+    (``zordered``), not by the first before the others.
+    """
     by = list(dict.fromkeys([*([table.date_col] if table.date_col else []), *columns]))
     files = _planned_files(table.spark, table.path(), target_bytes)
     content = table.read()
-    laid_out = clustered(content, by, files) if by else content.repartition(files)
+    if interleave and by:
+        laid_out = zordered(content, by, files)
+    else:
+        laid_out = clustered(content, by, files) if by else content.repartition(files)
     table.replace(laid_out, laid_out=True)
     return files
 

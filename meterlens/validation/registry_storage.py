@@ -16,7 +16,7 @@ from meterlens.jobs import Lake, register_reports, run_consolidate, run_daily, r
 from meterlens.operators import change_feed, extract_current_scd2
 from meterlens.operators.changes import replayed
 from meterlens.sources.feeds import Probe, read_snapshot, source_probe, union_evolving
-from meterlens.sources.layout import CLUSTER_COLUMNS, clustered, compact, compact_dates, merge_loads, retain, retain_bronze
+from meterlens.sources.layout import CLUSTER_COLUMNS, clustered, compact, compact_dates, merge_loads, retain, retain_bronze, zordered
 from meterlens.sources.publish import Share, publish
 from meterlens.sources.scratch import new_folder
 from meterlens.sources.tables import Table, create_views
@@ -157,16 +157,27 @@ _add(
     count=_TOKENS,
     text="usage_date",
 )
+_COST_LAKES: dict[tuple[str, str], Lake] = {}
+
+
+def _cost_lake(w: World) -> Lake:
+    """The lake that the two queries below read, made once in an application."""
+    key = w.spark.sparkContext.applicationId, w.sf_dir
+    if key not in _COST_LAKES:
+        _COST_LAKES[key] = _changing_entities(w, _COST_FEEDS, _EARLY, datasets=["endpoint_cost_states"])
+    return _COST_LAKES[key]
+
+
 _add(
     "s_refresh_serving_costs",
-    lambda w: _changing_entities(w, _COST_FEEDS, _EARLY, datasets=["serving_costs_daily"]).gold("model_serving_costs").read(),
+    lambda w: _cost_lake(w).gold("model_serving_costs").read(),
     "select * from model_serving_costs",
     double=_MONEY,
     text="usage_date",
 )
 _add(
     "s_refresh_inventory",
-    lambda w: _changing_entities(w, _COST_FEEDS, _EARLY, datasets=["endpoint_cost_states"]).gold("endpoint_inventory").read().select(*SCOPE, *_INVENTORY),
+    lambda w: _cost_lake(w).gold("endpoint_inventory").read().select(*SCOPE, *_INVENTORY),
     "select * from endpoint_inventory",
     double="total_cost_usd_30d",
     text="change_time last_billing_date",
@@ -533,3 +544,15 @@ def _followed(w: World) -> DataFrame:
 
 
 _add("s_change_stream", _followed, "select * from user_activity_summary", text="event_date first_activity last_activity")
+
+
+def _zordered_runs(w: World) -> DataFrame:
+    """ML runs laid out by start and experiment alike, in a table that is compacted once more."""
+    table = Table(w.spark, new_folder(w.spark, "zordered"))
+    runs = w.feed("runs_latest").select(*SCOPE, "run_id", "experiment_id", "start_time", "status")
+    table.replace(zordered(runs, CLUSTER_COLUMNS["mlflow_runs_bronze"], 8), laid_out=True)
+    compact(table, CLUSTER_COLUMNS["mlflow_runs_bronze"], interleave=True)
+    return table.read()
+
+
+_add("s_zordered", _zordered_runs, f"select {_STAMP_SQL}, workspace_id, run_id, experiment_id, start_time, status from runs_latest", text="start_time")

@@ -3,6 +3,7 @@
 import datetime as dt
 from decimal import Decimal
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -658,3 +659,20 @@ def test_changes_are_told_once(spark, tmp_path, monkeypatch):
     stream = table.read_changes().writeStream.format("memory").queryName("told_once").trigger(availableNow=True)
     stream.option("checkpointLocation", str(tmp_path / "c")).start().awaitTermination()
     assert spark.table("told_once").count() == 10
+
+
+def test_interleaved_ranges_skip_files_by_either_column(spark, tmp_path):
+    rows = spark.range(20_000).select((F.col("id") % 100).alias("a"), F.concat(F.lit("s"), F.lpad((F.col("id") * 7919 % 97).cast("string"), 2, "0")).alias("b"), "id")
+    rows = rows.unionByName(spark.createDataFrame([(None, None, -1)], rows.schema))
+
+    def opened(layout_of, folder, column, value):
+        path = str(tmp_path / folder)
+        layout_of(rows).write.parquet(path)
+        footers = [pq.read_metadata(f.removeprefix("file:")).row_group(0) for f in files.data_files(spark, path)]
+        at = [rg.column({"a": 0, "b": 1}[column]).statistics for rg in footers]
+        assert len(at) == 16 and spark.read.parquet(path).count() == 20_001
+        return sum(s.min <= value <= s.max for s in at)
+
+    z = lambda df: layout.zordered(df, ["a", "b"], 16)
+    assert opened(z, "z_a", "a", 50) <= 6 and opened(z, "z_b", "b", "s50") <= 6
+    assert opened(lambda df: layout.clustered(df, ["a", "b"], 16), "sorted", "b", "s50") >= 12
