@@ -600,7 +600,8 @@ def test_a_retried_batch_adds_nothing(spark, tmp_path):
     source, path, state = (str(tmp_path / n) for n in ("in", "out", "state"))
     add_usage(spark, source, day(1), day(2))
     ingest_feed(spark, "billing_usage_bronze", source, path, state)
-    (tmp_path / "state" / "commits" / "0").unlink()
+    for mark in ("0", ".0.crc"):
+        (tmp_path / "state" / "commits" / mark).unlink()
     ingest_feed(spark, "billing_usage_bronze", source, path, state)
     assert read_bronze(spark, path, "billing_usage_bronze").count() == 2
 
