@@ -31,8 +31,13 @@ def job_performance_trends(job_runs_summary: DataFrame, *, as_of: Day = None, by
     """Daily job metrics of the last 30 days with their 7-row moving averages."""
     daily = trailing(job_runs_summary, "run_date", 30, as_of).select(
         *_JOB,
-        *["job_name", "run_date", "total_runs", "successful_runs", "failed_runs"],
-        *["avg_duration_seconds", "p95_duration_seconds"],
+        "job_name",
+        "run_date",
+        "total_runs",
+        "successful_runs",
+        "failed_runs",
+        "avg_duration_seconds",
+        "p95_duration_seconds",
         percent("successful_runs", "total_runs").alias("success_rate_pct"),
     )
     smoothed = {"ma7_avg_duration": "avg_duration_seconds", "ma7_success_rate": "success_rate_pct"}
