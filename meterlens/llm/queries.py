@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlens.llm import decontaminate, exact, html_text, jaccard, langid, line_dedup, packing, paragraphs, periodic, prefix_trie, quality, topk
+from meterlens.llm import decontaminate, exact, html_text, jaccard, langid, line_dedup, packing, passages, periodic, prefix_trie, quality, topk
 from meterlens.llm.hot_keys import join_groups
 from meterlens.llm.store import ship, stored, table
 from meterlens.llm.token_counts import count_tokens
@@ -155,16 +155,9 @@ def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every paragraph that is repeated in another document, and whether it is the copy that goes."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return paragraphs.repeats(docs).drop("row_key")
-
-
-@_query
-def op9_repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every span of words that is repeated in another document, wherever lines end, and whether it is a copy that goes."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return paragraphs.spans(docs).drop("row_key")
+    return passages.spans(docs).drop("row_key")
 
 
 @_query

@@ -9,7 +9,7 @@ import brute
 import compare
 import corpus_pipeline
 import pytest
-from meterlens.llm import queries
+from meterlens.llm import paragraphs, passages, queries
 
 SF = "/root/testdata/sf0.001"
 
@@ -74,7 +74,7 @@ def test_jaccard(run, table):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in run("op10_ngram_jaccard_join")} == {k: (len(s), want[k]) for k, s in sets.items()}
 
 
-def test_paragraphs(run, table):
+def test_paragraphs(spark, table):
     sets = {}
     for d in table("documents"):
         for k, line in enumerate((d.text or "").split("\n")):
@@ -86,7 +86,8 @@ def test_paragraphs(run, table):
         spread.setdefault(r, set()).add(key[0])
     want = {k: (r[0], k != r) for k, r in root.items() if len(spread[r]) > 1}
     assert want
-    assert {(r.doc_id, r.paragraph): (r.component_id, r.removed) for r in run("op9_substring_dedup")} == want
+    made = spark.read.parquet(f"{SF}/documents.parquet")
+    assert {(r.doc_id, r.paragraph): (r.component_id, r.removed) for r in paragraphs.repeats(made.select("doc_id", "text")).collect()} == want
 
 
 def test_html(run, table):
@@ -139,18 +140,27 @@ def test_digest_of_empty(run):
     assert all((r.n_items > 0) or r.items_sha256 == empty for r in run("op6_decontamination"))
 
 
-def test_spans(run, table):
-    rows = [(d.doc_id, d.text) for d in table("documents")]
-    holders, n = {}, 50
-    tokens = {d: brute.words(t) for d, t in rows}
+def recurring(tokens, n):
+    """By document, the first words of the runs of ``n`` words that another document holds word for word."""
+    holders = {}
     for d, w in tokens.items():
         for i in range(len(w) - n + 1):
             holders.setdefault(tuple(w[i : i + n]), set()).add(d)
+    return {d: [i for i in range(len(w) - n + 1) if len(holders[tuple(w[i : i + n])]) > 1] for d, w in tokens.items()}
+
+
+def test_spans(spark):
+    """Recall on the recurring runs of 50 words, and how many words of spans recur in no run of 12."""
+    made = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    tokens = {r.doc_id: brute.words(r.text) for r in made.collect()}
     words = {}
-    for r in run("op9_repeated_spans"):
+    for r in passages.spans(made).collect():
         words.setdefault(r.doc_id, set()).update(range(r.word, r.word + r.n_words))
-    missed = [(d, i) for d, w in tokens.items() for i in range(len(w) - n + 1) if len(holders[tuple(w[i : i + n])]) > 1 and not words.get(d, set()) >= set(range(i, i + n))]
-    assert not missed
+    runs = [(d, i) for d, at in recurring(tokens, 50).items() for i in at]
+    found = sum(words.get(d, set()) >= set(range(i, i + 50)) for d, i in runs)
+    assert len(runs) > 10_000 and found >= 0.99 * len(runs)
+    shared = {d: {k for i in at for k in range(i, i + 12)} for d, at in recurring(tokens, 12).items()}
+    assert sum(len(x - shared[d]) for d, x in words.items()) <= 0.05 * sum(len(x) for x in words.values())
 
 
 def test_language_stage_without_labels(spark, docs):
