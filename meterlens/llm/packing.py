@@ -4,9 +4,9 @@ A configuration is a multiset of lengths that fit into one sequence. The program
 for the least number of configurations that cover every length's count. It is solved by
 multiplicative weights: a length's weight falls as it gets covered, and the
 configurations of the largest weight are found by a knapsack dynamic program, which
-prices the best configuration around each length at once. The solution is rounded down;
-what remains of the histogram is packed best fit, longest piece first, with the filling
-that leaves the least room.
+prices the best configuration around each length at once. The solution is rounded, what
+remains of the histogram is solved again, and the last ``REST`` of the pieces are packed best
+fit, longest piece first, with the filling that leaves the least room.
 
 Only the histogram (one number for each length) reaches the driver, and the plan of
 configurations with their multiplicities goes back; both are bounded by the capacity,
@@ -29,9 +29,11 @@ from meterlens.llm.textbytes import release
 from meterlens.llm.token_counts import token_ids
 
 CAPACITY = 2048
-ROUNDS = 60  # of the multiplicative weights
-PRICED = 256  # configurations priced in a round
-STEP = 0.1
+ROUNDS = 30  # of the multiplicative weights
+STEP = 0.2  # of a length's count, in a round
+RATE = 2.0  # how fast a covered length's weight falls
+REST = 0.05  # of the pieces, packed best fit after the program's
+_NIL = 1e-9
 
 Config = dict[int, int]
 
@@ -73,7 +75,7 @@ def _price(values: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
     best, first = np.zeros(capacity + 1), np.zeros(capacity + 1, np.int64)
     for room in range(1, capacity + 1):
         total = values[1 : room + 1] + best[room - 1 :: -1][:room] if room > 1 else values[1:2] + best[:1]
-        k = int(total.argmax())
+        k = len(total) - 1 - int(total[::-1].argmax())  # the longest of equal ones
         if total[k] > best[room - 1]:
             best[room], first[room] = total[k], k + 1
         else:
@@ -91,27 +93,37 @@ def _trace(first: np.ndarray, room: int, config: Config) -> Config:
 
 
 def fractional(counts: np.ndarray, capacity: int, rounds: int = ROUNDS) -> list[tuple[Config, float]]:
-    """A solution of the program that covers no length more than its count: configurations and how often."""
+    """A solution of the program that covers no length more than its count: configurations and how often.
+
+    A length's weight is its size, which is the price that full sequences pay, lessened as it gets
+    covered. A round adds at most ``STEP`` of any length's count, so that prices follow.
+    """
     lengths = np.flatnonzero(counts)
-    weight_of = {}
     covered = np.zeros(capacity + 1)
     solution: dict[tuple, float] = {}
-    rate = 4 * math.log(len(lengths) + 1)
     for _ in range(rounds):
+        open_ = lengths[covered[lengths] < 1 - _NIL]
+        if not len(open_):
+            break
         values = np.zeros(capacity + 1)
-        values[lengths] = np.exp(-rate * covered[lengths]) / counts[lengths]
+        values[open_] = open_ * np.exp(-RATE * (covered[open_] - covered[open_].min()))
+        values /= values.max()
         best, first = _price(values, capacity)
-        around = values[lengths] + best[capacity - lengths]
-        for length in lengths[np.argsort(-around, kind="stable")[:PRICED]]:
+        around = values[open_] + best[capacity - open_]
+        room = np.minimum(STEP, 1 - covered)
+        for length in open_[np.argsort(-around, kind="stable")]:
+            if room[length] < _NIL:
+                continue
             config = _trace(first, capacity - int(length), {int(length): 1})
-            step = STEP * min(counts[k] / c for k, c in config.items())
+            step = min(counts[k] * room[k] / c for k, c in config.items())
+            if step < _NIL:
+                continue
             key = tuple(sorted(config.items()))
             solution[key] = solution.get(key, 0) + step
-            weight_of[key] = config
             for k, c in config.items():
+                room[k] -= c * step / counts[k]
                 covered[k] += c * step / counts[k]
-    most = covered.max()
-    return [(weight_of[k], x / most) for k, x in solution.items()]
+    return [(dict(key), x) for key, x in solution.items()]
 
 
 def _best_fill(lengths: list[int], counts: np.ndarray, room: int) -> Config:
@@ -137,23 +149,47 @@ def _best_fill(lengths: list[int], counts: np.ndarray, room: int) -> Config:
     return config
 
 
-def plan(counts: np.ndarray, capacity: int = CAPACITY) -> list[tuple[Config, int]]:
-    """Configurations and how many sequences have each; together they hold ``counts[length]`` of every length."""
+def _free(config: Config, capacity: int) -> int:
+    return capacity - sum(k * c for k, c in config.items())
+
+
+def rounded(counts: np.ndarray, capacity: int = CAPACITY) -> tuple[list[tuple[Config, int]], np.ndarray]:
+    """Configurations of the program and how many sequences have each, and the few pieces that remain.
+
+    Of each solution the whole parts are taken, then fractions are rounded up while counts
+    last, those of the fullest configurations first: up to half of the pieces, and as long as
+    they are as full as the fullest one or less than a quarter of the pieces is placed. The rest is
+    solved again.
+    """
     left = counts.astype(np.int64).copy()
     out: list[tuple[Config, int]] = []
-    if left[capacity]:
-        out.append(({capacity: 1}, int(left[capacity])))
-        left[capacity] = 0
-    while left.any():
+
+    def take(config: Config, n: int) -> int:
+        n = min(n, *(int(left[k]) // c for k, c in config.items()))
+        if n:
+            out.append((config, n))
+            for k, c in config.items():
+                left[k] -= c * n
+        return n * sum(config.values())
+
+    rest = REST * left.sum()
+    while left.sum() > rest:
         before = int(left.sum())
-        for config, x in fractional(left, capacity):
-            n = min(int(x), *(int(left[k]) // c for k, c in config.items()))
-            if n:
-                out.append((config, n))
-                for k, c in config.items():
-                    left[k] -= c * n
-        if left.sum() > 0.8 * before:
-            break  # rounding down leaves nearly all: the counts are small
+        solution = sorted(fractional(left, capacity), key=lambda s: (_free(s[0], capacity), -s[1]))
+        placed = sum(take(config, int(x)) for config, x in solution)
+        least = _free(solution[0][0], capacity)
+        for config, x in solution:
+            if 2 * placed > before or (4 * placed > before and _free(config, capacity) > least):
+                break
+            placed += take(config, math.ceil(x - int(x)))
+        if placed < REST * before:
+            break  # too few pieces of a length for configurations that hold it more than once
+    return out, left
+
+
+def plan(counts: np.ndarray, capacity: int = CAPACITY) -> list[tuple[Config, int]]:
+    """Configurations and how many sequences have each; together they hold ``counts[length]`` of every length."""
+    out, left = rounded(counts, capacity)
     lengths = [int(k) for k in np.flatnonzero(left)[::-1]]
     while lengths:
         longest = lengths[0]

@@ -109,6 +109,15 @@ def test_plan_is_near_the_bound_and_small_for_many():
     assert len(plan) < 30_000
 
 
+def test_the_program_places_nearly_all_pieces():
+    lengths = np.random.default_rng(5).lognormal(6.2, 0.8, 10_000).astype(np.int64)
+    for counts in (np.bincount(lengths[lengths < 2048], minlength=2049), 1000 * np.bincount(lengths[lengths < 2048], minlength=2049)):
+        placed, left = packing.rounded(counts)
+        assert left.sum() <= 0.1 * counts.sum()
+        assert all(n > 0 and sum(k * c for k, c in config.items()) <= 2048 for config, n in placed)
+        assert sum(n for _, n in packing.plan(counts)) <= 1.001 * -(-int(counts @ np.arange(2049)) // 2048)
+
+
 def test_pack_and_assemble(spark, docs):
     long = " ".join(rng_words(1, 3000))
     made = docs((1, None), (2, ""), (3, long), (None, "a b c"), (3, long), (4, "x" * 5)).withColumn("sequence_id", F.lit("old")).withColumn("_task", F.lit(1))
