@@ -60,6 +60,7 @@ _DATED = {
     "mlflow_runs_summary": "run_date",
     "user_activity_summary": "event_date",
     "data_access_summary": "event_date",
+    "audit_actions": "event_date",
 }
 # Datasets summed from the priced lines of the same dates, and from each other.
 _FROM_LINES: dict[str, Callable[[DataFrame], DataFrame]] = {
@@ -347,11 +348,24 @@ def _refresh_audit(lake: Lake) -> None:
         events = only_dates(lake.bronze("audit_logs_bronze"), "event_date", dates)
         lake.gold("user_activity_summary").overwrite_dates(audit.user_activity_summary(events), dates)
         lake.gold("data_access_summary").overwrite_dates(audit.data_access_summary(events), dates)
+        lake.gold("audit_actions").overwrite_dates(audit.daily_actions(events), dates)
 
     _on_new(lake, "audit_logs_bronze", "activity", rebuild)
     events = lambda: lake.bronze("audit_logs_bronze").where("false")
     _ensure(lake.gold("user_activity_summary"), lambda: audit.user_activity_summary(events()))
     _ensure(lake.gold("data_access_summary"), lambda: audit.data_access_summary(events()))
+    _ensure(lake.gold("audit_actions"), lambda: audit.daily_actions(events()))
+
+
+def recent_events(lake: Lake, fragment: str = "recipient", *, newest: int = 100) -> DataFrame:
+    """The newest events whose action name contains ``fragment``, as ``audit.events_by_action`` finds them.
+
+    Only the dates that hold them are read: the refresh counts the actions of each date.
+    ``event_date`` is taken to be the date of ``event_time``; dates whose counts retention
+    has dropped aren't looked at.
+    """
+    dates = audit.dates_of_newest(lake.gold("audit_actions").read(), fragment, newest)
+    return audit.events_by_action(only_dates(lake.bronze("audit_logs_bronze"), "event_date", dates), fragment, newest=newest)
 
 
 def _refresh_serving(lake: Lake) -> None:

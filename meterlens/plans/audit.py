@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -58,3 +60,24 @@ def events_by_action(audit: DataFrame, fragment: str, *, newest: int = 100) -> D
 def recipient_events(audit: DataFrame) -> DataFrame:
     """The newest 100 events on share recipients."""
     return events_by_action(audit, "recipient")
+
+
+def daily_actions(audit: DataFrame) -> DataFrame:
+    """How many events of each action a date has."""
+    return audit.groupBy("event_date", "action_name").agg(F.count("*").alias("event_count"))
+
+
+def dates_of_newest(actions: DataFrame, fragment: str, newest: int = 100) -> list[dt.date | None]:
+    """The newest dates that together hold ``newest`` events (or all) whose action name contains ``fragment``.
+
+    ``actions`` are ``daily_actions``. Each date has such an event, so there are at most
+    ``newest``. Rows without a date come last, None.
+    """
+    matching = actions.where(F.col("action_name").contains(fragment)).groupBy("event_date").agg(F.sum("event_count").alias("events"))
+    dates, found = [], 0
+    for row in matching.orderBy(F.desc_nulls_last("event_date")).limit(newest).collect():
+        if found >= newest:
+            break
+        dates.append(row["event_date"])
+        found += row["events"]
+    return dates

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterlens.functions import SCOPE
-from meterlens.jobs import Lake, register_reports, run_consolidate, run_daily, run_refresh
+from meterlens.jobs import Lake, recent_events, register_reports, run_consolidate, run_daily, run_refresh
 from meterlens.operators import change_feed, extract_current_scd2
 from meterlens.operators.changes import replayed
 from meterlens.sources.feeds import Probe, read_snapshot, source_probe, union_evolving
@@ -508,6 +508,26 @@ def _merged_bronze(w: World) -> DataFrame:
 _add("s_bronze_compacted", _merged_bronze, _AUDIT_SQL, text="event_time event_date")
 
 
+def _recent_recipients(w: World) -> DataFrame:
+    """Audit events in two loads that share dates, then the newest on recipients from the dates that hold them."""
+    folder = new_folder(w.spark, "recipients")
+    feed = raw_feed(w.spark, w.sf_dir, "audit").withColumn("_part", F.pmod(F.xxhash64("event_time", "action_name"), F.lit(2)))
+    lake = Lake(w.spark, f"{folder}/lake", ACCOUNT, WORKSPACE)
+    for part in range(2):
+        feed.where(F.col("_part") == part).drop("_part").write.mode("append").parquet(f"{folder}/in")
+        run_refresh(lake, {"audit": f"{folder}/in"})
+    return recent_events(lake).select(*SCOPE, *_AUDIT_COLUMNS)
+
+
+_add(
+    "recipient_events_pruned",
+    _recent_recipients,
+    f"""{_AUDIT_SQL} where action_name like '%recipient%'
+ order by event_time desc, workspace_id, action_name, service_name limit 100""",
+    text="event_time event_date",
+)
+
+
 def _retained_lake(w: World) -> DataFrame:
     """Audit events, some of them without a date, with 20 days of bronze kept."""
     folder, table = new_folder(w.spark, "retained"), "audit_logs_bronze"

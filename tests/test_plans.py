@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 from compare import plan_of
 from test_micro import usage, usage_row
 from meterlens.operators import extract_current_scd2, lookup_join, top_n, with_costs
-from meterlens.plans import billing, billing_reports, ml_reports, ml_spend
-from meterlens.sources.tables import Table
+from meterlens.plans import audit, billing, billing_reports, ml_reports, ml_spend
+from meterlens.sources.tables import Table, only_dates
 from meterlens.validation.world import World
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -141,3 +141,25 @@ def test_bucketed_prices_meet_few_records(spark):
     renamed = price_list.selectExpr("sku_name as _price_sku", "price_start_time as _price_from", "price_end_time as _price_to")
     met = used.join(billing.price_months(renamed, 2020 * 12 + 1, 2022 * 12 + 9), F.expr("sku_name = _price_sku and year(usage_start_time) * 12 + month(usage_start_time) = _price_month"))
     assert met.count() <= 33 * used.count() < 1000 * used.count() / 20
+
+
+def test_newest_events_read_the_dates_that_hold_them(spark, tmp_path):
+    """Of 40 dates three hold the newest eight; ties within the last one and undated rows are decided as without counts."""
+    events = spark.range(400).selectExpr(
+        "date_add(DATE '2024-01-01', cast(id % 40 AS INT)) AS event_date",
+        "CASE WHEN id % 3 = 0 THEN concat('add_recipient_', id % 7) ELSE 'getTable' END AS action_name",
+        *(f"'{c}' AS {c}" for c in ("_account_identifier", "_workspace_identifier", "workspace_id", "service_name")),
+    )
+    undated = events.limit(1).withColumns({"event_date": F.lit(None).cast("date"), "action_name": F.lit("old_recipient")})
+    events = events.unionByName(undated).withColumn("event_time", F.col("event_date").cast("timestamp"))
+    table = Table(spark, str(tmp_path / "events"), "event_date")
+    table.replace(events)
+    dates = audit.dates_of_newest(audit.daily_actions(events), "recipient", 8)
+    found = audit.events_by_action(only_dates(table.read(), "event_date", dates), "recipient", newest=8)
+    whole = audit.events_by_action(events, "recipient", newest=8)
+    assert len(dates) == 3 and sorted(found.select(*whole.columns).collect()) == sorted(whole.collect())
+    plan = plan_of(only_dates(table.read(), "event_date", dates))
+    filters = plan[plan.index("PartitionFilters") : plan.index("PushedFilters")]
+    assert str(min(dates)) in filters and str(max(dates)) in filters
+    assert audit.dates_of_newest(audit.daily_actions(events), "recipient", 1000)[-1] is None
+    assert audit.dates_of_newest(audit.daily_actions(events), "nothing") == []
