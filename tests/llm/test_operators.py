@@ -407,6 +407,37 @@ def test_bands_have_the_recall():
     assert paragraphs.tune_bands(1.0) [0] == 1
 
 
+@pytest.mark.parametrize("most", [None, 20])
+def test_alike_sets_always_meet(most):
+    rng = np.random.default_rng(5)
+    sets = []
+    for n in range(1, 21 if most else 61):
+        for _ in range(40):
+            one = rng.integers(0, 2**63, n, dtype=np.uint64)
+            common = -(-8 * n // 10)
+            more = n - common if rng.random() < 0.5 else 0
+            sets += [one, np.concatenate((one[:common], rng.integers(0, 2**63, more, dtype=np.uint64)))]
+    sets = [np.sort(x) for x in sets]
+    keys, owner = paragraphs.sure_keys(np.concatenate(sets), np.concatenate(([0], np.cumsum([len(x) for x in sets]))), most)
+    of = [set(keys[owner == i].tolist()) for i in range(len(sets))]
+    alike = [i for i in range(0, len(sets), 2) if 100 * len(np.intersect1d(sets[i], sets[i + 1])) >= 80 * len(np.union1d(sets[i], sets[i + 1]))]
+    assert len(alike) > 300 and all(of[i] & of[i + 1] for i in alike)
+    parity = paragraphs.parities(np.concatenate(sets), np.concatenate(([0], np.cumsum([len(x) for x in sets]))))
+    assert not most or all(np.bitwise_count(parity[i] ^ parity[i + 1]) <= paragraphs.most_different(most) for i in alike)
+
+
+def test_windows_at_the_least_similarity(docs):
+    """Pairs of texts that differ in their second word: 8 bands of 7 leave out one of ten."""
+    rows = []
+    for k in range(80):
+        words = rng_words(700 + k, 26)
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join([words[0], f"other{k}", *words[2:]]))]
+    sets = {d: [set(at.tolist()) for *_, grams, offsets in passages.windows(pa.array([t]), 25) for at in np.split(grams, offsets[1:-1])] for d, t in rows}
+    want = {x for k in range(0, len(rows), 2) if any(100 * len(a & b) >= 80 * len(a | b) for a in sets[k] for b in sets[k + 1]) for x in (k, k + 1)}
+    found = paragraphs.repeated(paragraphs.keyed(docs(*rows), "doc_id", "text"), passages.windows, 25, most=20).collect()
+    assert len(want) > 60 and {r.doc_id for r in found} == want
+
+
 def test_paragraphs(docs):
     hot = " ".join(rng_words(50, 60))
     near = near_copies(51, 6, 60, 1)
