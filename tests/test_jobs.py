@@ -662,6 +662,16 @@ def test_changes_are_told_once(spark, tmp_path, monkeypatch):
     assert spark.table("told_once").count() == 10
 
 
+def test_compaction_bounds_the_rows_of_a_file(spark, tmp_path, monkeypatch):
+    """A task sorts the rows of a file, however well they compress."""
+    table = Table(spark, f"{tmp_path}/rows")
+    table.replace(spark.range(1000).selectExpr("id a", "id % 7 b"))
+    assert layout.compact(table, ["a", "b"], interleave=True) == 1
+    monkeypatch.setattr(layout, "TARGET_FILE_ROWS", 100, raising=False)
+    assert layout.compact(table, ["a", "b"], interleave=True) == 10
+    assert sorted(r.a for r in table.read().collect()) == list(range(1000))
+
+
 def test_interleaved_ranges_skip_files_by_either_column(spark, tmp_path):
     rows = spark.range(20_000).select((F.col("id") % 100).alias("a"), F.concat(F.lit("s"), F.lpad((F.col("id") * 7919 % 97).cast("string"), 2, "0")).alias("b"), "id")
     rows = rows.unionByName(spark.createDataFrame([(None, None, -1)], rows.schema))
