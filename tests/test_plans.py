@@ -1,5 +1,7 @@
 """The physical plans we count on at scale."""
 
+import datetime as dt
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -43,6 +45,26 @@ def test_prices_are_broadcast_and_usage_is_not_shuffled(spark, world, tmp_path):
     assert "Exchange" not in left  # the usage side goes straight from the scan into the join
 
 
+def test_few_prices_summed_from_a_large_table_are_broadcast(spark, tmp_path):
+    """Spark takes the aggregate to be too large; usage is read once and isn't shuffled for its prices."""
+    usage(spark, usage_row("a", "2024-01-02", "2024-01-03"), usage_row("back", "2024-01-03", "2024-01-01")).write.parquet(str(tmp_path / "usage"))
+    used = spark.read.parquet(str(tmp_path / "usage"))
+    prices = spark.range(40_000).groupBy((F.col("id") % 2).alias("k")).agg(F.max("id").alias("m")).select(
+        F.lit("S").alias("sku_name"), F.when(F.col("k") == 0, "AWS").otherwise("GCP").alias("cloud"),
+        F.struct((F.col("m") - 39_990).cast("decimal(18,4)").alias("default")).alias("pricing"),
+        F.lit(dt.datetime(2023, 1, 1)).alias("price_start_time"), F.lit(None).cast("timestamp").alias("price_end_time"),
+    )
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")
+    try:
+        for options in ({}, {"corrections": True}, {"bucketed": True}):
+            lines = billing.billing_summary(used, prices, **options)
+            plan = plan_of(lines)
+            assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan and plan.count("ReadSchema") == 1
+            assert [float(r[0]) for r in lines.select("estimated_cost_usd").collect()] == [16.0, 16.0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_a_large_price_list_is_joined_by_salted_shuffle(world, no_auto_broadcast):
     plan = plan_of(billing.billing_summary(world.usage, world.prices, salted=True))
     assert "SortMergeJoin [sku_name" in plan and "_salt" in plan and "BroadcastNestedLoopJoin" not in plan
