@@ -18,7 +18,7 @@ from meterlens.sources.files import move as files_move
 from meterlens.sources.feeds import Probe, evolved_schema, read_snapshot, source_probe
 from meterlens.sources.publish import Share, publish
 from meterlens.sources.scratch import new_folder, shared_folder
-from meterlens.sources.tables import Table, only_dates
+from meterlens.sources.tables import Table, only_dates, rows_by_date
 from meterlens.streaming import refresh
 from meterlens.streaming.ingest import bronze_stream, ingest_feed, read_bronze, read_feed_stream
 from meterlens.validation.fixtures import PROJECTIONS, raw_feed
@@ -139,6 +139,30 @@ def test_a_long_backfill_is_a_short_range(spark):
     assert only_dates(days, "d", [d for i, d in enumerate(dates) if i % 3]).count() == 2000
 
 
+def test_a_backfill_of_counted_dates_is_cut_without_a_sample(spark, tmp_path):
+    """Rows are worked out once; a heavy date is cut, light ones have a file each, undated rows stay."""
+    day = F.when(F.col("id") % 2 == 0, F.lit(dt.date(2010, 6, 1))).when(F.col("id") % 101 == 0, None)
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    day = day.otherwise(F.date_add(F.lit(dt.date(2010, 1, 1)), (F.col("id") % 99).cast("int"))).alias("d")
+    rows = spark.range(20_000).repartition(4).select("id", day)
+    dates = rows_by_date(rows, "d")
+    assert len(dates) == 101 and list(dates)[-1] is None and sum(dates.values()) == 20_000
+    table = Table(spark, str(tmp_path / "t"), "d")
+    for _ in range(2):  # a new table, and over the dates of one
+        seen.value = 0
+        table.overwrite_dates(rows.mapInArrow(count, rows.schema), dates)
+        assert seen.value == 20_000
+        assert table.read().count() == 20_000 and table.read().exceptAll(rows).count() == 0 and table.read().columns == ["id", "d"]
+        files_of = {n: len([f for f in files.names(spark, f"{table.path()}/{n}") if f.startswith("part-")]) for n in files.names(spark, table.path()) if n.startswith("d=")}
+        assert files_of["d=2010-06-01"] in (2, 3) and {n for d, n in files_of.items() if d != "d=2010-06-01"} == {1}
+
+
 def test_only_dates_of_the_changed_price_are_rebuilt(spark):
     """A price that ends where the next one begins changes only what lies after that, and only for its SKU."""
     old = spark.createDataFrame([price(1, "2023-01-01")], PRICES)
