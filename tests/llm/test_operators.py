@@ -426,6 +426,31 @@ def test_alike_sets_always_meet(most):
     assert not most or all(np.bitwise_count(parity[i] ^ parity[i + 1]) <= paragraphs.most_different(most) for i in alike)
 
 
+@pytest.mark.parametrize(("least", "grouped"), [(1, 250), (20, 20)])
+def test_many_sets_with_a_common_key(least, grouped):
+    """Of sets that share some elements only those that can be alike are candidates; small sets differ in few."""
+    rng = np.random.default_rng(8)
+    common, made = rng.integers(0, 2**63, 8, dtype=np.uint64), {}
+    for _ in range(900):
+        n = int(rng.integers(least, 21))
+        one = np.unique(np.concatenate((common[: min(n, 8)], rng.integers(0, 2**63, max(n - 8, 0), dtype=np.uint64))))
+        for x in (one, np.unique(np.append(one[1:], rng.integers(0, 2**63, dtype=np.uint64)))) if rng.random() < 0.1 else (one,):
+            made[x.tobytes()] = x
+    sets = list(made.values())
+    grams, at = np.concatenate(sets), np.concatenate(([0], np.cumsum([len(x) for x in sets])))
+    key, whose = np.zeros(len(sets), np.uint32), np.arange(len(sets), dtype=np.int64)
+    packed = {"sure": key, "whose": whose, "parity": paragraphs.parities(grams, at), "size": np.diff(at).astype(np.uint16)}
+    table = pa.table({x: pa.array([packed[x].tobytes() if x in packed else None], pa.binary()) for x in paragraphs._PACKED})
+    edges = paragraphs._meetings(paragraphs.most_different(20))(table)
+
+    label = whose.copy()
+    for a, b in zip(edges["a"].to_pylist(), edges["b"].to_pylist(), strict=True):
+        label[label == label[a]] = label[b]
+    alike = [(i, j) for i in range(len(sets)) for j in range(i) if 100 * len(found := np.intersect1d(sets[i], sets[j])) >= 80 * (len(sets[i]) + len(sets[j]) - len(found))]
+    assert len(alike) > 30 and all(label[i] == label[j] for i, j in alike)
+    assert np.bincount(label).max() < grouped < len(sets) // 2  # all were one group of candidates
+
+
 def test_windows_at_the_least_similarity(docs):
     """Pairs of texts that differ in their second word: 8 bands of 7 leave out one of ten."""
     rows = []
