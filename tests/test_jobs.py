@@ -711,3 +711,21 @@ def test_interleaved_ranges_skip_files_by_either_column(spark, tmp_path):
     z = lambda df: layout.zordered(df, ["a", "b"], 16)
     assert opened(z, "z_a", "a", 50) <= 6 and opened(z, "z_b", "b", "s50") <= 6
     assert opened(lambda df: layout.clustered(df, ["a", "b"], 16), "sorted", "b", "s50") >= 12
+
+
+def test_interleaved_files_hold_whole_blocks(spark, tmp_path):
+    """Ranges from a random sample opened 5 to 9 of 16 files for a value, another number each time."""
+    rows = spark.range(20_000).select((F.col("id") % 100).alias("a"), (F.col("id") * 7919 % 97).alias("b"), "id")
+    for run in range(2):
+        layout.zordered(rows, ["a", "b"], 16).write.parquet(str(tmp_path / str(run)))
+        footers = [pq.read_metadata(f.removeprefix("file:")).row_group(0) for f in files.data_files(spark, str(tmp_path / str(run)))]
+        for column, values in ((0, 100), (1, 97)):
+            at = [rg.column(column).statistics for rg in footers]
+            assert max(sum(s.min <= v <= s.max for s in at) for v in range(values)) <= 5
+        assert len(footers) == 16 and max(rg.num_rows for rg in footers) <= 1.5 * 1250
+    one = spark.range(8_000).select(F.when(F.col("id") < 7_000, 1).otherwise(F.col("id")).alias("a"), "id")  # a heavy cell
+    sizes = [r["count"] for r in layout.zordered(one, ["a"], 8).groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 8 and sum(sizes) == 8_000 and max(sizes) <= 1_500
+    assert layout.zordered(one.where("false"), ["a"], 8).count() == 0
+    assert layout._file_cuts([(0, 10), (1, 10), (2, 10), (3, 10)], 2) == [(0, 0, []), (1, 0, []), (2, 1, []), (3, 1, [])]
+    assert layout._file_cuts([(5, 40)], 4) == [(5, 0, [0.25, 0.5, 0.75])]
